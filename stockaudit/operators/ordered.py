@@ -118,24 +118,25 @@ def with_running_total(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str,
     low: str | None = None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
-    """Add the running sum of ``value`` per group, and optionally its running minimum as ``low``."""
+    """Add the running sum of ``value`` per group; ``low`` names its lowest value before the row."""
     df = df.withColumn("_v", value.cast("bigint"))
     parts = split_hot_groups(df, keys, order, hot_rows)
     group = list(keys) if parts is None else [*keys, SEGMENT]
-    w = Window.partitionBy(*group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    # Two stages, one sort: the minimum runs over the sum along the same window.
-    res = (df if parts is None else parts).withColumn(out, F.sum("_v").over(w))
+    ordered = Window.partitionBy(*group).orderBy(*order)
+    # Both windows share one shuffle and one sort.
+    res = (df if parts is None else parts).withColumn(
+        out, F.sum("_v").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
     if low:
-        res = res.withColumn(low, F.min(out).over(w))
+        res = res.withColumn(low, F.min(out).over(ordered.rowsBetween(Window.unboundedPreceding, -1)))
     if parts is None:
         return res.drop("_v")
 
+    split = F.size(SEGMENT) > 0
+    if low:
+        sums = res.filter(split).groupBy(*group).agg(F.sum("_v").alias("_sum"), F.min(out).alias("_min"))
+    else:
+        sums = parts.filter(split).groupBy(*group).agg(F.sum("_v").alias("_sum"))
     before = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    sums = (
-        parts.filter(F.size(SEGMENT) > 0).groupBy(*group).agg(F.sum("_v").alias("_sum"))
-        if not low
-        else res.filter(F.size(SEGMENT) > 0).groupBy(*group).agg(F.sum("_v").alias("_sum"), F.min(low).alias("_min"))
-    )
     sums = sums.withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
     if low:
         sums = sums.withColumn("_low", F.min(F.col("_base") + F.col("_min")).over(before))

@@ -250,6 +250,11 @@ class RetailTables:
             raise AttributeError(table)
         return self._table(LAYER_NAME.get(table, table))
 
+    def path_of(self, table: str) -> str:
+        """The folder of a stored table."""
+        getattr(self, table)
+        return f"{self._folder}/{LAYER_NAME.get(table, table)}"
+
     def source(self, name: str) -> DataFrame:
         return self.spark.read.parquet(str(PurePosixPath(self.sf_dir) / f"{name}.parquet"))
 
