@@ -112,7 +112,8 @@ def _discard_stale_state(t) -> DataFrame:
 # --- streams ----------------------------------------------------------------------------------
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read_stream(spark, f"{sf_dir}/events.parquet", event_streams.EVENTS)
+    # A pattern: the stream source takes a plain path for a folder, and this may be a single file.
+    return read_stream(spark, f"{sf_dir}/events.parquet*", event_streams.EVENTS)
 
 
 def _table_stream(t, table: str) -> DataFrame:

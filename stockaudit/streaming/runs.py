@@ -10,12 +10,12 @@ from pyspark.sql import types as T
 
 from stockaudit.session import new_folder
 
-MAX_BYTES_PER_TRIGGER = "1g"
+MAX_BYTES_PER_TRIGGER = 1 << 30
 WATERMARK = "10 minutes"
 
 
 def read_stream(
-    spark: SparkSession, path: str, schema: T.StructType | str, max_bytes: str = MAX_BYTES_PER_TRIGGER, **options
+    spark: SparkSession, path: str, schema: T.StructType | str, max_bytes: int = MAX_BYTES_PER_TRIGGER, **options
 ) -> DataFrame:
     """The parquet files under ``path`` as a stream; a micro-batch takes at most ``max_bytes`` of them."""
     return spark.readStream.schema(schema).option("maxBytesPerTrigger", max_bytes).options(**options).parquet(path)
