@@ -279,23 +279,27 @@ def f3_item_product_fk(t) -> DataFrame:
     return not_in(t.order_item.select("order_item_id", "product_id"), "product_id", t.product, "product_id")
 
 
-def _pair_without_parents(t, rows: DataFrame) -> DataFrame:
-    """Rows whose store or product is unknown; one row each, whichever is missing."""
+def with_parents(t, rows: DataFrame) -> DataFrame:
+    """``rows`` with markers of a known store and a known product; see ``unknown_parent``."""
     stores = t.dark_store.select("store_id", F.lit(True).alias("_store")).distinct()
     products = t.product.select("product_id", F.lit(True).alias("_product")).distinct()
-    orphan = (F.col("_store").isNull() & F.col("store_id").isNotNull()) | (
+    return rows.join(stores, "store_id", "left").join(products, "product_id", "left")
+
+
+def unknown_parent() -> Column:
+    """The row's store or product is unknown; a row counts once, whichever is missing."""
+    return (F.col("_store").isNull() & F.col("store_id").isNotNull()) | (
         F.col("_product").isNull() & F.col("product_id").isNotNull())
-    return rows.join(stores, "store_id", "left").join(products, "product_id", "left").filter(orphan)
 
 
 def f4_inventory_fk(t) -> DataFrame:
     rows = t.store_inventory.select("inventory_id", *PAIR)
-    return _pair_without_parents(t, rows).select("inventory_id", *PAIR)
+    return with_parents(t, rows).filter(unknown_parent()).select("inventory_id", *PAIR)
 
 
 def f5_ledger_fk(t) -> DataFrame:
     rows = t.inventory_transaction.select("transaction_id", *PAIR)
-    return _pair_without_parents(t, rows).select("transaction_id", *PAIR)
+    return with_parents(t, rows).filter(unknown_parent()).select("transaction_id", *PAIR)
 
 
 def f6_customer_zone_fk(t) -> DataFrame:

@@ -39,7 +39,7 @@ def _on_tables(run: Callable[..., DataFrame]) -> Query:
 
 def _write_audit_outputs(t) -> DataFrame:
     folder = new_folder(t.spark, "audit")
-    return sinks.write_audit_outputs(audit.all_violations(t), audit.audit_summary(t), folder)
+    return sinks.write_audit_outputs(audit.all_violations(t), folder)
 
 
 def _assign_surrogate_keys(t) -> DataFrame:

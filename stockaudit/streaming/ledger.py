@@ -7,14 +7,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from stockaudit.streaming.lifecycle import _in_order
+from stockaudit.streaming.lifecycle import BUCKETS, bucket_of, in_order
 from stockaudit.streaming.runs import run_each_batch
 
 PAIR = ["store_id", "product_id"]
 LOW_STOCK = 20
 
 
-def stock_ledger(movements: DataFrame, reorder_points: DataFrame | None = None, low_stock: int = LOW_STOCK) -> DataFrame:
+def stock_ledger(
+    movements: DataFrame, reorder_points: DataFrame | None = None, low_stock: int = LOW_STOCK, buckets: int = BUCKETS
+) -> DataFrame:
     """Running stock per (store, product) over movements (…, id, kind, delta, ts).
 
     A sale that exceeds the stock is rejected, an adjustment stops at 0, anything else applies.
@@ -26,27 +28,31 @@ def stock_ledger(movements: DataFrame, reorder_points: DataFrame | None = None,
     movements = movements.withColumn("reorder_point", F.coalesce(point, F.lit(low_stock)).cast("int"))
 
     def apply(key, pages, state: GroupState):
-        stock = state.get[0] if state.exists else 0
-        rows = _in_order(pages, ["ts", "id"])
+        known = {(s, p): n for s, p, n in zip(*state.get, strict=True)} if state.exists else {}
+        rows = in_order(pages, ["ts", "id"])
         after, results, low = [], [], []
-        for kind, delta, point in zip(rows["kind"].tolist(), rows["delta"].tolist(), rows["reorder_point"].tolist(),
-                                      strict=True):
+        for store, product, kind, delta, point in zip(
+            rows["store_id"].tolist(), rows["product_id"].tolist(), rows["kind"].tolist(), rows["delta"].tolist(),
+            rows["reorder_point"].tolist(), strict=True,
+        ):
+            stock = known.get((store, product), 0)
             new, result = stock + delta, "ok"
             if new < 0 and kind == "sale":
                 new, result = stock, "insufficient_stock"
             elif new < 0 and kind == "adjustment":
                 new, result = 0, "clamped"
             low.append(new < point <= stock)
-            stock = new
+            known[store, product] = new
             after.append(new)
             results.append(result)
-        state.update((stock,))
-        yield pd.DataFrame({"store_id": key[0], "product_id": key[1], "id": rows["id"].to_numpy(),
-                            "quantity_after": after, "result": results, "low_stock": low})
+        state.update(([s for s, _ in known], [p for _, p in known], list(known.values())))
+        yield pd.DataFrame({"store_id": rows["store_id"].to_numpy(), "product_id": rows["product_id"].to_numpy(),
+                            "id": rows["id"].to_numpy(), "quantity_after": after, "result": results, "low_stock": low})
 
-    return movements.select(*PAIR, "id", "kind", "delta", "ts", "reorder_point").groupBy(*PAIR).applyInPandasWithState(
+    rows = movements.select(bucket_of(*PAIR, buckets=buckets), *PAIR, "id", "kind", "delta", "ts", "reorder_point")
+    return rows.groupBy("bucket").applyInPandasWithState(
         apply, "store_id INT, product_id BIGINT, id BIGINT, quantity_after BIGINT, result STRING, low_stock BOOLEAN",
-        "stock BIGINT", "append", GroupStateTimeout.NoTimeout)
+        "store ARRAY<INT>, product ARRAY<BIGINT>, stock ARRAY<BIGINT>", "append", GroupStateTimeout.NoTimeout)
 
 
 def upsert_inventory(movements: DataFrame, folder: str) -> DataFrame:

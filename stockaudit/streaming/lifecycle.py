@@ -1,96 +1,123 @@
-"""The order state machine and its deadlines over a stream of status rows."""
+"""The order state machine and its deadlines over a stream of status rows.
+
+State is kept per hash bucket of entities, not per entity: one Python call then serves the thousands of
+entities of a bucket, which is far cheaper than one call each. Entities leave the state when they can
+no longer matter, so a bucket holds the open part of the stream only.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from stockaudit.functions.parameters import CONFIRM_LIMIT_MINUTES, DELIVER_LIMIT_MINUTES
+from stockaudit.functions.parameters import CONFIRM_LIMIT_MINUTES, DELIVER_LIMIT_MINUTES, STALE_HOURS
 from stockaudit.schemas import ALLOWED_TRANSITIONS
 from stockaudit.streaming.runs import WATERMARK, zoned
 
+BUCKETS = 256
+
+
+def bucket_of(*keys: str, buckets: int = BUCKETS) -> Column:
+    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket")
 
-def _in_order(pages: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
-    """The rows one key got in this micro-batch; the trigger limit bounds them."""
+
+def in_order(pages: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
+    """The rows a bucket got in this micro-batch; the trigger limit bounds them."""
     return pd.concat(list(pages)).sort_values(order, kind="stable")
 
 
-def order_lifecycle(statuses: DataFrame, moves: tuple[tuple[str, str], ...] = ALLOWED_TRANSITIONS) -> DataFrame:
+def order_lifecycle(
+    statuses: DataFrame, moves: tuple[tuple[str, str], ...] = ALLOWED_TRANSITIONS, buckets: int = BUCKETS,
+    ttl_hours: int = STALE_HOURS, watermark: str = WATERMARK,
+) -> DataFrame:
     """Judge each status row (entity_id, event_id, status, ts) against the last accepted status.
 
-    A rejected row leaves the state as it was. The first row of an entity is always accepted.
+    A rejected row leaves the state as it was. The first row of an entity is always accepted, and an
+    entity is forgotten once the watermark is ``ttl_hours`` past its last row.
     """
     legal = frozenset(moves)
+    ttl_ms = ttl_hours * 3_600_000
 
     def judge(key, pages, state: GroupState):
-        current = state.get[0] if state.exists else None
-        rows = _in_order(pages, ["ts", "event_id"])
+        known = {e: (s, ms) for e, s, ms in zip(*state.get, strict=True)} if state.exists else {}
+        rows = in_order(pages, ["ms", "event_id"])
         before, verdicts = [], []
-        for status in rows["status"]:
+        for entity, status, ms in zip(rows["entity_id"].tolist(), rows["status"].tolist(), rows["ms"].tolist(),
+                                      strict=True):
+            current = known[entity][0] if entity in known else None
             ok = current is None or (current, status) in legal
             before.append(current)
             verdicts.append(ok)
-            current = status if ok else current
-        state.update((current,))
-        yield pd.DataFrame({"entity_id": key[0], "event_id": rows["event_id"].to_numpy(), "prev_status": before,
-                            "status": rows["status"].to_numpy(), "accepted": verdicts})
+            known[entity] = (status if ok else current, ms)
+        oldest = state.getCurrentWatermarkMs() - ttl_ms
+        kept = [(e, s, ms) for e, (s, ms) in known.items() if ms >= oldest]
+        state.update(tuple(list(column) for column in zip(*kept, strict=True)) if kept else ([], [], []))
+        yield pd.DataFrame({"entity_id": rows["entity_id"].to_numpy(), "event_id": rows["event_id"].to_numpy(),
+                            "prev_status": before, "status": rows["status"].to_numpy(), "accepted": verdicts})
 
-    return statuses.select("entity_id", "event_id", "status", "ts").groupBy("entity_id").applyInPandasWithState(
+    rows = zoned(statuses, "ts").withWatermark("ts", watermark).select(
+        bucket_of("entity_id", buckets=buckets), "entity_id", "event_id", "status", "ts",
+        F.unix_millis("ts").alias("ms"))
+    return rows.groupBy("bucket").applyInPandasWithState(
         judge, "entity_id BIGINT, event_id BIGINT, prev_status STRING, status STRING, accepted BOOLEAN",
-        "status STRING", "append", GroupStateTimeout.NoTimeout)
+        "entity ARRAY<BIGINT>, status ARRAY<STRING>, seen ARRAY<BIGINT>", "append", GroupStateTimeout.NoTimeout)
 
 
 def sla_timeouts(
     statuses: DataFrame, confirm_minutes: int = CONFIRM_LIMIT_MINUTES, deliver_minutes: int = DELIVER_LIMIT_MINUTES,
-    watermark: str = WATERMARK,
+    buckets: int = BUCKETS, watermark: str = WATERMARK,
 ) -> DataFrame:
     """Alerts for entities still pending, or still confirmed, at their deadline after creation.
 
     A deadline is judged by the status at that moment, as soon as a later row or the watermark shows
-    that the moment has passed.
+    that the moment has passed. After its last deadline an entity leaves the state.
     """
     minute = 60_000
     # The phases in the order of their deadlines.
     phases = (("pending", confirm_minutes * minute), ("confirmed", deliver_minutes * minute))
 
     def watch(key, pages, state: GroupState):
-        # State: current status, creation time in ms, number of deadlines already judged.
-        status, created, judged = state.get if state.exists else (None, None, 0)
+        # Per entity: current status, creation time in ms, number of deadlines already judged.
+        known = {e: [s, c, j] for e, s, c, j in zip(*state.get, strict=True)} if state.exists else {}
         alerts = []
 
-        def judge_until(now_ms: int) -> None:
-            nonlocal judged
+        def judge_until(entity: int, now_ms: int) -> None:
+            watched = known[entity]
+            status, created, judged = watched
             while judged < len(phases) and created + phases[judged][1] < now_ms:
                 if status == phases[judged][0]:
-                    alerts.append((key[0], status, created + phases[judged][1]))
+                    alerts.append((entity, status, created + phases[judged][1]))
                 judged += 1
+            watched[2] = judged
 
         if not state.hasTimedOut:
-            rows = _in_order(pages, ["ms", "event_id"])
-            for ms, next_status in zip(rows["ms"].tolist(), rows["status"].tolist(), strict=True):
-                if created is None:
-                    if next_status != "pending":
-                        continue
-                    created = ms
-                judge_until(ms)
-                status = next_status
-        if created is not None:
-            judge_until(state.getCurrentWatermarkMs())
-            if judged == len(phases):
-                if state.exists:
-                    state.remove()
-            else:
-                state.update((status, created, judged))
-                state.setTimeoutTimestamp(created + phases[judged][1] + 1)
+            rows = in_order(pages, ["ms", "event_id"])
+            for entity, ms, status in zip(rows["entity_id"].tolist(), rows["ms"].tolist(), rows["status"].tolist(),
+                                          strict=True):
+                if entity in known:
+                    judge_until(entity, ms)
+                    known[entity][0] = status
+                elif status == "pending":
+                    known[entity] = [status, ms, 0]
+        for entity in known:
+            judge_until(entity, state.getCurrentWatermarkMs())
+        kept = [(e, s, c, j) for e, (s, c, j) in known.items() if j < len(phases)]
+        if kept:
+            state.update(tuple(list(column) for column in zip(*kept, strict=True)))
+            state.setTimeoutTimestamp(min(c + phases[j][1] for _, _, c, j in kept) + 1)
+        elif state.exists:
+            state.remove()
         yield pd.DataFrame(alerts, columns=["entity_id", "phase", "alert_ms"])
 
     rows = zoned(statuses, "ts").withWatermark("ts", watermark).select(
-        "entity_id", "event_id", "status", "ts", F.unix_millis("ts").alias("ms"))
-    alerts = rows.groupBy("entity_id").applyInPandasWithState(
-        watch, "entity_id BIGINT, phase STRING, alert_ms BIGINT", "status STRING, created BIGINT, judged INT",
+        bucket_of("entity_id", buckets=buckets), "entity_id", "event_id", "status", "ts",
+        F.unix_millis("ts").alias("ms"))
+    alerts = rows.groupBy("bucket").applyInPandasWithState(
+        watch, "entity_id BIGINT, phase STRING, alert_ms BIGINT",
+        "entity ARRAY<BIGINT>, status ARRAY<STRING>, created ARRAY<BIGINT>, judged ARRAY<INT>",
         "append", GroupStateTimeout.EventTimeTimeout)
     return alerts.select("entity_id", "phase", F.timestamp_millis("alert_ms").alias("alert_ts"))
