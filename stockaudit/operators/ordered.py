@@ -119,33 +119,33 @@ def with_running_total(
     low: str | None = None, hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add the running sum of ``value`` per group; ``low`` names its lowest value before the row."""
-    df = df.withColumn("_v", value.cast("bigint"))
+    df = df.withColumn("_seg_value", value.cast("bigint"))
     parts = split_hot_groups(df, keys, order, hot_rows)
     group = list(keys) if parts is None else [*keys, SEGMENT]
     ordered = Window.partitionBy(*group).orderBy(*order)
     # Both windows share one shuffle and one sort.
     res = (df if parts is None else parts).withColumn(
-        out, F.sum("_v").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+        out, F.sum("_seg_value").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
     if low:
         res = res.withColumn(low, F.min(out).over(ordered.rowsBetween(Window.unboundedPreceding, -1)))
     if parts is None:
-        return res.drop("_v")
+        return res.drop("_seg_value")
 
     split = F.size(SEGMENT) > 0
     if low:
-        sums = res.filter(split).groupBy(*group).agg(F.sum("_v").alias("_sum"), F.min(out).alias("_min"))
+        sums = res.filter(split).groupBy(*group).agg(F.sum("_seg_value").alias("_seg_sum"), F.min(out).alias("_seg_min"))
     else:
-        sums = parts.filter(split).groupBy(*group).agg(F.sum("_v").alias("_sum"))
+        sums = parts.filter(split).groupBy(*group).agg(F.sum("_seg_value").alias("_seg_sum"))
     before = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("_base", F.coalesce(F.sum("_sum").over(before), F.lit(0)))
+    sums = sums.withColumn("_seg_base", F.coalesce(F.sum("_seg_sum").over(before), F.lit(0)))
     if low:
-        sums = sums.withColumn("_low", F.min(F.col("_base") + F.col("_min")).over(before))
-    sums, n = _carry(sums.drop("_sum", "_min"))
+        sums = sums.withColumn("_seg_low", F.min(F.col("_seg_base") + F.col("_seg_min")).over(before))
+    sums, n = _carry(sums.drop("_seg_sum", "_seg_min"))
     res = _attach(res, sums, group, n)
-    base = F.coalesce(F.col("_base"), F.lit(0))
+    base = F.coalesce(F.col("_seg_base"), F.lit(0))
     if low:
-        res = res.withColumn(low, F.least(F.col("_low"), F.col(low) + base))
-    return res.withColumn(out, F.col(out) + base).drop(SEGMENT, "_v", "_base", "_low")
+        res = res.withColumn(low, F.least(F.col("_seg_low"), F.col(low) + base))
+    return res.withColumn(out, F.col(out) + base).drop(SEGMENT, "_seg_value", "_seg_base", "_seg_low")
 
 
 def with_row_number(
