@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from stockaudit.operators.existence import with_match
 from stockaudit.operators.ordered import HOT_ROWS, with_row_number, with_running_total
+from stockaudit.session import cut_lineage
 from stockaudit.sources.loading import purchase_price, with_price_band
 
 PAIR = ["store_id", "product_id"]
@@ -184,9 +185,9 @@ def cold_chain_companions(t, hot_rows: int = HOT_ROWS) -> DataFrame:
 
     basket = with_match(t.order_item.select("order_id", "product_id"), cold, ["product_id"]).distinct()
     basket = basket.join(t.orders.select("order_id", "store_id"), "order_id")
-    taken = basket.join(numbered, PAIR, "left")
-    ranked = with_row_number(taken.filter(F.col("number").isNotNull()), ["order_id"], ["number"], "place",
-                             hot_rows=hot_rows)
+    # Stored once: the ordered pass over it counts before it runs.
+    taken = cut_lineage(basket.join(numbered, PAIR).select("order_id", "number"))
+    ranked = with_row_number(taken, ["order_id"], ["number"], "place", hot_rows=hot_rows)
     used = ranked.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n_taken"), F.count_if(F.col("number") == F.col("place")).alias("run"))
     orders = basket.select("order_id", "store_id").distinct().join(used, "order_id", "left").join(

@@ -76,14 +76,17 @@ def open_orders_as_of(orders: DataFrame, history: DataFrame, as_of: datetime.dat
 def open_at_day_end(orders: DataFrame, history: DataFrame, will_confirm: Column) -> DataFrame:
     """Orders still open at their first closing time, and how the night closes them.
 
-    Closing time ends every open order, so an order meets it once: on the day of its creation.
+    Closing time ends every open order, so an order meets it once: on the day of its creation. The history
+    is first reduced to the newest row per order and business day; a day lies wholly before or
+    after a closing time, so the join sees those rows only.
     """
-    created = orders.select("order_id", "created_at").withColumn("_end", c.day_end(F.col("created_at")))
+    created = orders.select("order_id", c.day_end(F.col("created_at")).alias("_end"))
     newest = F.max(F.struct("changed_at", "history_id", "status"))
+    daily = history.groupBy("order_id", c.day_end(F.col("changed_at")).alias("_day")).agg(newest.alias("h"))
     at_end = (
-        history.join(created, "order_id")
-        .filter(F.col("changed_at") <= F.col("_end"))
-        .groupBy("order_id", "_end").agg(newest.alias("h"))
+        daily.join(created, "order_id")
+        .filter(F.col("_day") <= F.col("_end"))
+        .groupBy("order_id", "_end").agg(F.max("h").alias("h"))
         .filter(F.col("h.status").isin(*OPEN))
     )
     closing = F.when(F.col("h.status") == "confirmed", "deliver").when(
@@ -100,12 +103,14 @@ def order_snapshot_json(orders: DataFrame, items: DataFrame, max_items: int = MA
     head = orders.filter(F.col("status").isin(*OPEN)).select(
         "order_id", "status", F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
         F.col("store_id").cast("bigint").alias("store_id"), "customer_id")
-    parts = items.groupBy("order_id").agg(F.ceil(F.count(F.lit(1)) / F.lit(max_items)).alias("n_parts"))
-    head = head.join(parts, "order_id", "left")
+    large = (
+        items.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_items)
+        .select("order_id", F.ceil(F.col("_n") / F.lit(max_items)).alias("n_parts"))
+    )
     text = F.concat(F.lit("["), F.concat_ws(",", "product_id", "quantity", "unit_price"), F.lit("]"))
     lines = (
         items.select("order_id", "order_item_id", text.alias("item"))
-        .join(parts.filter(F.col("n_parts") > 1), "order_id", "left")
+        .join(large, "order_id", "left")
         .withColumn("part", F.coalesce(F.pmod(F.xxhash64("order_item_id"), F.col("n_parts")), F.lit(0)))
         .groupBy("order_id", "part")
         .agg(F.array_sort(F.collect_list(F.struct("order_item_id", "item"))).alias("_items"))

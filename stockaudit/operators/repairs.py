@@ -20,15 +20,17 @@ def repair_latest_status(orders: DataFrame, history: DataFrame) -> DataFrame:
     moved to one second after the newest other row and its other rows are deleted; if not, such a row is inserted.
     """
     current = orders.select("order_id", F.col("status").alias("wanted"))
-    newest = F.struct("changed_at", "history_id")
     fits = F.col("status") == F.col("wanted")
+    # The newest row per order and status is all the join needs: a few rows per order, however long its history.
+    newest = F.max(F.struct("changed_at", "history_id")).alias("_newest")
     facts = (
-        history.join(current, "order_id")
+        history.groupBy("order_id", "status").agg(newest)
+        .join(current, "order_id")
         .groupBy("order_id", "wanted")
         .agg(
-            F.max_by("status", newest).alias("_last"),
-            F.max_by("history_id", F.when(fits, newest)).alias("_kept"),
-            F.max(F.when(~fits, F.col("changed_at"))).alias("_after"),
+            F.max_by("status", "_newest").alias("_last"),
+            F.max(F.when(fits, F.col("_newest.history_id"))).alias("_kept"),
+            F.max(F.when(~fits, F.col("_newest.changed_at"))).alias("_after"),
         )
         .filter(F.col("_last") != F.col("wanted"))
     )

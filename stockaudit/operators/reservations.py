@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stockaudit.operators.existence import with_match
 from stockaudit.operators.ordered import HOT_ROWS, with_running_total
 from stockaudit.session import cut_lineage
 
@@ -82,12 +83,14 @@ def reserve_stock(
             ).filter(F.col("grant") | F.col("refuse"))
         )
         refused.append(settled.filter("refuse").select("order_id"))
-        lines = cut_lineage(
+        lines = (
             lines.join(settled, "order_id", "left")
             .filter(~F.coalesce("refuse", F.lit(False)))
             .withColumn("granted_", F.coalesce("granted_", F.when(F.col("grant"), F.lit(True))))
             .drop("grant", "refuse")
         )
+        # Products without an open line are done.
+        lines = cut_lineage(with_match(lines, lines.filter(F.col("granted_").isNull()), PAIR))
     failed = None
     for part in refused:
         failed = part if failed is None else failed.unionByName(part)

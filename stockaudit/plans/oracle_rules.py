@@ -170,6 +170,34 @@ RULE_SQL = {
         SELECT transaction_id, store_id, product_id, CAST(after - before AS BIGINT) AS effective_delta,
                CAST(after AS BIGINT) AS quantity_after
         FROM fold WHERE after <> before""",
+    "reserve_stock": """
+        WITH RECURSIVE served AS MATERIALIZED (
+          SELECT order_id, store_id, ROW_NUMBER() OVER (PARTITION BY store_id ORDER BY created_at, order_id) AS rn
+          FROM orders_r WHERE status = 'pending'),
+        wanted AS MATERIALIZED (
+          SELECT order_id, store_id, product_id, SUM(quantity) AS q FROM order_item JOIN served USING (order_id) GROUP BY ALL),
+        baskets AS MATERIALIZED (
+          SELECT s.*, COALESCE(b.items, []) AS items FROM served s
+          LEFT JOIN (SELECT order_id, LIST({'p': product_id, 'q': q}) AS items FROM wanted GROUP BY order_id) b
+            USING (order_id)),
+        shelves AS MATERIALIZED (
+          SELECT store_id, MAP(LIST(product_id), LIST(stock)) AS stock FROM (
+            SELECT DISTINCT w.store_id, w.product_id, CAST(COALESCE(quantity_on_hand, 0) AS HUGEINT) AS stock
+            FROM wanted w LEFT JOIN store_inventory USING (store_id, product_id)) x GROUP BY store_id),
+        walk AS (
+          SELECT store_id, CAST(0 AS BIGINT) AS rn, CAST(NULL AS BIGINT) AS order_id, TRUE AS ok, stock FROM shelves
+          UNION ALL
+          SELECT store_id, rn, order_id, ok, CASE WHEN ok AND LEN(items) > 0 THEN
+                   MAP_FROM_ENTRIES(LIST_TRANSFORM(MAP_ENTRIES(stock), lambda e: {'k': e.key, 'v': e.value -
+                     COALESCE(LIST_SUM(LIST_TRANSFORM(LIST_FILTER(items, lambda i: i.p = e.key), lambda i: i.q)), 0)}))
+                 ELSE stock END
+          FROM (SELECT b.store_id, b.rn, b.order_id, b.items, w.stock,
+                       LEN(LIST_FILTER(b.items, lambda i: w.stock[i.p] < i.q)) = 0 AS ok
+                FROM walk w JOIN baskets b ON b.store_id = w.store_id AND b.rn = w.rn + 1) step)
+        SELECT order_id, store_id, CASE WHEN ok THEN 'ok' ELSE 'insufficient_stock' END AS result
+        FROM walk WHERE rn > 0
+        UNION ALL
+        SELECT order_id, store_id, 'ok' FROM served WHERE store_id NOT IN (SELECT store_id FROM shelves)""",
     "stock_reversals": """
         SELECT i.order_id, i.order_item_id, i.product_id, o.store_id, i.quantity AS quantity_delta,
                (SELECT MAX(changed_at) FROM order_history h WHERE h.order_id = o.order_id AND h.status = 'cancelled') AS ts

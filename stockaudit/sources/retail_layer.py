@@ -118,10 +118,11 @@ LAYER = {
         UNION ALL
         SELECT CAST(1000 + s_suppkey AS INT), p_partkey, 100,
                CASE WHEN s_suppkey % 3 = 0 OR s_suppkey % 5 = 4 THEN 0 ELSE 100 END
-        FROM (SELECT p_partkey, p_partkey % n AS k FROM {part}, (SELECT COUNT(*) AS n FROM {supplier}) c
+        FROM (SELECT p_partkey, p_partkey % (SELECT COUNT(*) FROM {supplier}) AS k FROM {part}
               UNION ALL
-              SELECT p_partkey, (p_partkey + CAST(FLOOR(n / 2) AS BIGINT)) % n
-              FROM {part}, (SELECT COUNT(*) AS n FROM {supplier}) c) p
+              SELECT p_partkey, (p_partkey + (SELECT CAST(FLOOR(COUNT(*) / 2) AS BIGINT) FROM {supplier}))
+                       % (SELECT COUNT(*) FROM {supplier})
+              FROM {part}) p
         JOIN {supplier} ON s_suppkey = p.k""",
     "purchase_order_item": """
         SELECT CAST(po_id AS BIGINT) * 100000000 + product_id AS po_item_id, po_id, product_id, quantity_ordered,
