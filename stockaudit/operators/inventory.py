@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockaudit.operators.existence import with_match
-from stockaudit.operators.ordered import HOT_ROWS, with_row_number, with_running_total
+from stockaudit.operators.ordered import with_row_number, with_running_total
 from stockaudit.session import cut_lineage
 from stockaudit.sources.loading import purchase_price, with_price_band
 
@@ -32,7 +32,7 @@ def _with_opening(rows: DataFrame, opening: DataFrame | None) -> DataFrame:
     return rows.withColumn("opening", F.coalesce(known, F.lit(0)).cast("bigint"))
 
 
-def running_stock_ledger(ledger: DataFrame, opening: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def running_stock_ledger(ledger: DataFrame, opening: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
     """Stock after each ledger row, in (time, id) order, from the opening stock and the deltas."""
     moves = ledger.select("transaction_id", *PAIR, "quantity_delta", "timestamp_occurred")
     run = with_running_total(moves, PAIR, ["timestamp_occurred", "transaction_id"], F.col("quantity_delta"), "_run",
@@ -41,7 +41,7 @@ def running_stock_ledger(ledger: DataFrame, opening: DataFrame | None = None, ho
         "transaction_id", *PAIR, (F.col("opening") + F.col("_run")).alias("quantity_after"))
 
 
-def clamped_adjustments(adjustments: DataFrame, opening: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def clamped_adjustments(adjustments: DataFrame, opening: DataFrame, hot_rows: int | None = None) -> DataFrame:
     """Adjustments applied in order with a floor of 0; movements that change nothing are dropped.
 
     With X the unclamped balance, the clamped one is X - min(0, lowest X so far): one ordered pass
@@ -107,7 +107,7 @@ def _pending_lines(purchase_orders: DataFrame, po_items: DataFrame) -> DataFrame
     return po_items.select("po_id", "po_item_id", "product_id", "quantity_ordered").join(pending, "po_id")
 
 
-def receive_purchase_orders(purchase_orders, po_items, inventory, hot_rows: int = HOT_ROWS) -> DataFrame:
+def receive_purchase_orders(purchase_orders, po_items, inventory, hot_rows: int | None = None) -> DataFrame:
     """Restock movements of all pending orders, oldest first, with the stock after each line."""
     lines = _pending_lines(purchase_orders, po_items)
     run = with_running_total(lines, PAIR, ["ordered_at", "po_id", "po_item_id"], F.col("quantity_ordered"), "_run",
@@ -171,7 +171,7 @@ def price_band_violations(items, products, categories, bands) -> DataFrame:
     )
 
 
-def cold_chain_companions(t, hot_rows: int = HOT_ROWS) -> DataFrame:
+def cold_chain_companions(t, hot_rows: int | None = None) -> DataFrame:
     """For orders with a cold item: how many other cold products their store has in stock, and the lowest id.
 
     Cold stock is numbered per store by product id. The basket takes some of those numbers; the lowest

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 from stockaudit.session import cut_lineage
 
 HOT_ROWS = 4_000_000
+HOT_ROWS_SETTING = "spark.stockaudit.hotRows"
 BROADCAST_ROWS = 500_000
 SEGMENT = "_segment"
 
@@ -43,12 +44,17 @@ def _attach(df: DataFrame, small: DataFrame, names: Sequence[str], n_small: int)
     return df.join(side, on, "left").drop(*[f"_s_{n}" for n in names])
 
 
-def split_hot_groups(df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int) -> DataFrame | None:
+def split_hot_groups(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None
+) -> DataFrame | None:
     """``df`` plus an array column ``_segment``, or None when no group exceeds ``hot_rows``.
 
+    Without ``hot_rows`` the session setting ``spark.stockaudit.hotRows`` decides.
+
     Segments compare in the order of their rows. Oversized ones are cut again, by the first ordering
     column that still varies, until all fit (rows equal in every ordering column cannot be cut).
     """
+    hot_rows = hot_rows or int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
     if df.count() <= hot_rows:
         return None
     group = [*keys, SEGMENT]
@@ -91,7 +97,7 @@ def _carry(summary: DataFrame) -> tuple[DataFrame, int]:
 
 
 def with_previous(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str], hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str], hot_rows: int | None = None
 ) -> DataFrame:
     """Add the previous row's value per group: ``columns`` maps output name to input column."""
     parts = split_hot_groups(df, keys, order, hot_rows)
@@ -116,7 +122,7 @@ def with_previous(
 
 def with_running_total(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str,
-    low: str | None = None, hot_rows: int = HOT_ROWS,
+    low: str | None = None, hot_rows: int | None = None,
 ) -> DataFrame:
     """Add the running sum of ``value`` per group; ``low`` names its lowest value before the row."""
     df = df.withColumn("_seg_value", value.cast("bigint"))
@@ -149,6 +155,6 @@ def with_running_total(
 
 
 def with_row_number(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, hot_rows: int = HOT_ROWS
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, hot_rows: int | None = None
 ) -> DataFrame:
     return with_running_total(df, keys, order, F.lit(1), out, hot_rows=hot_rows)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stockaudit.operators.existence import with_match
-from stockaudit.operators.ordered import HOT_ROWS, with_running_total
+from stockaudit.operators.ordered import with_running_total
 from stockaudit.session import cut_lineage
 
 PAIR = ["store_id", "product_id"]
@@ -30,7 +30,7 @@ def _fold_store(lines: pd.DataFrame) -> pd.DataFrame:
 
 
 def reserve_stock(
-    inventory: DataFrame, orders: DataFrame, items: DataFrame, fold_rows: int = FOLD_ROWS, hot_rows: int = HOT_ROWS
+    inventory: DataFrame, orders: DataFrame, items: DataFrame, fold_rows: int = FOLD_ROWS, hot_rows: int | None = None
 ) -> DataFrame:
     """Which orders can be confirmed when served in (time, id) order per store.
 

@@ -12,6 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 import compare  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
+from stockaudit.operators.ordered import HOT_ROWS_SETTING  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 NAMES = list(entry.queries())
@@ -27,6 +28,18 @@ def test_query_equals_duckdb(spark, duck, name):
     assert compare.compare(spark, duck, SF, name)
 
 
+@pytest.mark.parametrize("name", (
+    "d2_invalid_transitions e5_running_balance audit_summary running_stock_ledger clamped_adjustments reserve_stock "
+    "receive_purchase_orders cold_chain_companions transition_rates repair_history_pipeline").split())
+def test_split_groups_equal_duckdb(spark, duck, name):
+    """The same with every group of more than a few rows treated as hot."""
+    spark.conf.set(HOT_ROWS_SETTING, "3")
+    try:
+        assert compare.compare(spark, duck, SF, name)
+    finally:
+        spark.conf.unset(HOT_ROWS_SETTING)
+
+
 def test_every_query_has_a_statement():
     assert set(NAMES) - set(entry.oracle_sql()) == set()
     assert len(NAMES) == 99
