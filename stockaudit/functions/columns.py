@@ -31,6 +31,11 @@ def at_hour(day: Column, hour: int) -> Column:
     return day.cast("timestamp_ntz") + F.make_dt_interval(hours=F.lit(hour))
 
 
+def hour_start(ts: Column) -> Column:
+    """The full hour of a zone-less timestamp."""
+    return F.to_date(ts).cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(ts))
+
+
 def next_workday_start(ts: Column, start: int = DAY_START_HOUR) -> Column:
     """Start of work on the following calendar day, whatever the hour."""
     return at_hour(F.date_add(F.to_date(ts), 1), start)

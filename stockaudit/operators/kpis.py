@@ -82,7 +82,7 @@ def hourly_order_summary(history: DataFrame) -> DataFrame:
     The running totals go over one row per calendar hour, within days and then over days.
     """
     names = {"created": "pending", "delivered": "delivered", "cancelled": "cancelled"}
-    hourly = history.groupBy(F.date_trunc("hour", "changed_at").cast("timestamp_ntz").alias("hour")).agg(
+    hourly = history.groupBy(c.hour_start(F.col("changed_at")).alias("hour")).agg(
         *[F.count_if(F.col("status") == s).alias(n) for n, s in names.items()])
     hourly = hourly.withColumn("_day", F.to_date("hour"))
     so_far = Window.partitionBy("_day").orderBy("hour").rowsBetween(Window.unboundedPreceding, 0)

@@ -51,7 +51,7 @@ def split_hot_groups(
 
     Without ``hot_rows`` the session setting ``spark.stockaudit.hotRows`` decides.
 
-    Segments compare in the order of their rows. Oversized ones are cut again, by the first ordering
+    Ordering columns are numbers or timestamps. Segments compare in the order of their rows. Oversized ones are cut again, by the first ordering
     column that still varies, until all fit (rows equal in every ordering column cannot be cut).
     """
     hot_rows = hot_rows or int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))

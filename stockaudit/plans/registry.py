@@ -20,7 +20,12 @@ from stockaudit.sources.retail_layer import retail_tables, with_clause
 from stockaudit.streaming import events as event_streams
 from stockaudit.streaming import ledger as ledger_streams
 from stockaudit.streaming import lifecycle
-from stockaudit.streaming.runs import read_stream, run_to_table
+from stockaudit.streaming.runs import (
+    MAX_BYTES_FOR_PYTHON_STATE,
+    MAX_BYTES_PER_TRIGGER,
+    read_stream,
+    run_to_table,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +36,14 @@ def _comparable(df: DataFrame) -> DataFrame:
     return df.withColumns(money) if money else df
 
 
+def _utc(run: Query) -> Query:
+    """Watermarks need zoned time; UTC makes it equal to the zone-less time of the tables."""
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return run(spark, sf_dir)
+    return query
+
+
 def _on_tables(run: Callable[..., DataFrame]) -> Query:
     return lambda spark, sf_dir: _comparable(run(retail_tables(spark, sf_dir)))
 
@@ -116,19 +129,19 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_stream(spark, f"{sf_dir}/events.parquet*", event_streams.EVENTS)
 
 
-def _table_stream(t, table: str) -> DataFrame:
+def _table_stream(t, table: str, max_bytes: int) -> DataFrame:
     df = getattr(t, table)
-    return read_stream(t.spark, t.path_of(table), df.schema)
+    return read_stream(t.spark, t.path_of(table), df.schema, max_bytes)
 
 
 def _statuses(t) -> DataFrame:
-    return _table_stream(t, "order_history").select(
+    return _table_stream(t, "order_history", MAX_BYTES_FOR_PYTHON_STATE).select(
         F.col("order_id").alias("entity_id"), F.col("history_id").alias("event_id"), "status",
         F.col("changed_at").alias("ts"))
 
 
-def _movements(t) -> DataFrame:
-    return _table_stream(t, "inventory_transaction").select(
+def _movements(t, max_bytes: int = MAX_BYTES_PER_TRIGGER) -> DataFrame:
+    return _table_stream(t, "inventory_transaction", max_bytes).select(
         "store_id", "product_id", F.col("transaction_id").alias("id"), F.col("transaction_type").alias("kind"),
         F.col("quantity_delta").alias("delta"), F.col("timestamp_occurred").alias("ts"))
 
@@ -229,7 +242,8 @@ RULES: dict[str, Callable[..., DataFrame]] = {
     # ST: streams over the layer
     "stream_order_lifecycle": lambda t: run_to_table(lifecycle.order_lifecycle(_statuses(t))),
     "stream_sla_timeouts": lambda t: run_to_table(lifecycle.sla_timeouts(_statuses(t))),
-    "stream_stock_ledger": lambda t: run_to_table(ledger_streams.stock_ledger(_movements(t), t.store_inventory)),
+    "stream_stock_ledger": lambda t: run_to_table(ledger_streams.stock_ledger(
+        _movements(t, MAX_BYTES_FOR_PYTHON_STATE), t.store_inventory)),
     "stream_upsert_inventory": _stream_upsert_inventory,
 }
 
@@ -243,7 +257,7 @@ def queries() -> dict[str, Query]:
     out["stream_dedup_events"] = _stream_dedup_events
     out["stream_resume"] = _stream_resume
     out["stream_open_sessions"] = _stream(event_streams.open_sessions)
-    return out
+    return {name: _utc(run) for name, run in out.items()}
 
 
 def oracle_sql() -> dict[str, str]:

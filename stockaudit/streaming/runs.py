@@ -10,7 +10,10 @@ from pyspark.sql import types as T
 
 from stockaudit.session import new_folder
 
-MAX_BYTES_PER_TRIGGER = 1 << 30
+# Built-in aggregations combine before the shuffle and may take large micro-batches; Python state functions
+# sort what a bucket got, so their micro-batches stay small enough for one worker's memory.
+MAX_BYTES_PER_TRIGGER = 64 << 30
+MAX_BYTES_FOR_PYTHON_STATE = 1 << 30
 WATERMARK = "10 minutes"
 
 
