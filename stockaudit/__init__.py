@@ -1 +1,8 @@
 """Spark-native audit, repair and stock analytics for quick-commerce retail tables."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with the job, so the package need not be installed on the executors.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
