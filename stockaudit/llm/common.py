@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -38,7 +40,7 @@ def through_arrow(df: DataFrame, fields: str, work: Callable[[pa.RecordBatch], d
     added = [f.name for f in extra.fields]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             made = work(batch)
             names = [*batch.schema.names, *added]
             out = pa.RecordBatch.from_arrays([*batch.columns, *(made[n] for n in added)], names=names)
@@ -47,6 +49,27 @@ def through_arrow(df: DataFrame, fields: str, work: Callable[[pa.RecordBatch], d
     return df.mapInArrow(each, schema)
 
 
+def small(batches: Iterator[pa.RecordBatch], most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of about ``most`` bytes; a longer row is a slice of its own."""
+    for batch in batches:
+        rows = max(1, batch.num_rows * most // max(1, batch.nbytes))
+        if rows >= batch.num_rows:
+            yield batch
+            continue
+        start = 0
+        while start < batch.num_rows:
+            n = rows
+            while n > 1 and batch.slice(start, n).nbytes > 2 * most:
+                n //= 2
+            yield batch.slice(start, n)
+            start += n
+
+
+def worker_state() -> dict:
+    """What a worker process keeps from task to task. Functions travel by value, so their own globals live for one task."""
+    return sys.modules.setdefault("stockaudit_worker_state", types.ModuleType("stockaudit_worker_state")).__dict__
+
+
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> Iterator[str | None]:
     """The texts one by one, so that only one of them is a Python object at a time."""
     at = batch.column(batch.schema.names.index(column))

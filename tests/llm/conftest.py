@@ -1,0 +1 @@
+"""These tests use the session of the tests above."""
