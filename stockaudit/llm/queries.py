@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockaudit.llm import bpe, language, secrets, url_rules
+from stockaudit.llm import bpe, language, secrets, simhash, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_scan": secrets.op3_secret_scan,
+    "op4_simhash_duplicates": simhash.op4_simhash_duplicates,
     "op5_language_id": language.op5_language_id,
     "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
     "op9_url_rules": url_rules.op9_url_rules,
