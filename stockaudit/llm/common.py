@@ -33,14 +33,18 @@ def free_name(df: DataFrame, wanted: str) -> str:
     return wanted
 
 
-def through_arrow(df: DataFrame, fields: str, work: Callable[[pa.RecordBatch], dict[str, pa.Array]]) -> DataFrame:
-    """``df``'s columns as they are, and those that ``work`` returns for each batch; a mask named ``keep`` drops rows."""
+def through_arrow(df: DataFrame, fields: str, work: Callable[[pa.RecordBatch], dict[str, pa.Array]],
+                  most: int = 4 << 20) -> DataFrame:
+    """``df``'s columns as they are, and those that ``work`` returns for each batch; a mask named ``keep`` drops rows.
+
+    Batches have about ``most`` bytes, or one row.
+    """
     extra = T.StructType.fromDDL(fields) if fields else T.StructType()
     schema = T.StructType([*df.schema.fields, *extra.fields])
     added = [f.name for f in extra.fields]
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
+        for batch in small(batches, most):
             made = work(batch)
             names = [*batch.schema.names, *added]
             out = pa.RecordBatch.from_arrays([*batch.columns, *(made[n] for n in added)], names=names)
