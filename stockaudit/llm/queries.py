@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockaudit.llm import bpe, decontaminate, language, secrets, simhash, url_rules
+from stockaudit.llm import bpe, decontaminate, language, secrets, simhash, token_files, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontaminate.op1_decontamination,
     "op3_secret_scan": secrets.op3_secret_scan,
     "op4_simhash_duplicates": simhash.op4_simhash_duplicates,
     "op5_language_id": language.op5_language_id,
+    "op6_token_files": token_files.op6_token_files,
     "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
     "op9_url_rules": url_rules.op9_url_rules,
 }
