@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockaudit.llm import bpe, decontaminate, language, secrets, simhash, token_files, url_rules
+from stockaudit.llm import bpe, decontaminate, language, secrets, simhash, sketch, token_files, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -16,5 +16,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_files": token_files.op6_token_files,
     "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
     "op9_url_rules": url_rules.op9_url_rules,
+    "op10_sketch": sketch.op10_sketch,
 }
 SQL: dict[str, str] = {"op9_url_rules": url_rules.SQL}
