@@ -149,15 +149,24 @@ def _join_parts(path: str):
 
 # --- the operator -----------------------------------------------------------------------------
 
-def encode(docs: DataFrame, path: str | None = None, text: str = "text", tokens: str = "tokens") -> DataFrame:
-    """``docs`` and an array column ``tokens``: the ids the library gives without special tokens added."""
+def encode(docs: DataFrame, path: str | None = None, text: str = "text", tokens: str = "tokens",
+           decoded: str | None = None) -> DataFrame:
+    """``docs`` and an array column ``tokens``: the ids the library gives without special tokens added.
+
+    With ``decoded``, also a column of that name with the text that the ids spell, made in the same pass.
+    """
     path = path or default_vocabulary()
     long_run = F.coalesce(F.col(text).rlike(rf"\S{{{LONG}}}|\s{{{LONG}}}"), F.lit(False))
 
     def ordinary(batch: pa.RecordBatch) -> dict[str, pa.Array]:
-        return {tokens: _lists(PieceEncoder.of(path).encode([x or "" for x in texts_of(batch, text)]))}
-
-    short = through_arrow(docs.where(~long_run), f"`{tokens}` array<int>", ordinary)
+        ids = PieceEncoder.of(path).encode([x or "" for x in texts_of(batch, text)])
+        made = {tokens: _lists(ids)}
+        if decoded:
+            made[decoded] = pa.array([Spelling.of(path).decode(x) for x in ids], pa.string())
+        return made
+
+    fields = f"`{tokens}` array<int>" + (f", `{decoded}` string" if decoded else "")
+    short = through_arrow(docs.where(~long_run), fields, ordinary, 2 << 20)
     row = free_name(docs, "row")
     numbered = docs.where(long_run).withColumn(row, F.monotonically_increasing_id())
     parts = numbered.select(row, text).mapInArrow(
@@ -166,7 +175,8 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", tokens:
         _encode_parts(path), "row long, place int, unit int, kind int, ids array<int>")
     long = made.groupBy("row").applyInPandas(_join_parts(path), "row long, ids array<int>")
     long = long.select(F.col("row").alias(row), F.col("ids").alias(tokens))
-    return short.unionByName(numbered.join(long, row).select(*docs.columns, tokens))
+    long = numbered.join(long, row).select(*docs.columns, tokens)
+    return short.unionByName(decode(long, path, tokens, decoded) if decoded else long)
 
 
 class Spelling:
@@ -224,7 +234,7 @@ def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def round_trip(docs: DataFrame) -> DataFrame:
     """Digests of the ids and of the decoded text of every document."""
-    coded = decode(encode(docs.select("doc_id", "text")).drop("text"))
+    coded = encode(docs.select("doc_id", "text"), decoded="decoded").drop("text")
     return coded.select(
         "doc_id", F.size("tokens").cast(T.LongType()).alias("n_tokens"),
         F.sha2(F.array_join("tokens", ","), 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -15,8 +15,8 @@ import numpy as np
 
 from stockaudit.llm.common import worker_state
 
-_CHUNK = 1 << 20  # characters of a text that are handled at once
-_MOST_PIECES = 1_500_000  # in the table of known pieces; it starts anew when full
+_CHUNK = 1 << 18  # characters of a text that are handled at once
+_MOST_PIECES = 800_000  # in the table of known pieces; it starts anew when full
 
 _B = np.arange(256)
 _LETTER = ((_B >= 65) & (_B <= 90)) | ((_B >= 97) & (_B <= 122))
@@ -84,7 +84,7 @@ class PieceEncoder:
         at = 0
         while at < len(parts):
             upto, size = at, 0
-            while upto < len(parts) and (upto == at or size + len(parts[upto]) <= 2 << 20):
+            while upto < len(parts) and (upto == at or size + len(parts[upto]) <= 1 << 20):
                 size += len(parts[upto])
                 upto += 1
             for i, ids in zip(owner[at:upto], self._block(parts[at:upto])):
@@ -126,7 +126,8 @@ class PieceEncoder:
 
     def _hashes(self, b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if len(self.up) < len(b):
-            self.up, self.down = powers(2 * len(b), _BASE), powers(2 * len(b), _INVERSE)
+            n = len(b) + (len(b) >> 3)
+            self.up, self.down = powers(n, _BASE), powers(n, _INVERSE)
         out = []
         for values in (self.one, self.two):
             total = np.zeros(len(b) + 1, np.uint64)
