@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockaudit.llm import bpe, decontaminate, language, secrets, simhash, sketch, token_files, url_rules
+from stockaudit.llm import bpe, decontaminate, language, secrets, simhash, sketch, token_files, toxicity, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_language_id": language.op5_language_id,
     "op6_token_files": token_files.op6_token_files,
     "op7_bpe_round_trip": bpe.op7_bpe_round_trip,
+    "op8_toxicity": toxicity.op8_toxicity,
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_sketch": sketch.op10_sketch,
 }
