@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockaudit.llm import bpe, decontaminate, language, secrets, simhash, sketch, token_files, toxicity, url_rules
+from stockaudit.llm import bpe, decontaminate, language, secrets, simhash, sketch, suffix_dedup, token_files, toxicity, url_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontaminate.op1_decontamination,
+    "op2_suffix_dedup": suffix_dedup.op2_suffix_dedup,
     "op3_secret_scan": secrets.op3_secret_scan,
     "op4_simhash_duplicates": simhash.op4_simhash_duplicates,
     "op5_language_id": language.op5_language_id,
