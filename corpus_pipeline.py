@@ -1,4 +1,9 @@
-"""A corpus pipeline of five stages over ``documents``; each stage's rows are written and read again by the next."""
+"""A corpus pipeline of five stages over ``documents``; each stage's rows are written and read again by the next.
+
+Language identification drops texts of unknown language, SimHash keeps the least id of each group of near copies,
+decontamination drops documents with benchmark windows, the secret scan masks every secret it finds (as many characters
+as before, so ``n_chars`` holds), and the last stage encodes and decodes what is left.
+"""
 
 from __future__ import annotations
 
@@ -6,20 +11,47 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stockaudit.llm import bpe, decontaminate, language, secrets, simhash
 from stockaudit.llm.common import stored, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
 
-#: Some stages (language model, token merges, decoding) can't be said in SQL; tests hold run() against brute force.
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return language.keep_identified(docs)
+
+
+def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return simhash.keep_one_of_each(docs)
+
+
+def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.remove_contaminated(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return secrets.mask_secrets(docs)
+
+
+def bpe_encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return bpe.round_trip(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
+    ("simhash_near_dedup", simhash_near_dedup),
+    ("benchmark_decontamination", benchmark_decontamination),
+    ("secret_scan", secret_scan),
+    ("bpe_encoding", bpe_encoding),
+]
+
+#: A trained classifier, decoding until nothing changes and token merges can't be said in SQL; a test holds run() against
+#: brute force stage by stage.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for i, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = stored(docs, f"pipeline-{name}")
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
