@@ -13,9 +13,10 @@ import compare  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
 from stockaudit.operators.ordered import HOT_ROWS_SETTING  # noqa: E402
+from stockaudit.plans import registry  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NAMES = list(entry.queries())
+NAMES = list(registry.queries())
 
 
 @pytest.fixture(scope="module")
