@@ -84,7 +84,8 @@ def illegal_move() -> Column:
         lambda a, b: a | b,
         [(F.col("prev_status") == p) & (F.col("status") == s) for p, s in ALLOWED_TRANSITIONS],
     )
-    return F.col("prev_status").isNotNull() & ~legal
+    # A NULL status follows nothing legally.
+    return F.col("prev_status").isNotNull() & ~F.coalesce(legal, F.lit(False))
 
 
 def wrong_sign() -> Column:

@@ -32,16 +32,16 @@ def _with_opening(rows: DataFrame, opening: DataFrame | None) -> DataFrame:
     return rows.withColumn("opening", F.coalesce(known, F.lit(0)).cast("bigint"))
 
 
-def running_stock_ledger(ledger: DataFrame, opening: DataFrame | None = None, hot_rows: int | None = None) -> DataFrame:
+def running_stock_ledger(ledger: DataFrame, opening: DataFrame | None = None, parts: int | None = None) -> DataFrame:
     """Stock after each ledger row, in (time, id) order, from the opening stock and the deltas."""
     moves = ledger.select("transaction_id", *PAIR, "quantity_delta", "timestamp_occurred")
     run = with_running_total(moves, PAIR, ["timestamp_occurred", "transaction_id"], F.col("quantity_delta"), "_run",
-                             hot_rows=hot_rows)
+                             parts=parts)
     return _with_opening(run, opening).select(
         "transaction_id", *PAIR, (F.col("opening") + F.col("_run")).alias("quantity_after"))
 
 
-def clamped_adjustments(adjustments: DataFrame, opening: DataFrame, hot_rows: int | None = None) -> DataFrame:
+def clamped_adjustments(adjustments: DataFrame, opening: DataFrame, parts: int | None = None) -> DataFrame:
     """Adjustments applied in order with a floor of 0; movements that change nothing are dropped.
 
     With X the unclamped balance, the clamped one is X - min(0, lowest X so far): one ordered pass
@@ -49,7 +49,7 @@ def clamped_adjustments(adjustments: DataFrame, opening: DataFrame, hot_rows: in
     """
     moves = adjustments.select("transaction_id", *PAIR, "quantity_delta", "timestamp_occurred")
     run = with_running_total(moves, PAIR, ["timestamp_occurred", "transaction_id"], F.col("quantity_delta"), "_run",
-                             low="_low", hot_rows=hot_rows)
+                             low="_low", parts=parts)
     balance = F.col("opening") + F.col("_run")
     lowest_before = F.col("opening") + F.col("_low")
     after = balance - F.least(F.lit(0), lowest_before, balance)
@@ -78,6 +78,16 @@ def stock_reversals(orders: DataFrame, items: DataFrame, history: DataFrame) ->
         "order_id", "order_item_id", "product_id", "store_id", F.col("quantity").alias("quantity_delta"), "ts")
 
 
+def cancellation_ledger(orders: DataFrame, items: DataFrame, history: DataFrame, inventory: DataFrame,
+                        parts: int | None = None) -> DataFrame:
+    """The return rows of cancelled orders, in (time, order, item) order, with the stock after each."""
+    returns = stock_reversals(orders, items, history)
+    run = with_running_total(returns, PAIR, ["ts", "order_id", "order_item_id"], F.col("quantity_delta"), "_run", parts=parts)
+    return _with_opening(run, opening_stock(inventory)).select(
+        "order_id", "order_item_id", *PAIR, F.lit("return").alias("transaction_type"), "quantity_delta",
+        (F.col("opening") + F.col("_run")).alias("quantity_after"), "ts")
+
+
 def cap_order_quantity(requests: DataFrame, inventory: DataFrame) -> DataFrame:
     """Requested lines cut to the stock on hand; products out of stock are dropped."""
     stock = inventory.filter(F.col("quantity_on_hand") > 0).select(*PAIR, "quantity_on_hand")
@@ -107,11 +117,11 @@ def _pending_lines(purchase_orders: DataFrame, po_items: DataFrame) -> DataFrame
     return po_items.select("po_id", "po_item_id", "product_id", "quantity_ordered").join(pending, "po_id")
 
 
-def receive_purchase_orders(purchase_orders, po_items, inventory, hot_rows: int | None = None) -> DataFrame:
+def receive_purchase_orders(purchase_orders, po_items, inventory, parts: int | None = None) -> DataFrame:
     """Restock movements of all pending orders, oldest first, with the stock after each line."""
     lines = _pending_lines(purchase_orders, po_items)
     run = with_running_total(lines, PAIR, ["ordered_at", "po_id", "po_item_id"], F.col("quantity_ordered"), "_run",
-                             hot_rows=hot_rows)
+                             parts=parts)
     return _with_opening(run, opening_stock(inventory)).select(
         "po_id", "po_item_id", *PAIR, F.col("quantity_ordered").alias("quantity_delta"),
         (F.col("opening") + F.col("_run")).alias("quantity_after"))
@@ -171,7 +181,7 @@ def price_band_violations(items, products, categories, bands) -> DataFrame:
     )
 
 
-def cold_chain_companions(t, hot_rows: int | None = None) -> DataFrame:
+def cold_chain_companions(t, parts: int | None = None) -> DataFrame:
     """For orders with a cold item: how many other cold products their store has in stock, and the lowest id.
 
     Cold stock is numbered per store by product id. The basket takes some of those numbers; the lowest
@@ -180,14 +190,14 @@ def cold_chain_companions(t, hot_rows: int | None = None) -> DataFrame:
     """
     cold = cold_products(t.product, t.category)
     in_stock = with_match(t.store_inventory.filter(F.col("quantity_on_hand") > 0).select(*PAIR), cold, ["product_id"])
-    numbered = with_row_number(in_stock, ["store_id"], ["product_id"], "number", hot_rows=hot_rows)
+    numbered = with_row_number(in_stock, ["store_id"], ["product_id"], "number", parts=parts)
     per_store = in_stock.groupBy("store_id").agg(F.count(F.lit(1)).alias("n_stock"))
 
     basket = with_match(t.order_item.select("order_id", "product_id"), cold, ["product_id"]).distinct()
     basket = basket.join(t.orders.select("order_id", "store_id"), "order_id")
     # Stored once: the ordered pass over it counts before it runs.
     taken = cut_lineage(basket.join(numbered, PAIR).select("order_id", "number"))
-    ranked = with_row_number(taken, ["order_id"], ["number"], "place", hot_rows=hot_rows)
+    ranked = with_row_number(taken, ["order_id"], ["number"], "place", parts=parts)
     used = ranked.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n_taken"), F.count_if(F.col("number") == F.col("place")).alias("run"))
     orders = basket.select("order_id", "store_id").distinct().join(used, "order_id", "left").join(

@@ -38,12 +38,16 @@ def _expected(words: dict, key: str) -> Column:
     return table[F.col(key)]
 
 
+def fulfilment_minutes_by_order(orders: DataFrame, history: DataFrame) -> DataFrame:
+    """Whole minutes from creation to delivery of every delivered order."""
+    delivered = history.filter(F.col("status") == "delivered").groupBy("order_id").agg(F.max("changed_at").alias("at"))
+    return orders.select("order_id", "store_id", "created_at").join(delivered, "order_id").select(
+        "order_id", "store_id", c.minutes_between(F.col("created_at"), F.col("at")).alias("minutes"))
+
+
 def fulfilment_minutes(orders: DataFrame, history: DataFrame) -> DataFrame:
     """Whole minutes from creation to delivery per store."""
-    delivered = history.filter(F.col("status") == "delivered").groupBy("order_id").agg(F.max("changed_at").alias("at"))
-    minutes = orders.select("order_id", "store_id", "created_at").join(delivered, "order_id").select(
-        "store_id", c.minutes_between(F.col("created_at"), F.col("at")).alias("minutes"))
-    return minutes.groupBy("store_id").agg(
+    return fulfilment_minutes_by_order(orders, history).groupBy("store_id").agg(
         _rows().alias("n"), F.min("minutes").alias("min_minutes"), F.max("minutes").alias("max_minutes"),
         _ratio(F.sum("minutes"), _rows()).alias("avg_minutes"))
 

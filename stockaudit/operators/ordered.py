@@ -1,9 +1,9 @@
 """Ordered per-group operators that stay parallel when one group holds most of the rows.
 
-A plain window puts a whole group into one task. Here a group above ``hot_rows`` is first cut into
-consecutive segments along its own ordering, windows run inside the segments, and small per-segment
-summaries carry totals and last values across the cuts. Without hot groups (one cheap count decides)
-the plan is the plain window.
+A plain window puts a whole group into one task. Here the rows are sorted over the cluster by group and order, and each
+range of that sort is a segment: a group that spans several ranges is cut between them, whatever its size. Windows run
+inside (group, segment). A range borders on two groups at most, so the summaries that carry totals and last
+values over the cuts are a few rows per range. The same plan serves every size, and Spark's own ordering places NULLs.
 """
 
 from __future__ import annotations
@@ -13,148 +13,87 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from stockaudit.session import cut_lineage
 
-HOT_ROWS = 4_000_000
-HOT_ROWS_SETTING = "spark.stockaudit.hotRows"
-BROADCAST_ROWS = 500_000
+#: Number of ranges; Spark decides from ``spark.sql.shuffle.partitions`` and the size of the data where it is unset.
+PARTS_SETTING = "spark.stockaudit.parts"
 SEGMENT = "_segment"
 
 
-def _position(df: DataFrame, name: str) -> Column:
-    """An ordering column as a double that keeps the order (microseconds survive)."""
-    col = F.col(name)
-    if isinstance(df.schema[name].dataType, (T.TimestampNTZType, T.TimestampType)):
-        return (
-            F.datediff(F.to_date(col), F.lit("1970-01-01")).cast("double") * 86400
-            + F.hour(col) * 3600
-            + F.minute(col) * 60
-            + F.date_part(F.lit("SECOND"), col).cast("double")
-        )
-    return col.cast("double")
-
-
-def _attach(df: DataFrame, small: DataFrame, names: Sequence[str], n_small: int) -> DataFrame:
-    """Left join of a per-segment summary, broadcast only while its counted size is small."""
-    side = small.withColumnsRenamed({n: f"_s_{n}" for n in names})
-    on = reduce(lambda a, b: a & b, [F.col(n).eqNullSafe(F.col(f"_s_{n}")) for n in names])
-    side = F.broadcast(side) if n_small <= BROADCAST_ROWS else side
-    return df.join(side, on, "left").drop(*[f"_s_{n}" for n in names])
-
-
-def split_hot_groups(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], hot_rows: int | None = None
-) -> DataFrame | None:
-    """``df`` plus an array column ``_segment``, or None when no group exceeds ``hot_rows``.
-
-    Without ``hot_rows`` the session setting ``spark.stockaudit.hotRows`` decides.
-
-    Ordering columns are numbers or timestamps. Segments compare in the order of their rows. Oversized ones are cut again, by the first ordering
-    column that still varies, until all fit (rows equal in every ordering column cannot be cut).
-    """
-    hot_rows = hot_rows or int(df.sparkSession.conf.get(HOT_ROWS_SETTING, str(HOT_ROWS)))
-    if df.count() <= hot_rows:
-        return None
-    group = [*keys, SEGMENT]
-    out = df.withColumn(SEGMENT, F.array().cast("array<bigint>"))
-    scope, depth = out, 0
-    while True:
-        bounds = [f(_position(df, c)).alias(f"_{n}{i}") for i, c in enumerate(order)
-                  for n, f in (("lo", F.min), ("hi", F.max))]
-        sizes = scope.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), *bounds)
-        pick_col = F.coalesce(*[F.when(F.col(f"_lo{i}") < F.col(f"_hi{i}"), F.lit(i)) for i in range(len(order))])
-        pick = [F.when(F.col("_by") == i, F.col(f"_lo{i}")) for i in range(len(order))]
-        span = [F.when(F.col("_by") == i, F.col(f"_hi{i}") - F.col(f"_lo{i}")) for i in range(len(order))]
-        cuts = cut_lineage(
-            sizes.filter(F.col("_n") > hot_rows)
-            .withColumn("_by", pick_col)
-            .filter(F.col("_by").isNotNull())
-            .withColumn("_parts", F.ceil(F.col("_n") / F.lit(hot_rows)) * 2)
-            .select(*group, "_by", "_parts", F.coalesce(*pick).alias("_lo"),
-                    (F.coalesce(*span) / F.col("_parts")).alias("_width"))
-        )
-        n_cuts = cuts.count()
-        if n_cuts == 0:
-            return out if depth else None
-        depth += 1
-        at = F.coalesce(*[F.when(F.col("_by") == i, _position(df, c)) for i, c in enumerate(order)])
-        # The last value of the range would fall into an extra part; it belongs to the last one.
-        part = F.least(F.floor((at - F.col("_lo")) / F.col("_width")), F.col("_parts") - 1).cast("bigint")
-        out = (
-            _attach(out, cuts, group, n_cuts)
-            .withColumn(SEGMENT, F.when(F.col("_by").isNull(), F.col(SEGMENT))
-                        .otherwise(F.concat(F.col(SEGMENT), F.array(part))))
-            .drop("_by", "_parts", "_lo", "_width")
-        )
-        scope = out.filter(F.size(SEGMENT) == depth)
-
-
-def _carry(summary: DataFrame) -> tuple[DataFrame, int]:
-    summary = cut_lineage(summary)
-    return summary, summary.count()
+def in_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int | None = None) -> DataFrame:
+    """``df`` with the number of the range each row lies in; ranges ascend by (keys, order), NULLs first."""
+    parts = parts or int(df.sparkSession.conf.get(PARTS_SETTING, "0"))
+    ranged = df.repartitionByRange(*([parts] if parts else []), *keys, *order)
+    # Stored, since the bounds of the ranges come from a sample and every reader must see the same ones.
+    return cut_lineage(ranged.withColumn(SEGMENT, F.spark_partition_id()))
+
+
+def _same(df: DataFrame, side: DataFrame, names: Sequence[str]) -> tuple[DataFrame, Column]:
+    """``side`` with its names marked, and the null-safe join condition."""
+    renamed = side.withColumnsRenamed({n: f"_s_{n}" for n in names})
+    return renamed, reduce(lambda a, b: a & b, [df[n].eqNullSafe(renamed[f"_s_{n}"]) for n in names])
+
+
+def _cut_groups(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of groups at the borders of ranges: the first and the last group of each."""
+    group = F.struct(*keys)
+    borders = parts.groupBy(SEGMENT).agg(F.min(group).alias("_lo"), F.max(group).alias("_hi"))
+    borders = borders.select(F.explode(F.array("_lo", "_hi")).alias("_k")).groupBy("_k").agg(F.count(F.lit(1)).alias("_times"))
+    # A group that goes on in another range borders on two of them. Two rows per range at most.
+    side, on = _same(parts, borders.filter("_times > 1").select("_k.*"), keys)
+    return parts.join(F.broadcast(side), on, "left_semi")
+
+
+def _attach(df: DataFrame, small: DataFrame, names: Sequence[str]) -> DataFrame:
+    side, on = _same(df, small, names)
+    return df.join(F.broadcast(side), on, "left").drop(*[f"_s_{n}" for n in names])
 
 
 def with_previous(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str], hot_rows: int | None = None
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str], parts: int | None = None
 ) -> DataFrame:
     """Add the previous row's value per group: ``columns`` maps output name to input column."""
-    parts = split_hot_groups(df, keys, order, hot_rows)
-    if parts is None:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({out: F.lag(c).over(w) for out, c in columns.items()})
+    rows = in_segments(df, keys, order, parts)
     group = [*keys, SEGMENT]
     w = Window.partitionBy(*group).orderBy(*order)
     last = (
-        parts.filter(F.size(SEGMENT) > 0)
-        .groupBy(*group)
+        _cut_groups(rows, keys).groupBy(*group)
         .agg(F.max_by(F.struct(*columns.values()), F.struct(*order)).alias("_last"))
         .withColumn("_last", F.lag("_last").over(Window.partitionBy(*keys).orderBy(SEGMENT)))
     )
-    last, n = _carry(last)
-    out = parts.withColumns({o: F.lag(c).over(w) for o, c in columns.items()} | {"_rn": F.row_number().over(w)})
-    out = _attach(out, last, group, n).withColumns(
-        {o: F.when(F.col("_rn") == 1, F.col("_last")[c]).otherwise(F.col(o)) for o, c in columns.items()}
-    )
+    out = rows.withColumns({o: F.lag(c).over(w) for o, c in columns.items()} | {"_rn": F.row_number().over(w)})
+    out = _attach(out, last, group).withColumns(
+        {o: F.when(F.col("_rn") == 1, F.col("_last")[c]).otherwise(F.col(o)) for o, c in columns.items()})
     return out.drop(SEGMENT, "_rn", "_last")
 
 
 def with_running_total(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str,
-    low: str | None = None, hot_rows: int | None = None,
+    low: str | None = None, parts: int | None = None,
 ) -> DataFrame:
     """Add the running sum of ``value`` per group; ``low`` names its lowest value before the row."""
-    df = df.withColumn("_seg_value", value.cast("bigint"))
-    parts = split_hot_groups(df, keys, order, hot_rows)
-    group = list(keys) if parts is None else [*keys, SEGMENT]
+    rows = in_segments(df.withColumn("_seg_value", value.cast("bigint")), keys, order, parts)
+    group = [*keys, SEGMENT]
     ordered = Window.partitionBy(*group).orderBy(*order)
+    running = F.sum("_seg_value").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
+    cut = _cut_groups(rows, keys)
     # Both windows share one shuffle and one sort.
-    res = (df if parts is None else parts).withColumn(
-        out, F.sum("_seg_value").over(ordered.rowsBetween(Window.unboundedPreceding, 0)))
+    res = rows.withColumn(out, running)
     if low:
         res = res.withColumn(low, F.min(out).over(ordered.rowsBetween(Window.unboundedPreceding, -1)))
-    if parts is None:
-        return res.drop("_seg_value")
-
-    split = F.size(SEGMENT) > 0
-    if low:
-        sums = res.filter(split).groupBy(*group).agg(F.sum("_seg_value").alias("_seg_sum"), F.min(out).alias("_seg_min"))
-    else:
-        sums = parts.filter(split).groupBy(*group).agg(F.sum("_seg_value").alias("_seg_sum"))
+        cut = cut.withColumn("_seg_run", running)
+    sums = cut.groupBy(*group).agg(F.sum("_seg_value").alias("_seg_sum"), *([F.min("_seg_run").alias("_seg_min")] if low else []))
     before = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_seg_base", F.coalesce(F.sum("_seg_sum").over(before), F.lit(0)))
     if low:
         sums = sums.withColumn("_seg_low", F.min(F.col("_seg_base") + F.col("_seg_min")).over(before))
-    sums, n = _carry(sums.drop("_seg_sum", "_seg_min"))
-    res = _attach(res, sums, group, n)
+    res = _attach(res, sums.drop("_seg_sum", "_seg_min"), group)
     base = F.coalesce(F.col("_seg_base"), F.lit(0))
     if low:
         res = res.withColumn(low, F.least(F.col("_seg_low"), F.col(low) + base))
     return res.withColumn(out, F.col(out) + base).drop(SEGMENT, "_seg_value", "_seg_base", "_seg_low")
 
 
-def with_row_number(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, hot_rows: int | None = None
-) -> DataFrame:
-    return with_running_total(df, keys, order, F.lit(1), out, hot_rows=hot_rows)
+def with_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, parts: int | None = None) -> DataFrame:
+    return with_running_total(df, keys, order, F.lit(1), out, parts=parts)

@@ -12,7 +12,6 @@ from stockaudit.functions import columns as c
 from stockaudit.functions.parameters import DEFAULT_DELIVERY_FEE, STALE_HOURS
 
 OPEN = ("pending", "confirmed")
-MAX_ITEMS_PER_SNAPSHOT = 1000
 
 
 def price_orders(items: DataFrame, orders: DataFrame, customers: DataFrame, zones: DataFrame) -> DataFrame:
@@ -95,48 +94,36 @@ def open_at_day_end(orders: DataFrame, history: DataFrame, will_confirm: Column)
                          closing.alias("closing"))
 
 
-def order_snapshot_json(orders: DataFrame, items: DataFrame, max_items: int = MAX_ITEMS_PER_SNAPSHOT) -> DataFrame:
-    """Open orders as JSON text with nested items, each item an array [product, quantity, price].
+def order_snapshot_json(orders: DataFrame, items: DataFrame) -> DataFrame:
+    """Open orders as JSON texts: for each a header (``order_item_id`` NULL), and one text per item.
 
-    An order of more than ``max_items`` lines is spread over several parts, so no row grows without bound.
+    Every order has this shape, so no row grows with an order.
     """
     head = orders.filter(F.col("status").isin(*OPEN)).select(
         "order_id", "status", F.date_format("created_at", "yyyy-MM-dd'T'HH:mm:ss").alias("created_at"),
         F.col("store_id").cast("bigint").alias("store_id"), "customer_id")
-    large = (
-        items.groupBy("order_id").agg(F.count(F.lit(1)).alias("_n")).filter(F.col("_n") > max_items)
-        .select("order_id", F.ceil(F.col("_n") / F.lit(max_items)).alias("n_parts"))
-    )
-    text = F.concat(F.lit("["), F.concat_ws(",", "product_id", "quantity", "unit_price"), F.lit("]"))
-    lines = (
-        items.select("order_id", "order_item_id", text.alias("item"))
-        .join(large, "order_id", "left")
-        .withColumn("part", F.coalesce(F.pmod(F.xxhash64("order_item_id"), F.col("n_parts")), F.lit(0)))
-        .groupBy("order_id", "part")
-        .agg(F.array_sort(F.collect_list(F.struct("order_item_id", "item"))).alias("_items"))
-        .select("order_id", "part", F.concat(F.lit("["), F.array_join("_items.item", ","), F.lit("]")).alias("_items"))
-    )
-    scalars = F.to_json(F.struct("order_id", "status", "created_at", "store_id", "customer_id"))
-    return head.join(lines, "order_id", "left").select(
-        "order_id", F.coalesce("part", F.lit(0)).alias("part"),
-        F.concat(F.substring(scalars, F.lit(1), F.length(scalars) - 1), F.lit(',"items":'),
-                 F.coalesce("_items", F.lit("[]")), F.lit("}")).alias("json"),
-    )
+    lines = items.select("order_id", "order_item_id", "product_id", "quantity", F.col("unit_price").alias("price")).join(
+        head.select("order_id"), "order_id", "left_semi")
+    return head.select(
+        "order_id", F.lit(None).cast("bigint").alias("order_item_id"),
+        F.to_json(F.struct("order_id", "status", "created_at", "store_id", "customer_id")).alias("json"),
+    ).unionByName(lines.select(
+        "order_id", "order_item_id",
+        F.to_json(F.struct("order_id", "order_item_id", "product_id", "quantity", "price")).alias("json")))
 
 
 SNAPSHOT = ("order_id BIGINT, status STRING, created_at STRING, store_id BIGINT, customer_id BIGINT, "
-            "items ARRAY<ARRAY<DECIMAL(20,2)>>")
+            "order_item_id BIGINT, product_id BIGINT, quantity INT, price DECIMAL(10,2)")
 
 
 def read_snapshots(snapshots: DataFrame) -> DataFrame:
-    """One row per item of the parsable snapshots; text that does not parse is skipped."""
-    return (
-        snapshots.select(F.from_json("json", SNAPSHOT).alias("o"))
-        .filter(F.col("o.order_id").isNotNull() & F.col("o.items").isNotNull())
-        .select("o.order_id", F.explode("o.items").alias("i"))
-        .select("order_id", F.col("i")[0].cast("bigint").alias("product_id"), F.col("i")[1].cast("int").alias("quantity"),
-                F.col("i")[2].cast("decimal(10,2)").alias("price"))
-    )
+    """One row per item of the parsable snapshots, one without a product for an open order without items.
+
+    Text that does not parse is skipped, and so are items whose order's header is lost.
+    """
+    read = snapshots.select(F.from_json("json", SNAPSHOT).alias("o")).filter(F.col("o.order_id").isNotNull()).select("o.*")
+    lines = read.filter(F.col("order_item_id").isNotNull()).select("order_id", "product_id", "quantity", "price")
+    return read.filter(F.col("status").isNotNull()).select("order_id").join(lines, "order_id", "left")
 
 
 def discard_stale_state(snapshots: DataFrame, clock: str, now: datetime.datetime, hours: int = STALE_HOURS) -> DataFrame:

@@ -20,7 +20,7 @@ def repair_latest_status(orders: DataFrame, history: DataFrame) -> DataFrame:
     moved to one second after the newest other row and its other rows are deleted; if not, such a row is inserted.
     """
     current = orders.select("order_id", F.col("status").alias("wanted"))
-    fits = F.col("status") == F.col("wanted")
+    fits = F.col("status").eqNullSafe(F.col("wanted"))
     # The newest row per order and status is all the join needs: a few rows per order, however long its history.
     newest = F.max(F.struct("changed_at", "history_id")).alias("_newest")
     facts = (
@@ -43,7 +43,7 @@ def repair_latest_status(orders: DataFrame, history: DataFrame) -> DataFrame:
     )
     missing = facts.filter(F.col("_kept").isNull()).select(
         "order_id", F.col("wanted").alias("status"), moved_to.alias("changed_at"))
-    last_id = history.agg(F.max("history_id")).first()[0] or 0
+    last_id = F.coalesce(history.agg(F.max("history_id")).scalar(), F.lit(0))
     return repaired.unionByName(assign_surrogate_keys(missing, ["order_id"], "history_id", last_id))
 
 

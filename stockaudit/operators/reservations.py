@@ -29,8 +29,25 @@ def _fold_store(lines: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["order_id", "accepted"])
 
 
+def reservation_ledger(
+    inventory: DataFrame, orders: DataFrame, items: DataFrame, verdicts: DataFrame, parts: int | None = None
+) -> DataFrame:
+    """The sale rows of the confirmed orders (result ``ok`` in ``verdicts``), with the stock after each."""
+    served = orders.select("order_id", "store_id", "created_at").join(
+        verdicts.filter(F.col("result") == "ok").select("order_id"), "order_id", "left_semi")
+    sales = items.select("order_id", "order_item_id", "product_id", (-F.col("quantity")).alias("quantity_delta")).join(
+        served, "order_id")
+    run = with_running_total(
+        sales, PAIR, ["created_at", "order_id", "order_item_id"], F.col("quantity_delta"), "_run", parts=parts)
+    stock = inventory.groupBy(*PAIR).agg(F.sum("quantity_on_hand").alias("opening"))
+    after = (F.coalesce("opening", F.lit(0)) + F.col("_run")).cast("bigint")
+    return run.join(stock, PAIR, "left").select(
+        "order_id", "order_item_id", *PAIR, F.lit("sale").alias("transaction_type"), "quantity_delta",
+        after.alias("quantity_after"), F.col("created_at").alias("timestamp_occurred"))
+
+
 def reserve_stock(
-    inventory: DataFrame, orders: DataFrame, items: DataFrame, fold_rows: int = FOLD_ROWS, hot_rows: int | None = None
+    inventory: DataFrame, orders: DataFrame, items: DataFrame, fold_rows: int = FOLD_ROWS, parts: int | None = None
 ) -> DataFrame:
     """Which orders can be confirmed when served in (time, id) order per store.
 
@@ -62,8 +79,8 @@ def reserve_stock(
     order = ["created_at", "order_id"]
     while True:
         granted_use = F.when(F.col("granted_"), F.col("quantity")).otherwise(0)
-        least = with_running_total(lines, PAIR, order, granted_use, "least", hot_rows=hot_rows)
-        both = with_running_total(least, PAIR, order, F.col("quantity"), "most", hot_rows=hot_rows)
+        least = with_running_total(lines, PAIR, order, granted_use, "least", parts=parts)
+        both = with_running_total(least, PAIR, order, F.col("quantity"), "most", parts=parts)
         open_lines = both.filter(F.col("granted_").isNull())
         n_open = open_lines.count()
         if n_open == 0:

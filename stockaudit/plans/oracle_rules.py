@@ -24,6 +24,14 @@ _PRODUCT_BAND = f"""(SELECT p.product_id, b.lo, b.hi FROM product p JOIN categor
     JOIN {_BANDS} b ON b.category = c.name)"""
 _LO, _HI = "COALESCE(b.lo, CAST(5 AS DECIMAL(10,2)))", "COALESCE(b.hi, CAST(50 AS DECIMAL(10,2)))"
 _PURCHASE_PRICE = f"ROUND(CAST(({_LO} + {_HI}) * 0.35 AS DECIMAL(18,6)), 2)"
+_OPENING_LINES = f"""(SELECT si.store_id, (SELECT MIN(supplier_id) FROM supplier_r) AS supplier_id, si.product_id,
+      quantity_on_hand AS quantity_ordered, quantity_on_hand AS quantity_received,
+      CAST({_PURCHASE_PRICE} AS DECIMAL(10,2)) AS unit_price
+    FROM (SELECT store_id, product_id, quantity_on_hand FROM store_inventory
+          UNION ALL SELECT store_id + 1000, product_id, quantity_on_hand FROM store_inventory) si
+    LEFT JOIN {_PRODUCT_BAND} b USING (product_id)
+    WHERE si.store_id IN (SELECT store_id FROM dark_store UNION ALL SELECT store_id + 1000 FROM dark_store)
+      AND si.store_id NOT IN (SELECT store_id FROM purchase_order))"""
 _CONTACTS = """(SELECT *, CONCAT(CASE WHEN customer_id % 97 = 5 THEN '013' ELSE
       CASE customer_id % 4 WHEN 0 THEN '010' WHEN 1 THEN '011' WHEN 2 THEN '012' ELSE '015' END END,
       CASE WHEN customer_id % 89 = 3 THEN '' ELSE ' ' END, CAST(10000000 + (customer_id % 700) * 7919 AS VARCHAR))
@@ -32,7 +40,7 @@ _CONTACTS = """(SELECT *, CONCAT(CASE WHEN customer_id % 97 = 5 THEN '013' ELSE
     FROM customer_r)"""
 _PREV = """(SELECT *, LAG(status) OVER (PARTITION BY order_id ORDER BY changed_at, history_id) AS prev_status
     FROM {h})"""
-_ILLEGAL = """(prev_status IS NOT NULL AND prev_status || '>' || status NOT IN
+_ILLEGAL = """(prev_status IS NOT NULL AND COALESCE(prev_status || '>' || status, '') NOT IN
     ('pending>confirmed', 'pending>cancelled', 'confirmed>delivered', 'confirmed>cancelled'))"""
 _EVENTS = f"""(SELECT created_at AS ts, 'ORDER_CREATED' AS event, order_id AS entity_id,
       'customer=' || customer_id || ' store=' || store_id AS detail FROM orders_r
@@ -53,7 +61,7 @@ def _repair_latest(history: str) -> str:
       SELECT h.history_id, h.order_id, h.status,
              CASE WHEN v.wanted = h.status THEN v.after + INTERVAL 1 SECOND ELSE h.changed_at END AS changed_at
       FROM {history} h LEFT JOIN viol v USING (order_id)
-      WHERE v.order_id IS NULL OR h.status <> v.wanted OR h.history_id = v.kept
+      WHERE v.order_id IS NULL OR h.status IS DISTINCT FROM v.wanted OR h.history_id = v.kept
       UNION ALL
       SELECT (SELECT MAX(history_id) FROM {history}) + ROW_NUMBER() OVER (ORDER BY order_id), order_id, wanted,
              after + INTERVAL 1 SECOND
@@ -64,7 +72,7 @@ _VIOLATORS = """viol AS MATERIALIZED (
       SELECT o.order_id, o.status AS wanted,
              (SELECT history_id FROM order_history x WHERE x.order_id = o.order_id AND x.status = o.status
               ORDER BY changed_at DESC, history_id DESC LIMIT 1) AS kept,
-             (SELECT MAX(changed_at) FROM order_history x WHERE x.order_id = o.order_id AND x.status <> o.status) AS after
+             (SELECT MAX(changed_at) FROM order_history x WHERE x.order_id = o.order_id AND x.status IS DISTINCT FROM o.status) AS after
       FROM orders_r o JOIN (SELECT order_id, status, ROW_NUMBER() OVER (PARTITION BY order_id
                               ORDER BY changed_at DESC, history_id DESC) AS rn FROM order_history) l
         ON l.order_id = o.order_id AND l.rn = 1
@@ -120,11 +128,16 @@ RULE_SQL = {
         FROM dark_store CROSS JOIN product
         WHERE (store_id, product_id) NOT IN (SELECT (store_id, product_id) FROM store_inventory)""",
     "initial_purchase_orders": f"""
-        SELECT store_id, (SELECT MIN(supplier_id) FROM supplier_r) AS supplier_id, si.product_id,
-               quantity_on_hand AS quantity_ordered, quantity_on_hand AS quantity_received,
-               CAST({_PURCHASE_PRICE} AS DOUBLE) AS unit_price
-        FROM store_inventory si LEFT JOIN {_PRODUCT_BAND} b USING (product_id)
-        WHERE store_id NOT IN (SELECT store_id FROM purchase_order WHERE store_id % 2 = 0)""",
+        SELECT store_id, supplier_id, product_id, quantity_ordered, quantity_received, CAST(unit_price AS DOUBLE) AS unit_price
+        FROM {_OPENING_LINES} l""",
+    "initial_purchase_order_headers": f"""
+        SELECT store_id, supplier_id, 'received' AS status, CAST(SUM(quantity_ordered * unit_price) AS DOUBLE) AS total_price,
+               TIMESTAMP '{LOAD_TIME}' AS ordered_at, TIMESTAMP '{LOAD_TIME}' AS received_at
+        FROM {_OPENING_LINES} l GROUP BY store_id, supplier_id""",
+    "initial_restocks": f"""
+        SELECT store_id, product_id, 'restock' AS transaction_type, quantity_received AS quantity_delta,
+               quantity_received AS quantity_after, TIMESTAMP '{LOAD_TIME}' AS timestamp_occurred
+        FROM {_OPENING_LINES} l""",
     "supplier_contact_email": """
         SELECT supplier_id, name,
                'info@' || LEFT(REPLACE(REPLACE(LOWER(name), ' ', ''), '.', ''), 20) || '.com.eg' AS email
@@ -135,7 +148,7 @@ RULE_SQL = {
         SELECT history_id, order_id, status, changed_at FROM {_PREV.format(h='order_history')} h WHERE NOT {_ILLEGAL}""",
     "repair_repeated_status": f"""
         SELECT history_id, order_id, status, changed_at FROM {_PREV.format(h='order_history')} h
-        WHERE prev_status IS DISTINCT FROM status""",
+        WHERE NOT COALESCE(prev_status = status, FALSE)""",
     "repair_history_pipeline": f"""
         WITH {_VIOLATORS},
         r1 AS MATERIALIZED ({_repair_latest('order_history')}),
@@ -149,6 +162,12 @@ RULE_SQL = {
         SELECT 2, 'D2', n, n FROM (SELECT COUNT(*) AS n FROM p1 WHERE {_ILLEGAL}) a
         UNION ALL
         SELECT 3, 'D3', n, n FROM (SELECT COUNT(*) AS n FROM p2 WHERE prev_status = status) b""",
+    "repaired_history": f"""
+        WITH {_VIOLATORS},
+        r1 AS MATERIALIZED ({_repair_latest('order_history')}),
+        r2 AS MATERIALIZED (SELECT history_id, order_id, status, changed_at FROM {_PREV.format(h='r1')} x WHERE NOT {_ILLEGAL})
+        SELECT history_id, order_id, status, changed_at FROM {_PREV.format(h='r2')} y
+        WHERE NOT COALESCE(prev_status = status, FALSE)""",
     "stock_on_hand": """SELECT store_id, product_id, CAST(SUM(quantity_delta) AS BIGINT) AS stock
         FROM inventory_transaction GROUP BY ALL""",
     "running_stock_ledger": """
@@ -203,6 +222,34 @@ RULE_SQL = {
                (SELECT MAX(changed_at) FROM order_history h WHERE h.order_id = o.order_id AND h.status = 'cancelled') AS ts
         FROM order_item i JOIN orders_r o USING (order_id)
         WHERE o.status = 'cancelled' AND o.order_id IN (SELECT order_id FROM order_history WHERE status = 'confirmed')""",
+    "cancellation_ledger": """
+        SELECT order_id, order_item_id, r.store_id, product_id, 'return' AS transaction_type, quantity_delta,
+               CAST(COALESCE((SELECT SUM(quantity_on_hand) FROM store_inventory s
+                              WHERE s.store_id = r.store_id AND s.product_id = r.product_id), 0)
+                 + SUM(quantity_delta) OVER (PARTITION BY r.store_id, product_id ORDER BY ts NULLS FIRST, order_id, order_item_id
+                                             ROWS UNBOUNDED PRECEDING) AS BIGINT) AS quantity_after, ts
+        FROM (
+          SELECT i.order_id, i.order_item_id, i.product_id, o.store_id, i.quantity AS quantity_delta,
+                 (SELECT MAX(changed_at) FROM order_history h WHERE h.order_id = o.order_id AND h.status = 'cancelled') AS ts
+          FROM order_item i JOIN orders_r o USING (order_id)
+          WHERE o.status = 'cancelled' AND o.order_id IN (SELECT order_id FROM order_history WHERE status = 'confirmed')) r""",
+    "received_items": """
+        SELECT po_item_id, po_id, product_id, quantity_ordered,
+               CASE WHEN p.status = 'pending' THEN quantity_ordered ELSE quantity_received END AS quantity_received,
+               CAST(unit_price AS DOUBLE) AS unit_price
+        FROM purchase_order_item LEFT JOIN purchase_order p USING (po_id)""",
+    "received_orders": f"""
+        SELECT po_id, store_id, supplier_id, CASE WHEN status = 'pending' THEN 'received' ELSE status END AS status,
+               CAST(total_price AS DOUBLE) AS total_price, ordered_at,
+               CASE WHEN status = 'pending' THEN TIMESTAMP '{LOAD_TIME}' ELSE received_at END AS received_at
+        FROM purchase_order""",
+    "received_inventory": """
+        SELECT store_id, product_id, CAST(SUM(q) AS BIGINT) AS stock FROM (
+          SELECT store_id, product_id, quantity_on_hand AS q FROM store_inventory
+          UNION ALL
+          SELECT store_id, product_id, quantity_ordered FROM purchase_order_item JOIN purchase_order USING (po_id)
+          WHERE status = 'pending') x
+        GROUP BY ALL""",
     "cap_order_quantity": """
         SELECT i.order_item_id, i.order_id, i.product_id, o.store_id, LEAST(i.quantity, s.quantity_on_hand) AS quantity
         FROM order_item i JOIN orders_r o USING (order_id)
@@ -264,6 +311,10 @@ RULE_SQL = {
               JOIN (SELECT order_id, MAX(changed_at) AS done_at FROM order_history WHERE status = 'delivered'
                     GROUP BY order_id) h USING (order_id)) x
         GROUP BY store_id""",
+    "fulfilment_minutes_by_order": """
+        SELECT order_id, store_id, CAST(FLOOR(EPOCH(done_at - created_at) / 60) AS BIGINT) AS minutes FROM orders_r
+        JOIN (SELECT order_id, MAX(changed_at) AS done_at FROM order_history WHERE status = 'delivered'
+              GROUP BY order_id) h USING (order_id)""",
     "order_status_kpis": """
         WITH stores AS (SELECT store_id FROM orders_r UNION SELECT store_id FROM purchase_order
                         UNION SELECT store_id FROM inventory_transaction),
@@ -359,7 +410,7 @@ RULE_SQL = {
         FROM last WHERE rn = 1 AND status IN ('pending', 'confirmed')""",
     "order_snapshot_json": """
         SELECT order_id, product_id, quantity, CAST(unit_price AS DOUBLE) AS price
-        FROM order_item JOIN orders_r o USING (order_id) WHERE o.status IN ('pending', 'confirmed')""",
+        FROM orders_r o LEFT JOIN order_item USING (order_id) WHERE o.status IN ('pending', 'confirmed')""",
     "discard_stale_state": f"""
         SELECT order_id, status, changed_at FROM (
           SELECT *, ROW_NUMBER() OVER (PARTITION BY order_id ORDER BY changed_at DESC, history_id DESC) AS rn
@@ -480,3 +531,13 @@ RULE_SQL["not_null_violations"] = """
     UNION ALL SELECT 'inventory_transaction', 'quantity_delta', COUNT(*) FROM inventory_transaction
       WHERE transaction_id % 1501 = 11"""
 RULE_SQL["not_null_violations"] = f"SELECT * FROM ({RULE_SQL['not_null_violations']}) x WHERE n_nulls > 0"
+
+RULE_SQL["reservation_ledger"] = f"""
+    SELECT i.order_id, i.order_item_id, v.store_id, i.product_id, 'sale' AS transaction_type, -i.quantity AS quantity_delta,
+           CAST(COALESCE((SELECT SUM(quantity_on_hand) FROM store_inventory s
+                          WHERE s.store_id = v.store_id AND s.product_id = i.product_id), 0)
+             - SUM(i.quantity) OVER (PARTITION BY v.store_id, i.product_id ORDER BY o.created_at, i.order_id, i.order_item_id
+                                     ROWS UNBOUNDED PRECEDING) AS BIGINT) AS quantity_after,
+           o.created_at AS timestamp_occurred
+    FROM order_item i JOIN ({RULE_SQL["reserve_stock"]}) v USING (order_id) JOIN orders_r o USING (order_id)
+    WHERE v.result = 'ok'"""

@@ -39,6 +39,12 @@ def inventory_with_gaps(t) -> DataFrame:
         _when("product_id % 7 = 0", "NULL", "reorder_point").alias("reorder_point"))
 
 
+def with_new_stores(t):
+    """Every store has a twin with the same stock and no purchase order yet."""
+    twin = lambda df: df.unionByName(df.withColumn("store_id", F.col("store_id") + 1000))
+    return replace(t, dark_store=twin(t.dark_store), store_inventory=twin(t.store_inventory))
+
+
 def product_source(t) -> DataFrame:
     """A catalogue load: some renamed, some new, some of unknown category, some with another shelf life."""
     return t.product.join(t.category.select("category_id", F.col("name").alias("category")), "category_id").select(

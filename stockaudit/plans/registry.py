@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from stockaudit.operators import constraints, inventory, kpis, orders, repairs
 from stockaudit.operators.checks import CHECKS
-from stockaudit.operators.reservations import reserve_stock
+from stockaudit.operators.reservations import reservation_ledger, reserve_stock
 from stockaudit.plans import audit, oracle_checks, planted
 from stockaudit.plans.oracle_rules import RULE_SQL
 from stockaudit.plans.planted import AS_OF, LOAD_TIME, TEST_BANDS
@@ -74,8 +74,7 @@ def _upsert_products(t) -> DataFrame:
 
 def _dedupe_customers(t) -> DataFrame:
     people = planted.with_contacts(t.customer).select("customer_id", "phone_number")
-    return loading.dedupe_customers(people.filter("customer_id % 3 = 0"), people.filter("customer_id % 3 <> 0"),
-                                    target_rows=1_000_000_000)
+    return loading.dedupe_customers(people.filter("customer_id % 3 = 0"), people.filter("customer_id % 3 <> 0"))
 
 
 def _build_assortment(t) -> DataFrame:
@@ -84,7 +83,7 @@ def _build_assortment(t) -> DataFrame:
 
 def _initial_purchase_orders(t) -> DataFrame:
     bands = loading.price_bands(t.spark, TEST_BANDS)
-    return loading.initial_purchase_order_lines(t, bands, t.purchase_order.filter("store_id % 2 = 0"))
+    return loading.initial_purchase_order_lines(planted.with_new_stores(t), bands, t.purchase_order)
 
 
 def _mask_secret_column(t) -> DataFrame:
@@ -103,6 +102,10 @@ def _reserve_stock(t) -> DataFrame:
     return reserve_stock(t.store_inventory, t.orders.filter(F.col("status") == "pending"), t.order_item)
 
 
+def _reservation_ledger(t) -> DataFrame:
+    return reservation_ledger(t.store_inventory, t.orders, t.order_item, _reserve_stock(t))
+
+
 def _cap_order_quantity(t) -> DataFrame:
     requests = t.order_item.select("order_item_id", "order_id", "product_id", "quantity").join(
         t.orders.select("order_id", "store_id"), "order_id")
@@ -186,6 +189,8 @@ RULES: dict[str, Callable[..., DataFrame]] = {
     "dedupe_customers": _dedupe_customers,
     "build_assortment": _build_assortment,
     "initial_purchase_orders": _initial_purchase_orders,
+    "initial_purchase_order_headers": lambda t: loading.initial_purchase_orders(_initial_purchase_orders(t), LOAD_TIME),
+    "initial_restocks": lambda t: loading.initial_restocks(_initial_purchase_orders(t), LOAD_TIME),
     "write_audit_outputs": _write_audit_outputs,
     "supplier_contact_email": lambda t: loading.supplier_contact_email(t.supplier),
     "mask_secret_column": _mask_secret_column,
@@ -194,18 +199,26 @@ RULES: dict[str, Callable[..., DataFrame]] = {
     "repair_invalid_transitions": lambda t: repairs.repair_invalid_transitions(t.order_history),
     "repair_repeated_status": lambda t: repairs.repair_repeated_status(t.order_history),
     "repair_history_pipeline": lambda t: repairs.repair_history_pipeline(t)[0],
+    "repaired_history": lambda t: repairs.repair_history_pipeline(t)[1],
     # K: stock
     "stock_on_hand": lambda t: inventory.stock_on_hand(t.inventory_transaction),
     "running_stock_ledger": lambda t: inventory.running_stock_ledger(t.inventory_transaction),
     "clamped_adjustments": _clamped_adjustments,
     "reserve_stock": _reserve_stock,
     "stock_reversals": lambda t: inventory.stock_reversals(t.orders, t.order_item, t.order_history),
+    "reservation_ledger": _reservation_ledger,
+    "cancellation_ledger": lambda t: inventory.cancellation_ledger(
+        t.orders, t.order_item, t.order_history, t.store_inventory),
     "cap_order_quantity": _cap_order_quantity,
     "low_stock": lambda t: inventory.low_stock(t.store_inventory),
     "propose_purchase_orders": lambda t: inventory.propose_purchase_orders(
         t.store_inventory, t.product, t.category, t.supplier, loading.price_bands(t.spark, TEST_BANDS)),
     "receive_purchase_orders": lambda t: inventory.receive_purchase_orders(
         t.purchase_order, t.purchase_order_item, t.store_inventory),
+    "received_items": lambda t: inventory.received_items(t.purchase_order, t.purchase_order_item),
+    "received_orders": lambda t: inventory.received_orders(t.purchase_order, LOAD_TIME),
+    "received_inventory": lambda t: inventory.received_inventory(
+        t.purchase_order, t.purchase_order_item, t.store_inventory),
     "adjustment_shrinkage": lambda t: inventory.adjustment_shrinkage(t.inventory_transaction),
     "cold_chain_items": lambda t: inventory.cold_chain_items(t.order_item, t.product, t.category),
     "price_band_violations": lambda t: inventory.price_band_violations(
@@ -215,6 +228,7 @@ RULES: dict[str, Callable[..., DataFrame]] = {
     "price_orders": lambda t: orders.price_orders(t.order_item, t.orders, t.customer, t.zone),
     "business_event_feed": lambda t: orders.business_event_feed(planted.registered(t)),
     "fulfilment_minutes": lambda t: kpis.fulfilment_minutes(t.orders, t.order_history),
+    "fulfilment_minutes_by_order": lambda t: kpis.fulfilment_minutes_by_order(t.orders, t.order_history),
     "order_status_kpis": kpis.order_status_kpis,
     "hourly_order_summary": lambda t: kpis.hourly_order_summary(t.order_history),
     "transition_rates": lambda t: kpis.transition_rates(t.order_history),

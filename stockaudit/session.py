@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -15,7 +17,7 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    Only a local session may do without the setting; it then gets a temporary folder of its own.
+    Only a local session may do without the setting; it then gets a temporary folder that goes with the process.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -25,6 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_FOLDERS:
         _LOCAL_FOLDERS[app] = tempfile.mkdtemp(prefix="stockaudit-")
+        atexit.register(shutil.rmtree, _LOCAL_FOLDERS[app], ignore_errors=True)
     return _LOCAL_FOLDERS[app]
 
 
@@ -34,9 +37,7 @@ def new_folder(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared folder, so a lost executor costs a re-read, not a recomputation."""
-    spark = df.sparkSession
-    folder = shared_folder(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint()
+    """Write ``df`` to the shared folder and read it back: a lost executor costs a re-read, and readers take the columns they need."""
+    folder = new_folder(df.sparkSession, "cut")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -6,7 +6,7 @@ import datetime
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stockaudit.functions import columns as c
@@ -45,7 +45,7 @@ def order_line_totals(items: DataFrame) -> DataFrame:
 
 
 def assign_surrogate_keys(
-    rows: DataFrame, natural_key: Sequence[str], id_column: str, max_id: int = 0, partitions: int | None = None
+    rows: DataFrame, natural_key: Sequence[str], id_column: str, max_id: Column | int = 0, partitions: int | None = None
 ) -> DataFrame:
     """Dense ids above ``max_id`` in natural-key order, without a single-task window.
 
@@ -63,7 +63,7 @@ def assign_surrogate_keys(
     return (
         stored.withColumn("_rn", F.row_number().over(within))
         .join(F.broadcast(offsets), "_part")
-        .withColumn(id_column, (F.lit(max_id) + F.col("_before") + F.col("_rn")).cast("bigint"))
+        .withColumn(id_column, (max_id + F.col("_before") + F.col("_rn")).cast("bigint"))
         .select(id_column, *rows.columns)
     )
 
@@ -112,10 +112,13 @@ def upsert_products(products: DataFrame, source: DataFrame, categories: DataFram
     return existing.unionByName(assign_surrogate_keys(new, ["sku"], "product_id", max_id))
 
 
-def dedupe_customers(existing: DataFrame, batch: DataFrame, target_rows: int, order: str = "customer_id") -> DataFrame:
-    """New customers whose phone is neither known nor earlier in the batch; none once the table is full."""
-    open_table = existing.agg(F.count(F.lit(1))).scalar() < F.lit(target_rows)
-    new = without_match(first_per_key(batch.filter(open_table), ["phone_number"], [order]), existing, ["phone_number"])
+def dedupe_customers(
+    existing: DataFrame, batch: DataFrame, target_rows: int | None = None, order: str = "customer_id"
+) -> DataFrame:
+    """New customers whose phone is neither known nor earlier in the batch; with ``target_rows`` none once the table is full."""
+    if target_rows is not None:
+        batch = batch.filter(existing.agg(F.count(F.lit(1))).scalar() < F.lit(target_rows))
+    new = without_match(first_per_key(batch, ["phone_number"], [order]), existing, ["phone_number"])
     return existing.withColumn("origin", F.lit("existing")).unionByName(
         new.withColumn("origin", F.lit("inserted")), allowMissingColumns=True)
 

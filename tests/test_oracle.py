@@ -12,7 +12,7 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent / "tools"))
 import compare  # noqa: E402
 
 import __spark_entry__ as entry  # noqa: E402
-from stockaudit.operators.ordered import HOT_ROWS_SETTING  # noqa: E402
+from stockaudit.operators.ordered import PARTS_SETTING  # noqa: E402
 from stockaudit.plans import registry  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
@@ -32,18 +32,18 @@ def test_query_equals_duckdb(spark, duck, name):
 @pytest.mark.parametrize("name", (
     "d2_invalid_transitions e5_running_balance audit_summary running_stock_ledger clamped_adjustments reserve_stock "
     "receive_purchase_orders cold_chain_companions transition_rates repair_history_pipeline").split())
-def test_split_groups_equal_duckdb(spark, duck, name):
-    """The same with every group of more than a few rows treated as hot."""
-    spark.conf.set(HOT_ROWS_SETTING, "3")
+def test_cut_groups_equal_duckdb(spark, duck, name):
+    """The same over ranges that cut groups, which small data would not have."""
+    spark.conf.set(PARTS_SETTING, "9")
     try:
         assert compare.compare(spark, duck, SF, name)
     finally:
-        spark.conf.unset(HOT_ROWS_SETTING)
+        spark.conf.unset(PARTS_SETTING)
 
 
 def test_every_query_has_a_statement():
     assert set(NAMES) - set(entry.oracle_sql()) == set()
-    assert len(NAMES) == 99
+    assert len(NAMES) == 108
 
 
 def test_entry(spark):

@@ -1,4 +1,4 @@
-"""Splitting hot groups never changes a result, and bounds every window."""
+"""Ordered operators equal plain windows, wherever the ranges cut the groups."""
 
 from __future__ import annotations
 
@@ -6,6 +6,7 @@ import random
 
 import pytest
 from conftest import at
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from stockaudit.operators import ordered
@@ -15,13 +16,13 @@ ORDER = ["ts", "id"]
 
 @pytest.fixture(scope="module")
 def moves(spark):
+    """One key holds 90 % of the rows; bursts share a time; keys, times and ids are null now and then."""
     rng = random.Random(5)
     rows = []
     for i in range(1500):
-        # One key holds most rows; bursts share a time.
-        key = rng.choice([1, 1, 1, 2, 3, None])
-        minute = rng.choice([0, 0, 0, rng.randint(0, 500), rng.randint(0, 3)])
-        rows.append((key, at(minute), i, rng.randint(-5, 5)))
+        key = 1 if rng.random() < 0.9 else rng.choice([2, 3, None])
+        minute = rng.choice([0, 0, 0, rng.randint(0, 500), rng.randint(0, 3), None])
+        rows.append((key, None if minute is None else at(minute), i, rng.choice([None, *range(-5, 6)])))
     rng.shuffle(rows)
     return spark.createDataFrame(rows, "k INT, ts TIMESTAMP_NTZ, id BIGINT, v INT").cache()
 
@@ -30,34 +31,40 @@ def collect(df):
     return sorted(tuple(str(v) for v in r) for r in df.select(*sorted(df.columns)).collect())
 
 
-@pytest.mark.parametrize("hot_rows", [3, 20, 200])
-def test_split_equals_plain(moves, hot_rows):
-    for run in (
-        lambda h: ordered.with_previous(moves, ["k"], ORDER, {"p": "v", "pid": "id"}, hot_rows=h),
-        lambda h: ordered.with_running_total(moves, ["k"], ORDER, F.col("v"), "run", hot_rows=h),
-        lambda h: ordered.with_running_total(moves, ["k"], ORDER, F.col("v"), "run", low="low", hot_rows=h),
-        lambda h: ordered.with_row_number(moves, ["k"], ORDER, "rn", hot_rows=h),
+@pytest.mark.parametrize("parts", [None, 1, 3, 40])
+def test_equal_to_plain_windows(moves, parts):
+    w = Window.partitionBy("k").orderBy(*ORDER)
+    upto, before = w.rowsBetween(Window.unboundedPreceding, 0), w.rowsBetween(Window.unboundedPreceding, -1)
+    value = F.coalesce("v", F.lit(0)).cast("bigint")
+    plain = moves.withColumn("run", F.sum(value).over(upto))
+    for got, want in (
+        (ordered.with_previous(moves, ["k"], ORDER, {"p": "v", "pid": "id"}, parts), moves.withColumns(
+            {"p": F.lag("v").over(w), "pid": F.lag("id").over(w)})),
+        (ordered.with_running_total(moves, ["k"], ORDER, value, "run", parts=parts), plain),
+        (ordered.with_running_total(moves, ["k"], ORDER, value, "run", low="low", parts=parts),
+         plain.withColumn("low", F.min("run").over(before))),
+        (ordered.with_row_number(moves, ["k"], ORDER, "rn", parts), moves.withColumn("rn", F.row_number().over(w).cast("bigint"))),
     ):
-        assert collect(run(hot_rows)) == collect(run(10_000_000))
+        assert collect(got) == collect(want)
 
 
-def test_segments_fit_and_keep_order(moves):
-    parts = ordered.split_hot_groups(moves, ["k"], ORDER, 50)
-    sizes = parts.groupBy("k", ordered.SEGMENT).count()
-    # NULL keys are a group like any other.
-    assert sizes.agg(F.max("count")).first()[0] <= 50
-    rows = parts.orderBy("k", *ORDER).collect()
-    for a, b in zip(rows, rows[1:]):
-        if a.k == b.k:
-            assert a[ordered.SEGMENT] <= b[ordered.SEGMENT]
+def test_two_keys(moves):
+    rows = moves.withColumn("j", F.col("id") % 2)
+    w = Window.partitionBy("k", "j").orderBy(*ORDER)
+    got = ordered.with_row_number(rows, ["k", "j"], ORDER, "rn", 25)
+    assert collect(got) == collect(rows.withColumn("rn", F.row_number().over(w).cast("bigint")))
 
 
-def test_no_hot_group_means_plain_window(moves):
-    assert ordered.split_hot_groups(moves, ["k"], ORDER, 1000) is None
-    assert ordered.split_hot_groups(moves.filter("k = 2"), ["k"], ORDER, 10_000) is None
+def test_a_hot_group_is_cut(moves):
+    sizes = ordered.in_segments(moves, ["k"], ORDER, 30).groupBy("k", ordered.SEGMENT).count()
+    assert sizes.agg(F.max("count")).first()[0] < 150
 
 
-def test_equal_rows_cannot_be_cut(spark):
+def test_equal_rows(spark):
     same = spark.range(100).select(F.lit(1).alias("k"), F.lit(0).alias("id"), F.lit(1).alias("v"))
-    run = ordered.with_running_total(same, ["k"], ["id"], F.col("v"), "run", hot_rows=10)
+    run = ordered.with_running_total(same, ["k"], ["id"], F.col("v"), "run", parts=10)
     assert sorted(r.run for r in run.collect()) == list(range(1, 101))
+
+
+def test_empty(moves):
+    assert ordered.with_previous(moves.limit(0), ["k"], ORDER, {"p": "v"}).collect() == []

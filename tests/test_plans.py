@@ -21,6 +21,14 @@ def t(spark):
     return retail_tables(spark, SF)
 
 
+@pytest.fixture(autouse=True)
+def whole_paths(spark):
+    """Plans cut the text of locations; here they are counted."""
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    yield
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
 def plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
-from conftest import at
+import random
+
+from conftest import LazyTables, at
 
 from stockaudit.operators import checks, repairs
 from stockaudit.tables import replace
@@ -62,3 +64,33 @@ def test_clean_history_is_left_alone(build, rows):
     report, fixed = repairs.repair_history_pipeline(t, max_passes=3)
     assert report.count() == 3
     assert states(fixed) == states(t.order_history)
+
+
+def test_null_status_is_flagged_and_repairs_delete_what_the_checks_report(spark):
+    """Random histories with NULL and repeated statuses: rows gone are exactly the rows reported."""
+    r = random.Random(11)
+    words = [None, "pending", "confirmed", "delivered", "cancelled"]
+    history = [dict(history_id=i, order_id=r.randint(1, 40), status=r.choice(words), changed_at=at(r.randint(0, 50))) for i in range(300)]
+    orders = [dict(order_id=i, status=r.choice(words)) for i in range(1, 41)]
+    t = LazyTables(spark, {"order_history": history, "orders": orders})
+    before = {x["history_id"] for x in history}
+    for check, repair in ((checks.d2_invalid_transitions, repairs.repair_invalid_transitions),
+                          (checks.d3_repeated_status, repairs.repair_repeated_status)):
+        reported = {x.history_id for x in check(t).collect()}
+        kept = {x.history_id for x in repair(t.order_history).collect()}
+        assert reported and kept == before - reported
+    bad = {x.order_id for x in checks.d1_latest_status_mismatch(t).collect()}
+    fixed = repairs.repair_latest_status(t.orders, t.order_history)
+    wanted = {o["order_id"]: o["status"] for o in orders}
+    kept = {x.history_id for x in fixed.collect()}
+    gone = [x for x in history if x["history_id"] not in kept]
+    assert all(x["order_id"] in bad and x["status"] == wanted[x["order_id"]] for x in gone)
+    assert checks.d1_latest_status_mismatch(replace(t, order_history=fixed)).isEmpty()
+
+
+def test_null_status_after_a_status_is_illegal(build, rows):
+    rows["order_history"] += [dict(history_id=8, order_id=3, status=None, changed_at=at(7)),
+                              dict(history_id=9, order_id=3, status="confirmed", changed_at=at(8))]
+    t = build(rows)
+    assert [x.history_id for x in checks.d2_invalid_transitions(t).collect()] == [8]
+    assert {x.history_id for x in repairs.repair_invalid_transitions(t.order_history).collect()} == {1, 2, 3, 4, 5, 6, 7, 9}

@@ -18,8 +18,8 @@ from stockaudit.tables import replace
 LEDGER = "transaction_id BIGINT, store_id INT, product_id BIGINT, quantity_delta INT, timestamp_occurred TIMESTAMP_NTZ"
 
 
-@pytest.mark.parametrize("hot_rows", [10, 1_000_000])
-def test_clamped_adjustments_equal_a_fold(spark, hot_rows):
+@pytest.mark.parametrize("parts", [10, None])
+def test_clamped_adjustments_equal_a_fold(spark, parts):
     rng = random.Random(3)
     rows = [(i, rng.randint(1, 2), rng.choice([1, 1, 1, 2, 3]), rng.randint(-6, 4), at(rng.randint(0, 60)))
             for i in range(600)]
@@ -34,7 +34,7 @@ def test_clamped_adjustments_equal_a_fold(spark, hot_rows):
     got = inventory.clamped_adjustments(
         spark.createDataFrame(rows, LEDGER),
         spark.createDataFrame([(*k, v) for k, v in opening.items()], "store_id INT, product_id BIGINT, opening INT"),
-        hot_rows=hot_rows,
+        parts=parts,
     )
     assert sorted((r.transaction_id, r.effective_delta, r.quantity_after) for r in got.collect()) == sorted(expected)
 
@@ -57,15 +57,15 @@ def _reservation_case(seed):
     return stock, orders, items, expected
 
 
-@pytest.mark.parametrize("seed,fold_rows,hot_rows", [(1, 0, 1_000_000), (1, 10_000, 1_000_000), (2, 15, 20), (4, 0, 30)])
-def test_reservations_equal_a_fold(spark, seed, fold_rows, hot_rows):
+@pytest.mark.parametrize("seed,fold_rows,parts", [(1, 0, None), (1, 10_000, None), (2, 15, 20), (4, 0, 30)])
+def test_reservations_equal_a_fold(spark, seed, fold_rows, parts):
     """The rounds alone, the fold alone and both together decide like one clerk serving in order."""
     stock, orders, items, expected = _reservation_case(seed)
     got = reserve_stock(
         spark.createDataFrame([(*k, v) for k, v in stock.items()], "store_id INT, product_id BIGINT, quantity_on_hand INT"),
         spark.createDataFrame(orders, "order_id BIGINT, store_id INT, created_at TIMESTAMP_NTZ"),
         spark.createDataFrame(items, "order_id BIGINT, product_id BIGINT, quantity INT"),
-        fold_rows=fold_rows, hot_rows=hot_rows,
+        fold_rows=fold_rows, parts=parts,
     )
     assert {r.order_id: r.result for r in got.collect()} == expected
     assert set(expected.values()) == {"ok", "insufficient_stock"}
@@ -82,7 +82,7 @@ def test_two_orders_for_the_last_unit(spark):
 
 def test_running_ledger_satisfies_the_balance_checks(build, rows):
     t = build(rows)
-    run = inventory.running_stock_ledger(t.inventory_transaction, hot_rows=2).withColumnRenamed("quantity_after", "after")
+    run = inventory.running_stock_ledger(t.inventory_transaction, parts=5).withColumnRenamed("quantity_after", "after")
     ledger = t.inventory_transaction.join(run.select("transaction_id", "after"), "transaction_id").withColumn(
         "quantity_after", F.col("after").cast("int")).drop("after")
     assert checks.e5_running_balance(replace(t, inventory_transaction=ledger)).isEmpty()
@@ -126,8 +126,8 @@ def test_proposals_price_and_total(build, rows, spark):
             for r in got] == [(1, 7, 1, 100, 24.5, 2450.0)]
 
 
-@pytest.mark.parametrize("hot_rows", [2, 1_000_000])
-def test_cold_companions_equal_brute_force(spark, build, rows, hot_rows):
+@pytest.mark.parametrize("parts", [6, None])
+def test_cold_companions_equal_brute_force(spark, build, rows, parts):
     rng = random.Random(9)
     rows["product"] = [dict(product_id=p, category_id=1 + p % 2, name=f"p{p}", sku=f"s{p}") for p in range(1, 20)]
     cold = {p for p in range(1, 20) if p % 2 == 0}
@@ -148,5 +148,5 @@ def test_cold_companions_equal_brute_force(spark, build, rows, hot_rows):
         if basket & cold:
             free = shelf[o["store_id"]] - basket
             expected[o["order_id"]] = (len(free), min(free, default=None))
-    got = inventory.cold_chain_companions(build(rows), hot_rows=hot_rows).collect()
+    got = inventory.cold_chain_companions(build(rows), parts=parts).collect()
     assert {r.order_id: (r.n_candidates, r.first_candidate) for r in got} == expected
