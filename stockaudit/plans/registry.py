@@ -20,12 +20,7 @@ from stockaudit.sources.retail_layer import retail_tables, with_clause
 from stockaudit.streaming import events as event_streams
 from stockaudit.streaming import ledger as ledger_streams
 from stockaudit.streaming import lifecycle
-from stockaudit.streaming.runs import (
-    MAX_BYTES_FOR_PYTHON_STATE,
-    MAX_BYTES_PER_TRIGGER,
-    read_stream,
-    run_to_table,
-)
+from stockaudit.streaming.runs import replay, replay_to_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -128,23 +123,17 @@ def _discard_stale_state(t) -> DataFrame:
 # --- streams ----------------------------------------------------------------------------------
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # A pattern: the stream source takes a plain path for a folder, and this may be a single file.
-    return read_stream(spark, f"{sf_dir}/events.parquet*", event_streams.EVENTS)
-
-
-def _table_stream(t, table: str, max_bytes: int) -> DataFrame:
-    df = getattr(t, table)
-    return read_stream(t.spark, t.path_of(table), df.schema, max_bytes)
+    return spark.read.schema(event_streams.EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def _statuses(t) -> DataFrame:
-    return _table_stream(t, "order_history", MAX_BYTES_FOR_PYTHON_STATE).select(
+    return t.order_history.select(
         F.col("order_id").alias("entity_id"), F.col("history_id").alias("event_id"), "status",
         F.col("changed_at").alias("ts"))
 
 
-def _movements(t, max_bytes: int = MAX_BYTES_PER_TRIGGER) -> DataFrame:
-    return _table_stream(t, "inventory_transaction", max_bytes).select(
+def _movements(t) -> DataFrame:
+    return t.inventory_transaction.select(
         "store_id", "product_id", F.col("transaction_id").alias("id"), F.col("transaction_type").alias("kind"),
         F.col("quantity_delta").alias("delta"), F.col("timestamp_occurred").alias("ts"))
 
@@ -153,28 +142,20 @@ def _stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Every odd event arrives twice.
     twice = F.explode(F.sequence(F.lit(0), F.col("event_id") % 2)).alias("_copy")
     arrived = _events(spark, sf_dir).select("*", twice).drop("_copy")
-    return run_to_table(event_streams.dedup_events(arrived))
+    return replay_to_table(arrived, "ts", event_streams.dedup_events)
 
 
 def _stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The hourly counts, with a stop after the first half of the events and a second run from the checkpoint."""
-    folder = new_folder(spark, "resume")
-    events = spark.read.schema(event_streams.EVENTS).parquet(f"{sf_dir}/events.parquet")
-    middle = events.agg(F.percentile_approx("event_id", 0.5)).first()[0]
-    out = None
-    for half in (F.col("event_id") <= middle, F.col("event_id") > middle):
-        events.filter(half).write.mode("append").parquet(f"{folder}/in")
-        stream = read_stream(spark, f"{folder}/in", event_streams.EVENTS)
-        out = run_to_table(event_streams.hourly_counts(stream), f"{folder}/run")
-    return out
+    """The hourly counts, with a stop after the first half of the time and a second run from the checkpoint."""
+    return replay_to_table(_events(spark, sf_dir), "ts", event_streams.hourly_counts, slices=2)
 
 
 def _stream_upsert_inventory(t) -> DataFrame:
-    return ledger_streams.upsert_inventory(_movements(t), new_folder(t.spark, "upsert"))
+    return replay(_movements(t), "ts", ledger_streams.upsert_inventory)
 
 
 def _stream(run: Callable[[DataFrame], DataFrame]) -> Query:
-    return lambda spark, sf_dir: run_to_table(run(_events(spark, sf_dir)))
+    return lambda spark, sf_dir: replay_to_table(_events(spark, sf_dir), "ts", run)
 
 
 RULES: dict[str, Callable[..., DataFrame]] = {
@@ -254,10 +235,10 @@ RULES: dict[str, Callable[..., DataFrame]] = {
     "domain_violations": lambda t: constraints.domain_violations(planted.with_foreign_words(t)),
     "decimal_overflow": lambda t: constraints.decimal_overflow(planted.with_wide_amounts(t)),
     # ST: streams over the layer
-    "stream_order_lifecycle": lambda t: run_to_table(lifecycle.order_lifecycle(_statuses(t))),
-    "stream_sla_timeouts": lambda t: run_to_table(lifecycle.sla_timeouts(_statuses(t))),
-    "stream_stock_ledger": lambda t: run_to_table(ledger_streams.stock_ledger(
-        _movements(t, MAX_BYTES_FOR_PYTHON_STATE), t.store_inventory)),
+    "stream_order_lifecycle": lambda t: replay_to_table(_statuses(t), "ts", lifecycle.order_lifecycle),
+    "stream_sla_timeouts": lambda t: replay_to_table(_statuses(t), "ts", lifecycle.sla_timeouts),
+    "stream_stock_ledger": lambda t: replay_to_table(
+        _movements(t), "ts", lambda moves: ledger_streams.stock_ledger(moves, t.store_inventory)),
     "stream_upsert_inventory": _stream_upsert_inventory,
 }
 

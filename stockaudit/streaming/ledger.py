@@ -3,25 +3,28 @@
 from __future__ import annotations
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from stockaudit.streaming.lifecycle import BUCKETS, bucket_of, in_order
+from stockaudit.streaming.lifecycle import bucket_of, default_buckets, in_order
 from stockaudit.streaming.runs import run_each_batch
 
 PAIR = ["store_id", "product_id"]
 LOW_STOCK = 20
+COMPACT_AFTER = 50
 
 
 def stock_ledger(
-    movements: DataFrame, reorder_points: DataFrame | None = None, low_stock: int = LOW_STOCK, buckets: int = BUCKETS
+    movements: DataFrame, reorder_points: DataFrame | None = None, low_stock: int = LOW_STOCK, buckets: int | None = None
 ) -> DataFrame:
     """Running stock per (store, product) over movements (…, id, kind, delta, ts).
 
     A sale that exceeds the stock is rejected, an adjustment stops at 0, anything else applies.
     ``low_stock`` marks the row on which stock falls below the reorder point.
     """
+    buckets = buckets or default_buckets(movements)
     if reorder_points is not None:
         movements = movements.join(reorder_points.select(*PAIR, "reorder_point"), PAIR, "left")
     point = F.col("reorder_point") if reorder_points is not None else F.lit(None)
@@ -55,22 +58,40 @@ def stock_ledger(
         "store ARRAY<INT>, product ARRAY<BIGINT>, stock ARRAY<BIGINT>", "append", GroupStateTimeout.NoTimeout)
 
 
-def upsert_inventory(movements: DataFrame, folder: str) -> DataFrame:
+def upsert_inventory(movements: DataFrame, folder: str, compact_after: int = COMPACT_AFTER) -> DataFrame:
     """Fold movements into a stock table, one summed delta per pair and micro-batch.
 
     Each micro-batch overwrites its own partition, so a replayed batch counts once, and costs what it
-    brings, not the size of the table. The returned table sums the partitions.
+    brings, not the size of the table. Every ``compact_after`` batches the deltas so far become a version of the whole table,
+    named by its last batch, so that a read takes one version and few deltas; a replayed batch writes the same version again.
     """
-    table = f"{folder}/stock"
-
     def fold(batch: DataFrame, batch_id: int) -> None:
         (batch.groupBy(*PAIR).agg(F.sum("delta").alias("delta"))
-         .write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}"))
+         .write.mode("overwrite").parquet(f"{folder}/stock/batch_id={batch_id}"))
+        if (batch_id + 1) % compact_after == 0:
+            spark = batch.sparkSession
+            stock_table(spark, folder, batch_id).write.mode("overwrite").parquet(f"{folder}/version/upto={batch_id}")
 
     run_each_batch(movements, fold, folder)
     return stock_table(movements.sparkSession, folder)
 
 
-def stock_table(spark: SparkSession, folder: str) -> DataFrame:
+def stock_table(spark: SparkSession, folder: str, upto: int | None = None) -> DataFrame:
+    """Stock per pair after batch ``upto``, or after all: the newest version before it and the deltas behind that."""
     deltas = spark.read.schema("store_id INT, product_id BIGINT, delta BIGINT, batch_id BIGINT").parquet(f"{folder}/stock")
+    deltas = deltas if upto is None else deltas.filter(F.col("batch_id") <= upto)
+    versions = _versions(spark, folder)
+    if versions is not None:
+        before = versions if upto is None else versions.filter(F.col("upto") < upto)
+        last = before.agg(F.max("upto")).first()[0]
+        if last is not None:
+            known = versions.filter(F.col("upto") == last).select(*PAIR, F.col("stock").alias("delta"))
+            deltas = deltas.filter(F.col("batch_id") > last).select(*PAIR, "delta").unionByName(known)
     return deltas.groupBy(*PAIR).agg(F.sum("delta").alias("stock"))
+
+
+def _versions(spark: SparkSession, folder: str) -> DataFrame | None:
+    try:
+        return spark.read.schema("store_id INT, product_id BIGINT, stock BIGINT, upto BIGINT").parquet(f"{folder}/version")
+    except AnalysisException:  # no version yet
+        return None

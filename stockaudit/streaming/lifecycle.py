@@ -18,20 +18,25 @@ from stockaudit.functions.parameters import CONFIRM_LIMIT_MINUTES, DELIVER_LIMIT
 from stockaudit.schemas import ALLOWED_TRANSITIONS
 from stockaudit.streaming.runs import WATERMARK, zoned
 
-BUCKETS = 256
+BUCKETS_PER_PARTITION = 16
 
 
-def bucket_of(*keys: str, buckets: int = BUCKETS) -> Column:
+def default_buckets(df: DataFrame) -> int:
+    """Hash buckets in proportion to the cluster: some for each shuffle partition."""
+    return BUCKETS_PER_PARTITION * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def bucket_of(*keys: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int").alias("bucket")
 
 
 def in_order(pages: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
-    """The rows a bucket got in this micro-batch; the trigger limit bounds them."""
+    """The rows a bucket got in this micro-batch; the size of a slice bounds them."""
     return pd.concat(list(pages)).sort_values(order, kind="stable")
 
 
 def order_lifecycle(
-    statuses: DataFrame, moves: tuple[tuple[str, str], ...] = ALLOWED_TRANSITIONS, buckets: int = BUCKETS,
+    statuses: DataFrame, moves: tuple[tuple[str, str], ...] = ALLOWED_TRANSITIONS, buckets: int | None = None,
     ttl_hours: int = STALE_HOURS, watermark: str = WATERMARK,
 ) -> DataFrame:
     """Judge each status row (entity_id, event_id, status, ts) against the last accepted status.
@@ -40,6 +45,7 @@ def order_lifecycle(
     entity is forgotten once the watermark is ``ttl_hours`` past its last row.
     """
     legal = frozenset(moves)
+    buckets = buckets or default_buckets(statuses)
     ttl_ms = ttl_hours * 3_600_000
 
     def judge(key, pages, state: GroupState):
@@ -69,7 +75,7 @@ def order_lifecycle(
 
 def sla_timeouts(
     statuses: DataFrame, confirm_minutes: int = CONFIRM_LIMIT_MINUTES, deliver_minutes: int = DELIVER_LIMIT_MINUTES,
-    buckets: int = BUCKETS, watermark: str = WATERMARK,
+    buckets: int | None = None, watermark: str = WATERMARK,
 ) -> DataFrame:
     """Alerts for entities still pending, or still confirmed, at their deadline after creation.
 
@@ -77,6 +83,7 @@ def sla_timeouts(
     that the moment has passed. After its last deadline an entity leaves the state.
     """
     minute = 60_000
+    buckets = buckets or default_buckets(statuses)
     # The phases in the order of their deadlines.
     phases = (("pending", confirm_minutes * minute), ("confirmed", deliver_minutes * minute))
 

@@ -1,27 +1,29 @@
-"""Reading table folders as streams and running queries to the end of what is there."""
+"""Reading table folders as streams, replaying stored tables in event-time order, running queries to the end of what is there."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stockaudit.session import new_folder
+from stockaudit.session import cut_lineage, new_folder
 
-# Built-in aggregations combine before the shuffle and may take large micro-batches; Python state functions
-# sort what a bucket got, so their micro-batches stay small enough for one worker's memory.
-MAX_BYTES_PER_TRIGGER = 64 << 30
-MAX_BYTES_FOR_PYTHON_STATE = 1 << 30
 WATERMARK = "10 minutes"
+#: Rows of one replayed slice, which is one micro-batch. It bounds what a Python state function sorts at a time.
+SLICE_ROWS = 50_000_000
+SLICES_SETTING = "spark.stockaudit.slices"
 
 
-def read_stream(
-    spark: SparkSession, path: str, schema: T.StructType | str, max_bytes: int = MAX_BYTES_PER_TRIGGER, **options
-) -> DataFrame:
-    """The parquet files under ``path`` as a stream; a micro-batch takes at most ``max_bytes`` of them."""
-    return spark.readStream.schema(schema).option("maxBytesPerTrigger", max_bytes).options(**options).parquet(path)
+class LateRows(RuntimeError):
+    """Rows that came after the watermark had passed them."""
+
+
+def read_stream(spark: SparkSession, path: str, schema: T.StructType | str, **options) -> DataFrame:
+    """The parquet files under ``path`` as a stream; all files that are there are one micro-batch unless options say otherwise."""
+    return spark.readStream.schema(schema).options(**options).parquet(path)
 
 
 def zoned(df: DataFrame, ts: str) -> DataFrame:
@@ -35,10 +37,11 @@ def zoneless(df: DataFrame) -> DataFrame:
     return df.withColumns(stamps) if stamps else df
 
 
-def run_to_table(stream: DataFrame, folder: str | None = None) -> DataFrame:
+def run_to_table(stream: DataFrame, folder: str | None = None, refuse_late: bool = False) -> DataFrame:
     """Run an append query over everything available and return its stored output.
 
     ``folder`` holds output and checkpoint; running again with the same one resumes where the last run stopped.
+    With ``refuse_late`` rows that come too late for the watermark are an error that counts them, not a silent loss.
     """
     spark = stream.sparkSession
     folder = folder or new_folder(spark, "stream")
@@ -47,9 +50,56 @@ def run_to_table(stream: DataFrame, folder: str | None = None) -> DataFrame:
         .option("checkpointLocation", f"{folder}/checkpoint").trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    late = sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
+    if late and refuse_late:
+        raise LateRows(f"{late} rows came after the watermark; replay the input in event-time order")
     return zoneless(spark.read.schema(stream.schema).parquet(f"{folder}/out"))
 
 
+def time_slices(df: DataFrame, ts: str, slices: int | None = None) -> list[DataFrame]:
+    """``df`` cut by event time into slices that follow each other; rows of one time stay together, NULLs come first.
+
+    The rows are stored in ranges of event time first, so that a slice reads its own files only.
+    """
+    spark = df.sparkSession
+    staged = cut_lineage(df.repartitionByRange(ts).sortWithinPartitions(ts))
+    n = slices or int(spark.conf.get(SLICES_SETTING, "0")) or max(1, math.ceil(staged.count() / SLICE_ROWS))
+    if n == 1:
+        return [staged]
+    micros = F.unix_micros(F.col(ts).cast("timestamp"))
+    shares = [i / n for i in range(1, n)]
+    cuts = staged.agg(F.percentile_approx(F.timestamp_micros(micros), shares).alias("c")).first()["c"] or []
+    cuts = sorted({c for c in cuts if c is not None})
+    value = F.col(ts).cast("timestamp")
+    edges = [None, *cuts, None]
+    return [
+        staged.filter((value.isNull() if lo is None else F.lit(False)) | (
+            (F.lit(True) if lo is None else value > F.lit(lo)) & (F.lit(True) if hi is None else value <= F.lit(hi))))
+        for lo, hi in zip(edges[:-1], edges[1:])
+    ]
+
+
+def replay(
+    df: DataFrame, ts: str, run: Callable[[DataFrame, str], DataFrame], folder: str | None = None, slices: int | None = None
+) -> DataFrame:
+    """Feed a stored table to a stream slice by slice in event-time order.
+
+    ``run`` gets the stream of the slices so far and the run's folder; its checkpoint there makes it go on where the
+    slice before ended. However the table's files are laid out, no row comes after its watermark.
+    """
+    spark = df.sparkSession
+    folder, out = folder or new_folder(spark, "replay"), None
+    for part in time_slices(df, ts, slices):
+        part.write.mode("append").parquet(f"{folder}/in")
+        out = run(read_stream(spark, f"{folder}/in", df.schema), f"{folder}/run")
+    return out
+
+
+def replay_to_table(df: DataFrame, ts: str, build: Callable[[DataFrame], DataFrame], slices: int | None = None) -> DataFrame:
+    """The stored output of an append query over a replayed table."""
+    return replay(df, ts, lambda stream, folder: run_to_table(build(stream), folder, refuse_late=True), slices=slices)
+
+
 def run_each_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], folder: str) -> None:
     query = (
         stream.writeStream.foreachBatch(handle).option("checkpointLocation", f"{folder}/checkpoint")

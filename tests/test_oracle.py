@@ -14,6 +14,7 @@ import compare  # noqa: E402
 import __spark_entry__ as entry  # noqa: E402
 from stockaudit.operators.ordered import PARTS_SETTING  # noqa: E402
 from stockaudit.plans import registry  # noqa: E402
+from stockaudit.streaming.runs import SLICES_SETTING  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 NAMES = list(registry.queries())
@@ -41,6 +42,17 @@ def test_cut_groups_equal_duckdb(spark, duck, name):
         spark.conf.unset(PARTS_SETTING)
 
 
+@pytest.mark.parametrize("slices", ["1", "5"])
+@pytest.mark.parametrize("name", [n for n in NAMES if n.startswith("stream_") and n != "stream_resume"])
+def test_streams_equal_duckdb_however_sliced(spark, duck, name, slices):
+    """One micro-batch or several, over rows that lie in files by id."""
+    spark.conf.set(SLICES_SETTING, slices)
+    try:
+        assert compare.compare(spark, duck, SF, name)
+    finally:
+        spark.conf.unset(SLICES_SETTING)
+
+
 def test_every_query_has_a_statement():
     assert set(NAMES) - set(entry.oracle_sql()) == set()
     assert len(NAMES) == 108

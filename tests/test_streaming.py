@@ -1,4 +1,4 @@
-"""Streams give the batch result, whatever the batches, restarts and repeats; late rows are dropped."""
+"""Streams give the batch result, whatever the restarts, repeats and layout of stored input; late rows are counted."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from stockaudit.session import new_folder
 from stockaudit.streaming import events as ev
 from stockaudit.streaming import ledger as lg
 from stockaudit.streaming import lifecycle as lc
-from stockaudit.streaming.runs import run_to_table
+from stockaudit.streaming.runs import LateRows, replay_to_table, run_to_table, time_slices
 
 STATUS = "entity_id BIGINT, event_id BIGINT, status STRING, ts TIMESTAMP_NTZ"
 MOVE = "store_id INT, product_id BIGINT, id BIGINT, kind STRING, delta INT, ts TIMESTAMP_NTZ"
@@ -128,3 +128,66 @@ def test_upsert_is_idempotent_and_resumes(arrive, spark):
     spark.createDataFrame([(1, 2, -1)], "store_id INT, product_id BIGINT, delta BIGINT").write.mode("overwrite").parquet(
         f"{run}/stock/batch_id=2")
     assert {tuple(r) for r in lg.stock_table(spark, run).collect()} == {(1, 1, 3), (1, 2, 6)}
+
+
+def test_late_rows_can_be_refused(arrive):
+    _, stream = arrive(ev.EVENTS, [event(1, 500)], [event(2, 10), event(3, 600)], [event(4, 20)])
+    with pytest.raises(LateRows):
+        run_to_table(ev.hourly_counts(stream), refuse_late=True)
+
+
+def stored_by_id(spark, rows, schema, files=4):
+    """Rows in files by id, in no order of time."""
+    folder = new_folder(spark, "by-id")
+    df = spark.createDataFrame(rows, schema)
+    df.repartition(files, schema.split()[0] if schema is ev.EVENTS else "event_id").write.parquet(folder)
+    return spark.read.schema(schema).parquet(folder)
+
+
+@pytest.mark.parametrize("slices", [1, 3, 7])
+def test_replay_does_not_depend_on_files_or_slices(spark, slices):
+    events = [event(i, (i * 37) % 1500, user=i % 3) for i in range(300)]
+    df = stored_by_id(spark, events, ev.EVENTS)
+    got = {(r.window_start, r.n) for r in replay_to_table(df, "ts", ev.hourly_counts, slices).collect()}
+    want: dict = {}
+    last = max(e[1] for e in events)
+    for e in events:
+        hour = e[1].replace(minute=0)
+        if hour + datetime.timedelta(minutes=70) <= last:
+            want[hour] = want.get(hour, 0) + 1
+    assert got == set(want.items())
+    assert replay_to_table(df, "ts", ev.dedup_events, slices).count() == 300
+
+
+@pytest.mark.parametrize("slices", [1, 4])
+def test_replayed_lifecycle(spark, slices):
+    rows = []
+    for e in range(40):
+        for k, status in enumerate(("pending", "delivered", "confirmed", "delivered")):
+            rows.append((e, e * 10 + k, status, at(e * 3 + k * 20)))
+    df = stored_by_id(spark, rows, STATUS)
+    got = replay_to_table(df, "ts", lc.order_lifecycle, slices).collect()
+    assert sorted((r.event_id, r.accepted) for r in got) == [(e * 10 + k, k != 1) for e in range(40) for k in range(4)]
+
+
+def test_time_slices_follow_each_other(spark):
+    rows = [(i, at(i // 5) if i % 11 else None) for i in range(200)]
+    df = spark.createDataFrame(rows, "id BIGINT, ts TIMESTAMP_NTZ")
+    parts = [p.collect() for p in time_slices(df, "ts", 6)]
+    assert sorted(r.id for p in parts for r in p) == list(range(200)) and len(parts) == 6
+    times = [[r.ts for r in p if r.ts] for p in parts]
+    assert all(max(a) < min(b) for a, b in zip(times, times[1:]))
+    assert all(r.ts is not None for p in parts[1:] for r in p)
+    assert [p.count() for p in time_slices(df.limit(0), "ts", 3)] == [0]
+
+
+def test_stock_versions(arrive, spark):
+    """A version every two batches; a replayed batch changes nothing."""
+    batches = [[(1, 1, i, "restock", i, at(i))] for i in range(1, 6)]
+    _, stream = arrive(MOVE, *batches)
+    run = new_folder(spark, "versions")
+    assert {tuple(r) for r in lg.upsert_inventory(stream, run, compact_after=2).collect()} == {(1, 1, 15)}
+    assert {r.upto for r in spark.read.parquet(f"{run}/version").collect()} == {1, 3}
+    assert lg.stock_table(spark, run, 2).first().stock == 6
+    lg.stock_table(spark, run, 3).write.mode("overwrite").parquet(f"{run}/version/upto=3")
+    assert lg.stock_table(spark, run).first().stock == 15
