@@ -9,14 +9,16 @@ repeated pieces are looked up by a 128-bit hash. All of this is done for a block
 from __future__ import annotations
 
 import os
+from itertools import chain
 from pathlib import Path
 
 import numpy as np
 
 from stockaudit.llm.common import worker_state
 
+_JOINED = 64  # new words that the library gets as one text
 _CHUNK = 1 << 18  # characters of a text that are handled at once
-_MOST_PIECES = 800_000  # in the table of known pieces; it starts anew when full
+_MOST_PIECES = 2_000_000  # in the table of known pieces; it starts anew when full
 
 _B = np.arange(256)
 _LETTER = ((_B >= 65) & (_B <= 90)) | ((_B >= 97) & (_B <= 122))
@@ -50,6 +52,7 @@ class PieceEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.bytes_of = np.array([len(self.library.id_to_token(i) or "") for i in range(self.library.get_vocab_size())], np.int64)
         self.one, self.two = _tables()
         self.up, self.down = powers(1 << 16, _BASE), powers(1 << 16, _INVERSE)
         self._clear()
@@ -65,8 +68,8 @@ class PieceEncoder:
     def _clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
         self.checks = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.size = np.zeros(0, np.int64)
+        self.at = np.zeros(0, np.int32)
+        self.size = np.zeros(0, np.int32)
         self.pool = np.zeros(1 << 16, np.int32)
         self.used = 0
 
@@ -117,7 +120,7 @@ class PieceEncoder:
         distinct = order[new]
         if not (checks[distinct][inverse] == checks).all():  # two pieces with one hash
             return [np.array(self.library.encode(x.decode(), add_special_tokens=False).ids, np.int32) for x in parts]
-        at, size = self._look_up(whole, keys[distinct], checks[distinct], starts[distinct], ends[distinct])
+        at, size = self._look_up(b, keys[distinct], checks[distinct], starts[distinct], ends[distinct])
         size, at = size[inverse], at[inverse]
         upto = np.cumsum(size)
         ids = self.pool[np.repeat(at - (upto - size), size) + np.arange(upto[-1])]
@@ -136,30 +139,33 @@ class PieceEncoder:
             out.append(h ^ (h >> np.uint64(31)))
         return out[0], out[1] + (ends - starts).astype(np.uint64)
 
-    def _look_up(self, whole: bytes, keys, checks, starts, ends) -> tuple[np.ndarray, np.ndarray]:
+    def _look_up(self, b: np.ndarray, keys, checks, starts, ends) -> tuple[np.ndarray, np.ndarray]:
         """Place and number of the ids of each distinct piece; ``keys`` ascend."""
         place = np.searchsorted(self.keys, keys)
         near = np.minimum(place, max(0, len(self.keys) - 1))
         known = (self.keys[near] == keys) if len(self.keys) else np.zeros(len(keys), bool)
         if known.any() and not (self.checks[near][known] == checks[known]).all():
             self._clear()  # a piece with the hash of another: forget the others
-            return self._look_up(whole, keys, checks, starts, ends)
+            return self._look_up(b, keys, checks, starts, ends)
         if len(self.keys) + (~known).sum() > _MOST_PIECES and len(self.keys):
             self._clear()
-            return self._look_up(whole, keys, checks, starts, ends)
+            return self._look_up(b, keys, checks, starts, ends)
         at, size = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
         at[known], size[known] = self.at[near[known]], self.size[near[known]]
         miss = np.flatnonzero(~known)
         if len(miss):
-            words = [whole[s:e].decode() for s, e in zip(starts[miss].tolist(), ends[miss].tolist())]
-            made = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
-            size[miss] = [len(x) for x in made]
-            flat = np.fromiter((i for x in made for i in x), np.int32)
+            words = self._is_word(b, starts[miss], ends[miss])
+            miss = np.concatenate([miss[words], miss[~words]])
+            n = int(words.sum())
+            flat, size[miss[:n]] = self._encode_words(b, starts[miss[:n]], ends[miss[:n]])
+            rest, size[miss[n:]] = self._encode_each([b[s:e].tobytes().decode() for s, e in zip(starts[miss[n:]], ends[miss[n:]])])
+            flat = np.concatenate([flat, rest])
             while self.used + len(flat) > len(self.pool):
                 self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
             self.pool[self.used:self.used + len(flat)] = flat
             at[miss] = self.used + np.cumsum(size[miss]) - size[miss]
             self.used += len(flat)
+            miss = np.sort(miss)
             self.keys = np.insert(self.keys, place[miss], keys[miss])
             self.checks = np.insert(self.checks, place[miss], checks[miss])
             self.at = np.insert(self.at, place[miss], at[miss])
@@ -167,6 +173,35 @@ class PieceEncoder:
         return at, size
 
 
+    @staticmethod
+    def _is_word(b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which pieces are a space and ASCII letters."""
+        letters = np.concatenate([[0], np.cumsum(_LETTER[b])])
+        return (b[starts] == 32) & (ends - starts > 1) & (letters[ends] - letters[starts] == ends - starts - 1)
+
+    def _encode_each(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        made = [e.ids for e in self.library.encode_batch_fast(words, add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(made), np.int32), np.fromiter(map(len, made), np.int64, len(made))
+
+    def _encode_words(self, b: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number of many words, of which the library gets ``_JOINED`` as one text: it cuts before every space.
+
+        The bytes that each id spells tell which word it belongs to.
+        """
+        if not len(starts):
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        size = ends - starts
+        upto = np.cumsum(size)
+        text = b[np.repeat(starts - (upto - size), size) + np.arange(upto[-1])].tobytes().decode("ascii")
+        cuts = [0, *upto[_JOINED - 1::_JOINED].tolist(), len(text)]
+        flat, _ = self._encode_each([text[a:z] for a, z in zip(cuts[:-1], cuts[1:])])
+        spelt = np.cumsum(self.bytes_of[flat])
+        last = np.searchsorted(spelt, upto)
+        if last[-1] >= len(spelt) or not (spelt[last] == upto).all():  # an id that goes over a word's end
+            return self._encode_each([text[z - n:z] for z, n in zip(upto.tolist(), size.tolist())])
+        return flat, np.diff(last, prepend=-1)
+
+
 def _cuts(b: np.ndarray) -> np.ndarray:
     """Whether a piece starts at each byte."""
     n = len(b)

@@ -225,7 +225,7 @@ def read_shards(spark: SparkSession, folder: str) -> DataFrame:
         rows.append((part, before))
         before += n
     bases = spark.createDataFrame(rows, "part int, base long")
-    return shards.join(bases, "part").withColumn("first", F.col("base") + F.col("start")).drop("base")
+    return shards.join(F.broadcast(bases), "part").withColumn("first", F.col("base") + F.col("start")).drop("base")
 
 
 def read_tokens(spark: SparkSession, folder: str, as_ids: bool = True) -> DataFrame:
