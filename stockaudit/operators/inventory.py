@@ -194,9 +194,8 @@ def cold_chain_companions(t, parts: int | None = None) -> DataFrame:
     per_store = in_stock.groupBy("store_id").agg(F.count(F.lit(1)).alias("n_stock"))
 
     basket = with_match(t.order_item.select("order_id", "product_id"), cold, ["product_id"]).distinct()
-    basket = basket.join(t.orders.select("order_id", "store_id"), "order_id")
-    # Stored once: the ordered pass over it counts before it runs.
-    taken = cut_lineage(basket.join(numbered, PAIR).select("order_id", "number"))
+    basket = cut_lineage(basket.join(t.orders.select("order_id", "store_id"), "order_id"))
+    taken = basket.join(numbered, PAIR).select("order_id", "number")
     ranked = with_row_number(taken, ["order_id"], ["number"], "place", parts=parts)
     used = ranked.groupBy("order_id").agg(
         F.count(F.lit(1)).alias("n_taken"), F.count_if(F.col("number") == F.col("place")).alias("run"))
@@ -207,5 +206,12 @@ def cold_chain_companions(t, parts: int | None = None) -> DataFrame:
         (F.coalesce("n_stock", F.lit(0)) - F.coalesce("n_taken", F.lit(0))).alias("n_candidates"),
         (F.coalesce("run", F.lit(0)) + 1).cast("bigint").alias("number"),
     )
-    return free.join(numbered, ["store_id", "number"], "left").select(
-        "order_id", "n_candidates", F.col("product_id").alias("first_candidate"))
+    # Most orders ask for the same first numbers, so each store hands out a short list of these: no longer than
+    # the longest run that a basket takes from the start, and one.
+    asked = free.groupBy("store_id").agg(F.max("number").alias("_most"))
+    lists = (
+        numbered.join(asked, "store_id").filter(F.col("number") <= F.col("_most"))
+        .groupBy("store_id").agg(F.map_from_entries(F.collect_list(F.struct("number", "product_id"))).alias("_list"))
+    )
+    return free.join(lists, "store_id", "left").select(
+        "order_id", "n_candidates", F.try_element_at("_list", F.col("number")).alias("first_candidate"))

@@ -19,11 +19,11 @@ COLUMNS = {
                   "created_at TIMESTAMP_NTZ",
     "customer": "customer_id BIGINT, zone_id INT, first_name STRING, last_name STRING, phone_number STRING, "
                 "full_address STRING, registered_time TIMESTAMP_NTZ, created_at TIMESTAMP_NTZ",
-    "store_inventory": "inventory_id INT, store_id INT, product_id BIGINT, quantity_on_hand INT, "
+    "store_inventory": "inventory_id BIGINT, store_id INT, product_id BIGINT, quantity_on_hand INT, "
                        "reorder_point INT, reorder_quantity INT, last_updated TIMESTAMP_NTZ",
-    "purchase_order": "po_id INT, store_id INT, supplier_id INT, status STRING, total_price DECIMAL(14,2), "
+    "purchase_order": "po_id BIGINT, store_id INT, supplier_id INT, status STRING, total_price DECIMAL(14,2), "
                       "ordered_at TIMESTAMP_NTZ, received_at TIMESTAMP_NTZ",
-    "purchase_order_item": "po_item_id BIGINT, po_id INT, product_id BIGINT, quantity_ordered INT, "
+    "purchase_order_item": "po_item_id BIGINT, po_id BIGINT, product_id BIGINT, quantity_ordered INT, "
                            "quantity_received INT, unit_price DECIMAL(10,2)",
     "orders": "order_id BIGINT, store_id INT, customer_id BIGINT, status STRING, payment_method STRING, "
               "sub_total DECIMAL(12,2), delivery_fee DECIMAL(8,2), total_amount DECIMAL(12,2), "
@@ -32,7 +32,7 @@ COLUMNS = {
                   "unit_price DECIMAL(10,2), line_total DECIMAL(21,2)",
     "order_history": "history_id BIGINT, order_id BIGINT, status STRING, changed_at TIMESTAMP_NTZ",
     "inventory_transaction": "transaction_id BIGINT, store_id INT, product_id BIGINT, transaction_type STRING, "
-                             "order_id BIGINT, po_id INT, quantity_delta INT, quantity_after INT, "
+                             "order_id BIGINT, po_id BIGINT, quantity_delta INT, quantity_after INT, "
                              "timestamp_occurred TIMESTAMP_NTZ",
 }
 

@@ -53,7 +53,7 @@ LAYER = {
         FROM {lineitem}""",
     "order_item": f"""
         SELECT l_orderkey * 1000 + line_no AS order_item_id, l_orderkey AS order_id,
-               CASE WHEN (l_orderkey * 7 + l_linenumber) % 3989 = 0 THEN l_partkey + 20000000 ELSE l_partkey END
+               CASE WHEN (l_orderkey * 7 + l_linenumber) % 3989 = 0 THEN l_partkey + 2000000000000 ELSE l_partkey END
                  AS product_id,
                CAST(l_quantity AS INT) AS quantity, {_ITEM_PRICE} AS unit_price,
                CAST(CAST(l_quantity AS INT) * {_ITEM_PRICE}
@@ -99,24 +99,24 @@ LAYER = {
           FROM {orders_r} WHERE order_id % 499 <> 0 AND order_id % 223 <> 0 AND status IN ('delivered', 'cancelled')
         ) h""",
     "po": """
-        SELECT r_regionkey AS po_id, r_regionkey AS store_id, 0 AS supplier_id,
+        SELECT CAST(r_regionkey AS BIGINT) AS po_id, r_regionkey AS store_id, 0 AS supplier_id,
                CASE WHEN r_regionkey = 4 THEN 'pending' ELSE 'received' END AS status,
                CAST('1994-12-25 00:00:00' AS <ntz>) AS ordered_at
         FROM {region}
         UNION ALL
-        SELECT CAST(1000 + s_suppkey AS INT), CAST(s_suppkey % 5 AS INT), CAST(s_suppkey AS INT),
+        SELECT CAST(1000 + s_suppkey AS BIGINT), CAST(s_suppkey % 5 AS INT), CAST(s_suppkey AS INT),
                CASE WHEN s_suppkey % 3 = 0 OR s_suppkey % 5 = 4 THEN 'pending' ELSE 'received' END,
                CAST('1998-01-01 00:00:00' AS <ntz>) + INTERVAL '1' DAY * CAST(s_suppkey AS INT)
         FROM {supplier}""",
     # Every part is on the opening order of each store and on the orders of two suppliers, so the
     # line count grows linearly with the parts.
     "poi0": """
-        SELECT r_regionkey AS po_id, p_partkey AS product_id, 500 AS quantity_ordered,
+        SELECT CAST(r_regionkey AS BIGINT) AS po_id, p_partkey AS product_id, 500 AS quantity_ordered,
                CASE WHEN r_regionkey = 4 AND p_partkey % 100 <> 0 THEN 0 WHEN p_partkey % 1999 = 7 THEN 510
                  ELSE 500 END AS quantity_received
         FROM <stores_x_part>
         UNION ALL
-        SELECT CAST(1000 + s_suppkey AS INT), p_partkey, 100,
+        SELECT CAST(1000 + s_suppkey AS BIGINT), p_partkey, 100,
                CASE WHEN s_suppkey % 3 = 0 OR s_suppkey % 5 = 4 THEN 0 ELSE 100 END
         FROM (SELECT p_partkey, p_partkey % (SELECT COUNT(*) FROM {supplier}) AS k FROM {part}
               UNION ALL
@@ -177,8 +177,8 @@ LAYER = {
                ts AS timestamp_occurred
         FROM {ledger0}""",
     "store_inventory": """
-        SELECT CAST(r_regionkey * 1000000 + p_partkey AS INT) AS inventory_id, r_regionkey AS store_id,
-               CASE WHEN p_partkey % 1500 = 1499 THEN p_partkey + 10000000 ELSE p_partkey END AS product_id,
+        SELECT CAST(r_regionkey AS BIGINT) * 1000000000000 + p_partkey AS inventory_id, r_regionkey AS store_id,
+               CASE WHEN p_partkey % 1500 = 1499 THEN p_partkey + 1000000000000 ELSE p_partkey END AS product_id,
                CAST(COALESCE(t.s, 0) + CASE WHEN p_partkey % 401 = 0 THEN 1 ELSE 0 END AS INT) AS quantity_on_hand,
                CASE WHEN p_partkey % 701 = 700 THEN 0 ELSE 20 END AS reorder_point,
                CASE WHEN p_partkey % 703 = 702 THEN 20 ELSE 100 END AS reorder_quantity
