@@ -31,8 +31,8 @@ from stockaudit.llm.pieces import PieceEncoder
 from stockaudit.session import new_folder
 
 END = 2
-SHARD_TOKENS = 1 << 21
-SHARDS_A_FILE = 8
+SHARD_TOKENS = 1 << 18  # half a megabyte of planes: building and reading them stays in a core's cache
+SHARDS_A_FILE = 64
 BLOCK = 512  # bits between two entries of a rank directory
 MAGIC = b"WMX1"
 FIELDS = "part int, seq int, start long, documents long, ids long, shard binary"
@@ -50,11 +50,11 @@ class WaveletMatrix:
         x = ids.astype(np.uint16 if top < 1 << 16 else np.uint32)
         planes = []
         for k in reversed(range(max(1, top.bit_length()))):
-            bit = (x >> k & 1).astype(bool)
+            bit = (x & x.dtype.type(1 << k)) != 0
             packed = np.packbits(bit, bitorder="little")
-            zero = x[~bit]
+            zero = np.compress(~bit, x)
             planes.append((len(zero), cls._directory(packed), packed))
-            x = np.concatenate([zero, x[bit]])
+            x = np.concatenate([zero, np.compress(bit, x)])
         return cls(len(ids), planes)
 
     @staticmethod
@@ -69,10 +69,10 @@ class WaveletMatrix:
         """The numbers in their order."""
         x = np.zeros(self.n, np.uint16 if len(self.planes) <= 16 else np.uint32)
         for k, (zeros, _, packed) in enumerate(reversed(self.planes)):
-            bit = np.unpackbits(packed, count=self.n, bitorder="little").astype(bool)
+            bit = np.unpackbits(packed, count=self.n, bitorder="little").view(bool)
             up = np.empty_like(x)
-            up[~bit] = x[:zeros]
-            up[bit] = x[zeros:] | x.dtype.type(1 << k)
+            up[np.flatnonzero(~bit)] = x[:zeros]
+            up[np.flatnonzero(bit)] = x[zeros:] | x.dtype.type(1 << k)
             x = up
         return x
 
