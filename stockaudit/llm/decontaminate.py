@@ -313,3 +313,34 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+SQL = r"""
+WITH parted AS (
+  SELECT doc_id, row_number() OVER () AS row, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), items AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), item_windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS words
+  FROM (SELECT item_id, w, least(len(w), 10) AS n, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS i
+        FROM items WHERE len(w) > 0) x
+), windows AS (
+  SELECT row, n, i, array_to_string(w[i:i + n - 1], ' ') AS words
+  FROM (SELECT row, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM parted CROSS JOIN (SELECT DISTINCT n FROM item_windows) s) x
+), hits AS (
+  SELECT row, i, n, item_id FROM windows JOIN item_windows USING (n, words)
+), found AS (
+  SELECT row, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS names
+  FROM hits GROUP BY row
+), covered AS (
+  SELECT row, count(DISTINCT word) AS n_hit FROM (SELECT row, unnest(range(i, i + n)) AS word FROM hits) x GROUP BY row
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM parted LEFT JOIN found USING (row) LEFT JOIN covered USING (row)
+"""

@@ -20,4 +20,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_sketch": sketch.op10_sketch,
 }
-SQL: dict[str, str] = {"op9_url_rules": url_rules.SQL}
+SQL: dict[str, str] = {
+    "op1_decontamination": decontaminate.SQL,
+    "op2_suffix_dedup": suffix_dedup.SQL,
+    "op9_url_rules": url_rules.SQL,
+}

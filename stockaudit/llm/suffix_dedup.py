@@ -395,3 +395,29 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, sample: int = SAMPLE,
 
 def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+#: Every 400-byte window by its MD5, over the text as hexadecimal digits; all windows at once, so for small tables only.
+SQL = r"""
+WITH bytes AS (
+  SELECT row_number() OVER () AS row, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents
+), starts AS (
+  SELECT row, p, md5(substr(x, 2 * p + 1, 800)) AS mark
+  FROM (SELECT row, x, unnest(range(0, greatest(0, length(x) // 2 - 399))) AS p FROM bytes) w
+), repeated AS (
+  SELECT row, p FROM starts WHERE mark IN (SELECT mark FROM starts GROUP BY mark HAVING count(*) > 1)
+), runs AS (
+  SELECT row, min(p) AS a, max(p) + 400 AS z FROM (
+    SELECT row, p, sum(CAST(coalesce(p > before + 400, TRUE) AS INT)) OVER (PARTITION BY row ORDER BY p) AS run
+    FROM (SELECT row, p, lag(p) OVER (PARTITION BY row ORDER BY p) AS before FROM repeated) x) y
+  GROUP BY row, run
+), kept AS (
+  SELECT row, count(*) AS n_spans, sum(z - a) AS n_removed,
+         string_agg(substr(x, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) || substr(any_value(x), 2 * max(z) + 1) AS rest
+  FROM (SELECT row, a, z, lag(z, 1, 0) OVER (PARTITION BY row ORDER BY a) AS since FROM runs) r JOIN bytes USING (row)
+  GROUP BY row
+)
+SELECT doc_id, CAST(length(x) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(rest, x))) AS kept_sha256
+FROM bytes LEFT JOIN kept USING (row)
+"""
