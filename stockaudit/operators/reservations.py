@@ -1,66 +1,65 @@
-"""All-or-nothing stock reservation, first come first served, in parallel rounds."""
+"""All-or-nothing stock reservation, first come first served, one contended component at a time."""
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stockaudit.operators.existence import with_match
+from stockaudit.operators.components import components
 from stockaudit.operators.ordered import with_running_total
 from stockaudit.session import cut_lineage
 
 PAIR = ["store_id", "product_id"]
-FOLD_ROWS = 200_000
 
 
-def _fold_store(lines: pd.DataFrame) -> pd.DataFrame:
-    """Decide the undecided orders of one store one after the other (bounded by FOLD_ROWS lines)."""
-    lines = lines.sort_values(["created_at", "order_id"], kind="stable")
-    used: dict[int, int] = {}
-    out = []
-    for (_, order_id), basket in lines.groupby(["created_at", "order_id"], sort=False):
-        need = list(zip(basket["product_id"], basket["quantity"], basket["opening"] - basket["granted"], strict=True))
-        ok = all(q <= left - used.get(p, 0) for p, q, left in need)
-        if ok:
-            for p, q, _ in need:
-                used[p] = used.get(p, 0) + q
-        out.append((order_id, ok))
-    return pd.DataFrame(out, columns=["order_id", "accepted"])
+def _refused(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Contended lines sorted by (component, time, order) in, refused order ids out.
 
+    Rows pass one batch at a time; what is kept is the stock left of the products of one component.
+    """
+    component = order = None
+    left: dict[int, int] = {}
+    basket: list[tuple[int, int]] = []
 
-def reservation_ledger(
-    inventory: DataFrame, orders: DataFrame, items: DataFrame, verdicts: DataFrame, parts: int | None = None
-) -> DataFrame:
-    """The sale rows of the confirmed orders (result ``ok`` in ``verdicts``), with the stock after each."""
-    served = orders.select("order_id", "store_id", "created_at").join(
-        verdicts.filter(F.col("result") == "ok").select("order_id"), "order_id", "left_semi")
-    sales = items.select("order_id", "order_item_id", "product_id", (-F.col("quantity")).alias("quantity_delta")).join(
-        served, "order_id")
-    run = with_running_total(
-        sales, PAIR, ["created_at", "order_id", "order_item_id"], F.col("quantity_delta"), "_run", parts=parts)
-    stock = inventory.groupBy(*PAIR).agg(F.sum("quantity_on_hand").alias("opening"))
-    after = (F.coalesce("opening", F.lit(0)) + F.col("_run")).cast("bigint")
-    return run.join(stock, PAIR, "left").select(
-        "order_id", "order_item_id", *PAIR, F.lit("sale").alias("transaction_type"), "quantity_delta",
-        after.alias("quantity_after"), F.col("created_at").alias("timestamp_occurred"))
+    def settle(out: list[int]) -> None:
+        if all(wanted <= left[pair] for pair, wanted in basket):
+            for pair, wanted in basket:
+                left[pair] -= wanted
+        elif basket:
+            out.append(order)
+        basket.clear()
 
+    for batch in batches:
+        out: list[int] = []
+        for now, order_id, pair, wanted, opening in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if order_id != order or now != component:
+                settle(out)
+                if now != component:
+                    left.clear()
+                component, order = now, order_id
+            left.setdefault(pair, opening)
+            basket.append((pair, wanted))
+        yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["order_id"])
+    rest: list[int] = []
+    settle(rest)
+    yield pa.RecordBatch.from_arrays([pa.array(rest, pa.int64())], names=["order_id"])
 
-def reserve_stock(
-    inventory: DataFrame, orders: DataFrame, items: DataFrame, fold_rows: int = FOLD_ROWS, parts: int | None = None
-) -> DataFrame:
+
+def reserve_stock(inventory: DataFrame, orders: DataFrame, items: DataFrame) -> DataFrame:
     """Which orders can be confirmed when served in (time, id) order per store.
 
     An order is confirmed, and takes its stock, only if every product suffices. Products whose whole
-    demand fits the stock can never fail and drop out first. The rest is settled in rounds: with the
-    orders so far granted as least use and all open ones as most use of each product, an order is
-    granted when even the most use before it leaves enough, and refused when the least use leaves too little. The oldest open
-    order of a store is always settled, so rounds end; once few lines are left (a counted bound) they
-    are folded per store.
+    demand fits the stock can never fail and drop out first. Of the others, those that orders ask for together form
+    components; no order concerns two components, so each is served on its own, as a stream of its lines in order.
+    A component's lines pass one task: that is the sequence the rule asks for.
     """
     base = orders.select("order_id", "store_id", "created_at")
     demand = (
-        items.groupBy("order_id", "product_id").agg(F.sum("quantity").alias("quantity")).join(base, "order_id")
+        items.groupBy("order_id", "product_id").agg(F.coalesce(F.sum("quantity"), F.lit(0)).alias("quantity"))
+        .join(base, "order_id")
     )
     stock = inventory.groupBy(*PAIR).agg(F.sum("quantity_on_hand").alias("opening"))
     opening = F.coalesce(F.col("opening"), F.lit(0))
@@ -70,50 +69,35 @@ def reserve_stock(
         .filter(F.col("wanted") > opening)
         .select(*PAIR, opening.cast("bigint").alias("opening"))
     )
-    # state: null = open, true = granted; refused lines leave the table.
     lines = cut_lineage(
         demand.join(scarce, PAIR)
-        .select("order_id", *PAIR, "created_at", "quantity", "opening", F.lit(None).cast("boolean").alias("granted_"))
+        .select("order_id", "created_at", F.xxhash64(*PAIR).alias("pair"), "quantity", "opening"))
+    # Products of one order are linked to its first one: a graph of products, however many orders there are.
+    hubs = lines.groupBy("order_id").agg(F.min("pair").alias("hub"))
+    links = lines.join(hubs, "order_id").filter("pair <> hub").select(F.col("pair").alias("a"), F.col("hub").alias("b")).distinct()
+    served = (
+        lines.join(components(links).select(F.col("node").alias("pair"), "root"), "pair", "left")
+        .select(F.coalesce("root", "pair").alias("component"), "order_id", "pair", "quantity", "opening", "created_at")
+        .repartition("component").sortWithinPartitions("component", "created_at", "order_id")
+        .select("component", "order_id", "pair", "quantity", "opening")
     )
-    refused: list[DataFrame] = []
-    order = ["created_at", "order_id"]
-    while True:
-        granted_use = F.when(F.col("granted_"), F.col("quantity")).otherwise(0)
-        least = with_running_total(lines, PAIR, order, granted_use, "least", parts=parts)
-        both = with_running_total(least, PAIR, order, F.col("quantity"), "most", parts=parts)
-        open_lines = both.filter(F.col("granted_").isNull())
-        n_open = open_lines.count()
-        if n_open == 0:
-            break
-        if n_open <= fold_rows:
-            folded = (
-                open_lines.select("store_id", "product_id", "order_id", "created_at", "quantity", "opening",
-                                  F.col("least").alias("granted"))
-                .groupBy("store_id").applyInPandas(_fold_store, "order_id bigint, accepted boolean")
-            )
-            refused.append(folded.filter(~F.col("accepted")).select("order_id"))
-            break
-        settled = cut_lineage(
-            open_lines.groupBy("order_id").agg(
-                F.bool_and(F.col("most") <= F.col("opening")).alias("grant"),
-                F.bool_or(F.col("least") + F.col("quantity") > F.col("opening")).alias("refuse"),
-            ).filter(F.col("grant") | F.col("refuse"))
-        )
-        refused.append(settled.filter("refuse").select("order_id"))
-        lines = (
-            lines.join(settled, "order_id", "left")
-            .filter(~F.coalesce("refuse", F.lit(False)))
-            .withColumn("granted_", F.coalesce("granted_", F.when(F.col("grant"), F.lit(True))))
-            .drop("grant", "refuse")
-        )
-        # Products without an open line are done.
-        lines = cut_lineage(with_match(lines, lines.filter(F.col("granted_").isNull()), PAIR))
-    failed = None
-    for part in refused:
-        failed = part if failed is None else failed.unionByName(part)
-    if failed is None:
-        return base.select("order_id", "store_id", F.lit("ok").alias("result"))
-    failed = failed.withColumn("_failed", F.lit(True))
+    failed = served.mapInArrow(_refused, "order_id bigint").withColumn("_failed", F.lit(True))
     return base.join(failed, "order_id", "left").select(
         "order_id", "store_id", F.when(F.col("_failed"), "insufficient_stock").otherwise("ok").alias("result"))
 
+
+def reservation_ledger(
+    inventory: DataFrame, orders: DataFrame, items: DataFrame, verdicts: DataFrame, parts: int | None = None
+) -> DataFrame:
+    """The sale rows of the confirmed orders (result ``ok`` in ``verdicts``), with the stock after each."""
+    served = orders.select("order_id", "store_id", "created_at").join(
+        verdicts.filter(F.col("result") == "ok").select("order_id"), "order_id", "left_semi")
+    sales = items.select("order_id", "order_item_id", "product_id", (-F.col("quantity")).alias("quantity_delta")).join(
+        served, "order_id")
+    run = with_running_total(
+        sales, PAIR, ["created_at", "order_id", "order_item_id"], F.col("quantity_delta"), "_run", parts=parts)
+    stock = inventory.groupBy(*PAIR).agg(F.sum("quantity_on_hand").alias("opening"))
+    after = (F.coalesce("opening", F.lit(0)) + F.col("_run")).cast("bigint")
+    return run.join(stock, PAIR, "left").select(
+        "order_id", "order_item_id", *PAIR, F.lit("sale").alias("transaction_type"), "quantity_delta",
+        after.alias("quantity_after"), F.col("created_at").alias("timestamp_occurred"))
