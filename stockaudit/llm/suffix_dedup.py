@@ -195,19 +195,19 @@ def _anchor_rows(s: Settings):
 
 
 def _marked(rows: DataFrame, s: Settings) -> DataFrame:
-    """(uid, place, state) of the anchors whose key occurs again.
+    """(uid, place, state) of the anchors whose key occurs again; of several rows for one place the highest state holds.
 
     State 1: the reach occurs again. 2: so it does, reaches of the key differ, and this one stands for its copies in the index.
-    3: the reach is the only one of its kind and goes to the index.
+    3: the reach is the only one of its kind and goes to the index. States 2 and 3 come from the group of a reach, which
+    names one of its places, so that no copy has to be looked up.
     """
     found = rows.mapInArrow(_anchor_rows(s), "uid long, place long, key long, reach long, times long")
     keys = found.groupBy("key").agg(F.sum("times").alias("n"), (F.min("reach") != F.max("reach")).alias("differ"))
     again = stored(found.join(keys.where("n > 1").drop("n"), "key"), "anchors")
     reaches = again.where("differ").groupBy("key", "reach").agg(
         F.sum("times").alias("n"), F.min(F.struct("uid", "place")).alias("one"))
-    differ = again.where("differ").join(reaches, ["key", "reach"]).select("uid", "place", F.when(F.col("n") == 1, 3).when(
-        F.col("one") == F.struct("uid", "place"), 2).otherwise(1).alias("state"))
-    return again.where("not differ").select("uid", "place", F.lit(1).alias("state")).union(differ)
+    named = reaches.select("one.uid", "one.place", F.when(F.col("n") == 1, 3).otherwise(2).alias("state"))
+    return again.select("uid", "place", F.lit(1).alias("state")).union(named)
 
 
 DONE, WAITING, STRING = 0, 1, 2
@@ -241,6 +241,9 @@ def _pieces(s: Settings):
                 x, lo, hi, key, _, _ = rows[k]
                 marked = marks[k].values.flatten()
                 places, states = (c.to_numpy(zero_copy_only=False) for c in marked)
+                by = np.lexsort((states, places))
+                by = by[np.append(places[by][1:] != places[by][:-1], True)]
+                places, states = places[by], states[by]
                 whole = places[states != 3]
                 starts = np.stack([lo[whole], hi[whole]], axis=1)
                 if not (states == 3).any():
