@@ -153,9 +153,11 @@ def encode(docs: DataFrame, path: str | None = None, text: str = "text", tokens:
            decoded: str | None = None) -> DataFrame:
     """``docs`` and an array column ``tokens``: the ids the library gives without special tokens added.
 
-    With ``decoded``, also a column of that name with the text that the ids spell, made in the same pass.
+    With ``decoded``, also a column of that name with the text that the ids spell, made in the same pass. Where ``docs``
+    has such columns, the new ones' names are lengthened by ``_``.
     """
     path = path or default_vocabulary()
+    tokens, decoded = free_name(docs, tokens), decoded and free_name(docs, decoded)
     long_run = F.coalesce(F.col(text).rlike(rf"\S{{{LONG}}}|\s{{{LONG}}}"), F.lit(False))
 
     def ordinary(batch: pa.RecordBatch) -> dict[str, pa.Array]:
@@ -217,7 +219,7 @@ class Spelling:
 
 def decode(rows: DataFrame, path: str | None = None, tokens: str = "tokens", text: str = "decoded") -> DataFrame:
     """``rows`` and the text that the ids in ``tokens`` spell; null ids give the empty text."""
-    path = path or default_vocabulary()
+    path, text = path or default_vocabulary(), free_name(rows, text)
 
     def work(batch: pa.RecordBatch) -> dict[str, pa.Array]:
         at = batch.column(batch.schema.names.index(tokens))

@@ -56,11 +56,12 @@ def long_texts():
 def test_operator(spark):
     texts = [None, "", "One two.", "One two.", *long_texts(), "plain words " * 4000]
     rows = [(i // 2, t, i, "x") for i, t in enumerate(texts)]
-    docs = spark.createDataFrame(rows, "doc_id long, text string, row int, ids string")
-    got = {r["row"]: r for r in bpe.encode(docs).collect()}
-    assert len(got) == len(texts) and bpe.encode(docs).columns == ["doc_id", "text", "row", "ids", "tokens"]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, row int, tokens string")
+    coded = bpe.encode(docs, decoded="place")
+    got = {r["row"]: r for r in coded.collect()}
+    assert len(got) == len(texts) and coded.columns == ["doc_id", "text", "row", "tokens", "tokens_", "place"]
     for i, t in enumerate(texts):
-        assert got[i]["tokens"] == want(t), i
+        assert got[i]["tokens_"] == want(t) and got[i]["place"] == LIBRARY.decode(want(t), skip_special_tokens=False), i
     digests = sorted(tuple(r) for r in bpe.round_trip(docs).collect())
     sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
     assert digests == sorted(
