@@ -203,7 +203,9 @@ def _marked(rows: DataFrame, s: Settings) -> DataFrame:
     """
     found = rows.mapInArrow(_anchor_rows(s), "uid long, place long, key long, reach long, times long")
     keys = found.groupBy("key").agg(F.sum("times").alias("n"), (F.min("reach") != F.max("reach")).alias("differ"))
-    again = stored(found.join(keys.where("n > 1").drop("n"), "key"), "anchors")
+    # Stored apart, so that both sides of the join are plain shuffles, which Spark splits where a key is hot.
+    repeated = stored(keys.where("n > 1").drop("n"), "keys")
+    again = stored(found.join(repeated, "key"), "anchors")
     reaches = again.where("differ").groupBy("key", "reach").agg(
         F.sum("times").alias("n"), F.min(F.struct("uid", "place")).alias("one"))
     named = reaches.select("one.uid", "one.place", F.when(F.col("n") == 1, 3).otherwise(2).alias("state"))
