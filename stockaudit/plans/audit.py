@@ -19,11 +19,16 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return frames[0]
 
 
-def _counts(rows: DataFrame, **tests: Column) -> DataFrame:
-    """One row per check id with the number of rows that meet its test, from one pass over ``rows``."""
-    one_row = rows.agg(*[F.count_if(test).alias(check) for check, test in tests.items()])
+def _counts(rows: DataFrame, sums: dict[str, Column] | None = None, **tests: Column) -> DataFrame:
+    """One row per check id with the number of rows that meet its test, from one pass over ``rows``.
+
+    ``sums`` has checks of which a row may hold several violations: their number per row.
+    """
+    found = {check: F.count_if(test) for check, test in tests.items()}
+    found |= {check: F.coalesce(F.sum(n), F.lit(0)).cast("bigint") for check, n in (sums or {}).items()}
+    one_row = rows.agg(*[n.alias(check) for check, n in found.items()])
     return one_row.select(F.inline(F.array(*[
-        F.struct(F.lit(check).alias("check_id"), F.col(check).alias("violations")) for check in tests
+        F.struct(F.lit(check).alias("check_id"), F.col(check).alias("violations")) for check in found
     ])))
 
 
@@ -102,13 +107,27 @@ def _item_counts(t) -> DataFrame:
 
 
 def _order_parent_counts(t) -> DataFrame:
-    """orders with their store and customer attached."""
+    """Orders with their store and the delivery fees of their customer's zone attached."""
     stores = t.dark_store.select("store_id", F.lit(True).alias("_store")).distinct()
-    customers = t.customer.select("customer_id", F.lit(True).alias("_customer")).distinct()
-    rows = t.orders.select("store_id", "customer_id").join(stores, "store_id", "left").join(
-        customers, "customer_id", "left")
-    return _counts(rows, F1=F.col("_store").isNull() & F.col("store_id").isNotNull(),
-                   F2=F.col("_customer").isNull() & F.col("customer_id").isNotNull())
+    zones = t.zone.select("zone_id", F.col("delivery_fee").alias("_fee"))
+    fees = (
+        t.customer.filter(F.col("customer_id").isNotNull()).select("customer_id", "zone_id").join(zones, "zone_id", "left")
+        .groupBy("customer_id").agg(F.collect_list("_fee").alias("_fees"))  # one, unless a key is repeated
+    )
+    rows = t.orders.select("store_id", "customer_id", "delivery_fee").join(stores, "store_id", "left").join(
+        fees, "customer_id", "left")
+    other = F.size(F.filter("_fees", lambda fee: fee != F.col("delivery_fee")))
+    return _counts(rows, {"G4": F.when(F.col("_fees").isNotNull(), other)},
+                   F1=F.col("_store").isNull() & F.col("store_id").isNotNull(),
+                   F2=F.col("_fees").isNull() & F.col("customer_id").isNotNull())
+
+
+def _purchase_line_counts(t) -> DataFrame:
+    """Purchase lines with the number of pending orders of their id attached."""
+    pending = t.purchase_order.groupBy("po_id").agg(F.count_if(F.col("status") == "pending").alias("_pending"))
+    rows = t.purchase_order_item.select("po_id", "quantity_ordered", "quantity_received").join(pending, "po_id", "left")
+    return _counts(rows, {"B4": F.when(F.col("quantity_received") > 0, F.col("_pending"))},
+                   B1=F.col("quantity_received") > F.col("quantity_ordered"))
 
 
 def _history_counts(t) -> DataFrame:
@@ -132,12 +151,11 @@ def audit_summary(t) -> DataFrame:
 
     Checks over the same table or join share one pass; the others are counted on their own.
     """
-    shared = {"A1", "A2", "A3", "A4", "F4", "G1", "B1", "B2", "B3", "C1", "C2", "C3", "C4", "C5", "D1", "D2", "D3",
-              "E1", "E2", "E3", "E4", "E5", "F1", "F2", "F3", "F5", "H1"}
+    shared = {"A1", "A2", "A3", "A4", "F4", "G1", "B1", "B2", "B3", "C1", "C2", "B4", "C3", "C4", "C5", "D1", "D2", "D3",
+              "E1", "E2", "E3", "E4", "E5", "F1", "F2", "F3", "F5", "G4", "H1"}
     return labelled(_union([
         _stock_counts(t), _purchase_counts(t), _order_counts(t), _ledger_counts(t), _history_counts(t),
-        _item_counts(t), _order_parent_counts(t),
-        _counts(t.purchase_order_item, B1=F.col("quantity_received") > F.col("quantity_ordered")),
+        _item_counts(t), _order_parent_counts(t), _purchase_line_counts(t),
         *[_count(k.check_id, k.run(t)) for k in c.CHECKS if k.check_id not in shared],
     ]))
 

@@ -143,3 +143,19 @@ def test_samples_keep_the_first_three(build, rows):
         rows["orders"].append(dict(rows["orders"][2], order_id=100 - i, store_id=50 + i))
     got = [(r.rn, r.key, r.detail) for r in audit_samples(build(rows)).collect() if r.check_id == "F1"]
     assert sorted(got) == [(1, "91", "store_id=59"), (2, "92", "store_id=58"), (3, "93", "store_id=57")]
+
+
+def test_shared_passes_count_like_the_checks_when_keys_repeat(build, rows):
+    """Repeated customers and purchase orders: a row of the shared pass may hold several violations."""
+    rows["customer"].append(dict(rows["customer"][0], zone_id=2))
+    rows["customer"].append(dict(rows["customer"][0], customer_id=None))
+    rows["zone"].append(dict(zone_id=2, name="East", delivery_fee=D("30.00")))
+    rows["purchase_order"].append(dict(rows["purchase_order"][2]))
+    rows["purchase_order_item"][4].update(quantity_received=11)
+    rows["orders"].append(dict(rows["orders"][0], order_id=9, customer_id=77, store_id=None))
+    t = build(rows)
+    report = {r.check_id: r.violations for r in audit_summary(t).collect()}
+    for check in CHECKS:
+        if check.check_id in ("B1", "B4", "F1", "F2", "G4"):
+            assert report[check.check_id] == check.run(t).count(), check.check_id
+    assert report["G4"] == 2 and report["B4"] == 2
