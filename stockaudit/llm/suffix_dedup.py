@@ -294,7 +294,7 @@ def _split(strings: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame | None
     ready, decided = None, None
     while True:
         sizes = now.groupBy("key").agg(F.count("*").alias("n"), F.max("asked").alias("asks")).where("n > 1 and asks").drop("asks")
-        now = stored(now.join(sizes, "key"), "strings")
+        now = stored(now.join(stored(sizes, "sizes"), "key"), "strings")
         fits = now.where(F.col("n") <= s.group)
         ready = fits if ready is None else ready.union(fits)
         large = now.where(F.col("n") > s.group).drop("n")
