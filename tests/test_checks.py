@@ -5,7 +5,7 @@ from __future__ import annotations
 from decimal import Decimal as D
 
 import pytest
-from conftest import at
+from shop import at
 
 from stockaudit.operators.checks import CHECKS
 from stockaudit.plans.audit import audit_samples, audit_summary

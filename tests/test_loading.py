@@ -5,7 +5,7 @@ import json
 from decimal import Decimal as D
 
 import pytest
-from conftest import at
+from shop import at
 from pyspark.sql import functions as F
 
 from stockaudit.functions import columns as c

@@ -5,7 +5,7 @@ from __future__ import annotations
 import random
 
 import pytest
-from conftest import at
+from shop import at
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 

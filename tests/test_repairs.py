@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 
-from conftest import LazyTables, at
+from shop import LazyTables, at
 
 from stockaudit.operators import checks, repairs
 from stockaudit.tables import replace

@@ -6,7 +6,7 @@ import random
 from collections import defaultdict
 
 import pytest
-from conftest import at
+from shop import at
 from pyspark.sql import functions as F
 
 from stockaudit.functions.parameters import PRICE_BANDS

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime
 
 import pytest
-from conftest import at
+from shop import at
 
 from stockaudit.session import new_folder
 from stockaudit.streaming import events as ev
