@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stockaudit.llm import bpe, decontaminate, language, secrets, simhash, sketch, suffix_dedup, token_files, toxicity, url_rules
+from stockaudit.llm import (
+    bpe, decontaminate, importance, language, secrets, simhash, sketch, suffix_dedup, token_files, toxicity, url_rules,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_decontamination": decontaminate.op1_decontamination,
@@ -19,9 +21,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": toxicity.op8_toxicity,
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_sketch": sketch.op10_sketch,
+    "op11_importance_resampling": importance.op11_importance_resampling,
 }
 SQL: dict[str, str] = {
     "op1_decontamination": decontaminate.SQL,
     "op2_suffix_dedup": suffix_dedup.SQL,
     "op9_url_rules": url_rules.SQL,
+    "op11_importance_resampling": importance.SQL,
 }
