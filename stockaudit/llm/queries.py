@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stockaudit.llm import (
-    bpe, decontaminate, importance, language, secrets, simhash, sketch, suffix_dedup, token_files, toxicity, url_rules,
+    bpe, decontaminate, exact_dedup, importance, language, secrets, simhash, sketch, suffix_dedup, token_files, toxicity, url_rules,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,10 +22,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_rules": url_rules.op9_url_rules,
     "op10_sketch": sketch.op10_sketch,
     "op11_importance_resampling": importance.op11_importance_resampling,
+    "op12_exact_dedup": exact_dedup.op12_exact_dedup,
 }
 SQL: dict[str, str] = {
     "op1_decontamination": decontaminate.SQL,
     "op2_suffix_dedup": suffix_dedup.SQL,
     "op9_url_rules": url_rules.SQL,
     "op11_importance_resampling": importance.SQL,
+    "op12_exact_dedup": exact_dedup.SQL,
 }
