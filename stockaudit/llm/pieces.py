@@ -42,16 +42,20 @@ def powers(n: int, base: np.uint64) -> np.ndarray:
 
 
 class PieceEncoder:
-    """Encodes lists of texts; keeps the library's tokenizer and the table of known pieces."""
+    """Encodes lists of texts; keeps the library's tokenizer and the table of known pieces.
 
-    def __init__(self, path: str):
+    A ``plain`` one reads the strings of special tokens as ordinary text.
+    """
+
+    def __init__(self, path: str, plain: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        self.added = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.library.encode_special_tokens = plain
+        self.added = [] if plain else [t.content for t in self.library.get_added_tokens_decoder().values()]
         self.bytes_of = np.array([len(self.library.id_to_token(i) or "") for i in range(self.library.get_vocab_size())], np.int64)
         self.one, self.two = _tables()
         self.up, self.down = powers(1 << 16, _BASE), powers(1 << 16, _INVERSE)

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stockaudit.llm import (
-    bpe, decontaminate, exact_dedup, importance, language, secrets, simhash, sketch, suffix_dedup, token_files, toxicity, url_rules,
+    alignment, bpe, decontaminate, exact_dedup, importance, language, secrets, simhash, sketch, suffix_dedup, token_files, toxicity,
+    url_rules,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -23,6 +24,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_sketch": sketch.op10_sketch,
     "op11_importance_resampling": importance.op11_importance_resampling,
     "op12_exact_dedup": exact_dedup.op12_exact_dedup,
+    "op13_tokenizer_alignment": alignment.op13_tokenizer_alignment,
 }
 SQL: dict[str, str] = {
     "op1_decontamination": decontaminate.SQL,
