@@ -1,32 +1,50 @@
 """Ordered per-group operators that stay parallel when one group holds most of the rows.
 
-A plain window puts a whole group into one task. Here the rows are sorted over the cluster by group and order, and each
-range of that sort is a segment: a group that spans several ranges is cut between them, whatever its size. Windows run
-inside (group, segment). A range borders on two groups at most, so the summaries that carry totals and last
-values over the cuts are a few rows per range. The same plan serves every size, and Spark's own ordering places NULLs.
+A plain window puts a whole group into one task. Here a group with too many rows is cut into segments: fixed, equally wide
+buckets of its ordering column, from its lowest value to its highest. A counted pass finds buckets that still hold too
+many rows; they are cut again, by the next ordering column where they hold a single value. Windows run inside (group,
+segment), so that the data cross one exchange, hashed by these. The segments of a cut group are summarised map-side (sum, lowest,
+last value); what the segments before carry over is one more row, ahead of the segment's own. Spark's own ordering places
+NULLs, in a bucket before all others.
+
+Rows that are equal in all ordering columns stay together, as do rows whose ordering columns are neither integers nor times.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from stockaudit.session import cut_lineage
-
-#: Number of ranges; Spark decides from ``spark.sql.shuffle.partitions`` and the size of the data where it is unset.
+#: How many parts a table is cut into if one group holds all of it; without the setting, ``ROWS`` and ``UNITS`` decide.
 PARTS_SETTING = "spark.stockaudit.parts"
+#: Rows that a task may well sort.
+ROWS = 2_000_000
+#: Bound on the groups and buckets that are cut at once, which are broadcast: each has more than this share of all rows.
+UNITS = 1 << 16
+#: Buckets that a group or bucket is cut into.
+CELLS = 256
 SEGMENT = "_segment"
+_CARRY = "_carry"
 
 
-def in_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int | None = None) -> DataFrame:
-    """``df`` with the number of the range each row lies in; ranges ascend by (keys, order), NULLs first."""
-    parts = parts or int(df.sparkSession.conf.get(PARTS_SETTING, "0"))
-    ranged = df.repartitionByRange(*([parts] if parts else []), *keys, *order)
-    # Stored, since the bounds of the ranges come from a sample and every reader must see the same ones.
-    return cut_lineage(ranged.withColumn(SEGMENT, F.spark_partition_id()))
+def _position(column: str, kind: T.DataType) -> Column | None:
+    """A long that ascends with the column."""
+    c = F.col(column)
+    if isinstance(kind, T.IntegralType):
+        return c.cast("bigint")
+    if isinstance(kind, T.DateType):
+        return F.unix_date(c).cast("bigint")
+    if isinstance(kind, T.TimestampType):
+        return F.unix_micros(c)
+    if isinstance(kind, T.TimestampNTZType):  # without a time zone's jumps
+        seconds = F.unix_date(F.to_date(c)).cast("bigint") * 86_400 + F.hour(c) * 3_600 + F.minute(c) * 60
+        return seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), c) * 1_000_000).cast("bigint")
+    return None
 
 
 def _same(df: DataFrame, side: DataFrame, names: Sequence[str]) -> tuple[DataFrame, Column]:
@@ -35,37 +53,68 @@ def _same(df: DataFrame, side: DataFrame, names: Sequence[str]) -> tuple[DataFra
     return renamed, reduce(lambda a, b: a & b, [df[n].eqNullSafe(renamed[f"_s_{n}"]) for n in names])
 
 
-def _cut_groups(parts: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The rows of groups at the borders of ranges: the first and the last group of each."""
-    group = F.struct(*keys)
-    borders = parts.groupBy(SEGMENT).agg(F.min(group).alias("_lo"), F.max(group).alias("_hi"))
-    borders = borders.select(F.explode(F.array("_lo", "_hi")).alias("_k")).groupBy("_k").agg(F.count(F.lit(1)).alias("_times"))
-    # A group that goes on in another range borders on two of them. Two rows per range at most.
-    side, on = _same(parts, borders.filter("_times > 1").select("_k.*"), keys)
-    return parts.join(F.broadcast(side), on, "left_semi")
+def _segmented(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int | None) -> tuple[DataFrame, bool]:
+    """``df`` with each row's segment, a list of bucket numbers that ascends with the order, and whether any group is cut."""
+    parts = parts or int(df.sparkSession.conf.get(PARTS_SETTING, "0"))
+    rows = df.withColumn(SEGMENT, F.array().cast("array<bigint>"))
+    total, most = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
+    limit = -(-(total or 0) // parts) if parts else max(ROWS, (total or 0) // UNITS)
+    if not total or most <= limit:
+        return rows, False
+    unit = [*keys, SEGMENT]
+    at = [p for p in (_position(c, df.schema[c].dataType) for c in order) if p is not None]
+    measures = [f(p).alias(f"_{name}{i}") for i, p in enumerate(at)
+                for name, f in (("low", F.min), ("high", F.max), ("known", F.count))]
+    level, cut = 0, False
+    while True:
+        large = rows.filter(F.size(SEGMENT) == level).groupBy(*unit).agg(F.count(F.lit(1)).alias("_n"), *measures)
+        units = []  # each has more rows than the limit, so there are fewer than total / limit
+        for r in large.filter(F.col("_n") > limit).collect():
+            for i in range(len(at)):
+                low, high, known = r[f"_low{i}"], r[f"_high{i}"], r[f"_known{i}"]
+                if known and (low != high or known < r["_n"]):
+                    units.append((*(r[c] for c in unit), i, low, (high - low) // CELLS + 1))
+                    break
+        if not units:
+            return rows, cut
+        schema = T.StructType([*(rows.schema[c] for c in unit), *T.StructType.fromDDL(
+            "_by int, _low decimal(20,0), _width decimal(20,0)").fields])
+        units = [(*u[:-2], *map(Decimal, u[-2:])) for u in units]
+        side, on = _same(rows, df.sparkSession.createDataFrame(units, schema), unit)
+        position = reduce(lambda a, i: F.when(F.col("_by") == i, at[i]).otherwise(a), range(len(at)), F.lit(None).cast("bigint"))
+        rows = rows.join(F.broadcast(side), on, "left").withColumn("_position", position.cast("decimal(20,0)"))
+        cell = F.coalesce(F.expr("(_position - _low) div _width"), F.lit(-1))
+        rows = rows.withColumn(SEGMENT, F.when(F.col("_by").isNull(), F.col(SEGMENT)).otherwise(
+            F.concat(SEGMENT, F.array(cell)))).drop("_by", "_low", "_width", "_position", *[f"_s_{c}" for c in unit])
+        level, cut = level + 1, True
+
+
+def in_segments(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int | None = None) -> DataFrame:
+    """``df`` with the segment of each row: empty for groups that one task may hold."""
+    return _segmented(df, keys, order, parts)[0]
 
 
-def _attach(df: DataFrame, small: DataFrame, names: Sequence[str]) -> DataFrame:
-    side, on = _same(df, small, names)
-    return df.join(F.broadcast(side), on, "left").drop(*[f"_s_{n}" for n in names])
+def _with_carries(rows: DataFrame, carries: DataFrame) -> DataFrame:
+    return rows.withColumn(_CARRY, F.lit(0)).unionByName(carries.withColumn(_CARRY, F.lit(1)), allowMissingColumns=True)
 
 
 def with_previous(
     df: DataFrame, keys: Sequence[str], order: Sequence[str], columns: dict[str, str], parts: int | None = None
 ) -> DataFrame:
     """Add the previous row's value per group: ``columns`` maps output name to input column."""
-    rows = in_segments(df, keys, order, parts)
-    group = [*keys, SEGMENT]
-    w = Window.partitionBy(*group).orderBy(*order)
-    last = (
-        _cut_groups(rows, keys).groupBy(*group)
-        .agg(F.max_by(F.struct(*columns.values()), F.struct(*order)).alias("_last"))
-        .withColumn("_last", F.lag("_last").over(Window.partitionBy(*keys).orderBy(SEGMENT)))
-    )
-    out = rows.withColumns({o: F.lag(c).over(w) for o, c in columns.items()} | {"_rn": F.row_number().over(w)})
-    out = _attach(out, last, group).withColumns(
-        {o: F.when(F.col("_rn") == 1, F.col("_last")[c]).otherwise(F.col(o)) for o, c in columns.items()})
-    return out.drop(SEGMENT, "_rn", "_last")
+    rows, cut = _segmented(df, keys, order, parts)
+    group, first = [*keys, SEGMENT], []
+    if cut:
+        read = list(dict.fromkeys(columns.values()))
+        last = rows.filter(F.size(SEGMENT) > 0).groupBy(*group).agg(F.max_by(F.struct(*read), F.struct(*order)).alias("_last"))
+        last = last.withColumn("_last", F.lag("_last").over(Window.partitionBy(*keys).orderBy(SEGMENT)))
+        # A key that is also read has its own value in the rows before, so the read columns win.
+        own = [c for c in group if c not in read]
+        rows = _with_carries(rows, last.filter(F.col("_last").isNotNull()).select(*own, "_last.*"))
+        first = [F.desc(_CARRY)]
+    w = Window.partitionBy(*group).orderBy(*first, *order)
+    out = rows.withColumns({o: F.lag(c).over(w) for o, c in columns.items()})
+    return (out.filter(F.col(_CARRY) == 0).drop(_CARRY) if cut else out).drop(SEGMENT)
 
 
 def with_running_total(
@@ -73,26 +122,29 @@ def with_running_total(
     low: str | None = None, parts: int | None = None,
 ) -> DataFrame:
     """Add the running sum of ``value`` per group; ``low`` names its lowest value before the row."""
-    rows = in_segments(df.withColumn("_seg_value", value.cast("bigint")), keys, order, parts)
-    group = [*keys, SEGMENT]
-    ordered = Window.partitionBy(*group).orderBy(*order)
-    running = F.sum("_seg_value").over(ordered.rowsBetween(Window.unboundedPreceding, 0))
-    cut = _cut_groups(rows, keys)
-    # Both windows share one shuffle and one sort.
-    res = rows.withColumn(out, running)
-    if low:
-        res = res.withColumn(low, F.min(out).over(ordered.rowsBetween(Window.unboundedPreceding, -1)))
-        cut = cut.withColumn("_seg_run", running)
-    sums = cut.groupBy(*group).agg(F.sum("_seg_value").alias("_seg_sum"), *([F.min("_seg_run").alias("_seg_min")] if low else []))
-    before = Window.partitionBy(*keys).orderBy(SEGMENT).rowsBetween(Window.unboundedPreceding, -1)
-    sums = sums.withColumn("_seg_base", F.coalesce(F.sum("_seg_sum").over(before), F.lit(0)))
-    if low:
-        sums = sums.withColumn("_seg_low", F.min(F.col("_seg_base") + F.col("_seg_min")).over(before))
-    res = _attach(res, sums.drop("_seg_sum", "_seg_min"), group)
-    base = F.coalesce(F.col("_seg_base"), F.lit(0))
-    if low:
-        res = res.withColumn(low, F.least(F.col("_seg_low"), F.col(low) + base))
-    return res.withColumn(out, F.col(out) + base).drop(SEGMENT, "_seg_value", "_seg_base", "_seg_low")
+    rows, cut = _segmented(df.withColumn("_seg_value", value.cast("bigint")), keys, order, parts)
+    group, first = [*keys, SEGMENT], []
+    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    lowest = F.col(out)
+    if cut:
+        inside = rows.filter(F.size(SEGMENT) > 0)
+        sums = [F.sum("_seg_value").alias("_seg_sum")]
+        if low:
+            inside = inside.withColumn("_seg_run", F.sum("_seg_value").over(upto(Window.partitionBy(*group).orderBy(*order))))
+            sums.append(F.min("_seg_run").alias("_seg_min"))
+        earlier = before(Window.partitionBy(*keys).orderBy(SEGMENT))
+        carries = inside.groupBy(*group).agg(*sums).withColumn("_seg_value", F.sum("_seg_sum").over(earlier))
+        if low:
+            carries = carries.withColumn("_seg_low", F.min(F.coalesce("_seg_value", F.lit(0)) + F.col("_seg_min")).over(earlier))
+            lowest = F.when(F.col(_CARRY) == 1, F.col("_seg_low")).otherwise(F.col(out))
+        rows = _with_carries(rows, carries.filter(F.col("_seg_value").isNotNull()).drop("_seg_sum", "_seg_min"))
+        first = [F.desc(_CARRY)]
+    w = Window.partitionBy(*group).orderBy(*first, *order)
+    res = rows.withColumn(out, F.sum("_seg_value").over(upto(w)))
+    if low:  # both windows share one exchange and one sort
+        res = res.withColumn(low, F.min(lowest).over(before(w)))
+    return (res.filter(F.col(_CARRY) == 0).drop(_CARRY) if cut else res).drop(SEGMENT, "_seg_value", "_seg_low")
 
 
 def with_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, parts: int | None = None) -> DataFrame:
