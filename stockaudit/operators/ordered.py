@@ -53,10 +53,16 @@ def _same(df: DataFrame, side: DataFrame, names: Sequence[str]) -> tuple[DataFra
     return renamed, reduce(lambda a, b: a & b, [df[n].eqNullSafe(renamed[f"_s_{n}"]) for n in names])
 
 
-def _segmented(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int | None) -> tuple[DataFrame, bool]:
-    """``df`` with each row's segment, a list of bucket numbers that ascends with the order, and whether any group is cut."""
+def _segmented(df: DataFrame, keys: Sequence[str], order: Sequence[str], parts: int | None,
+               largest: int | None = None) -> tuple[DataFrame, bool]:
+    """``df`` with each row's segment, a list of bucket numbers that ascends with the order, and whether any group is cut.
+
+    ``largest`` is a bound on the rows of a group, if the caller knows one.
+    """
     parts = parts or int(df.sparkSession.conf.get(PARTS_SETTING, "0"))
     rows = df.withColumn(SEGMENT, F.array().cast("array<bigint>"))
+    if largest is not None and largest <= ROWS and not parts:
+        return rows, False
     total, most = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).agg(F.sum("n"), F.max("n")).first()
     limit = -(-(total or 0) // parts) if parts else max(ROWS, (total or 0) // UNITS)
     if not total or most <= limit:
@@ -117,34 +123,49 @@ def with_previous(
     return (out.filter(F.col(_CARRY) == 0).drop(_CARRY) if cut else out).drop(SEGMENT)
 
 
-def with_running_total(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str,
-    low: str | None = None, parts: int | None = None,
+def with_running_totals(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], values: dict[str, Column], low: str | None = None,
+    parts: int | None = None, largest: int | None = None,
 ) -> DataFrame:
-    """Add the running sum of ``value`` per group; ``low`` names its lowest value before the row."""
-    rows, cut = _segmented(df.withColumn("_seg_value", value.cast("bigint")), keys, order, parts)
-    group, first = [*keys, SEGMENT], []
+    """Add running sums per group: ``values`` maps output names to what is summed; ``low`` names the lowest value of the first
+    sum before the row."""
+    given = {f"_seg_value{i}": v.cast("bigint") for i, v in enumerate(values.values())}
+    rows, cut = _segmented(df.withColumns(given), keys, order, parts, largest)
+    group, first, main = [*keys, SEGMENT], [], next(iter(values))
     upto = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
     before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    lowest = F.col(out)
+    lowest = F.col(main)
     if cut:
         inside = rows.filter(F.size(SEGMENT) > 0)
-        sums = [F.sum("_seg_value").alias("_seg_sum")]
+        sums = [F.sum(v).alias(v) for v in given]
         if low:
-            inside = inside.withColumn("_seg_run", F.sum("_seg_value").over(upto(Window.partitionBy(*group).orderBy(*order))))
+            inside = inside.withColumn("_seg_run", F.sum("_seg_value0").over(upto(Window.partitionBy(*group).orderBy(*order))))
             sums.append(F.min("_seg_run").alias("_seg_min"))
         earlier = before(Window.partitionBy(*keys).orderBy(SEGMENT))
-        carries = inside.groupBy(*group).agg(*sums).withColumn("_seg_value", F.sum("_seg_sum").over(earlier))
+        carries = inside.groupBy(*group).agg(*sums)
+        if low:
+            total = F.coalesce(F.sum("_seg_value0").over(earlier), F.lit(0))
+            carries = carries.withColumn("_seg_low", total + F.col("_seg_min"))
+        carries = carries.withColumns({v: F.sum(v).over(earlier) for v in given} | (
+            {"_seg_low": F.min("_seg_low").over(earlier)} if low else {})).drop("_seg_min")
         if low:
-            carries = carries.withColumn("_seg_low", F.min(F.coalesce("_seg_value", F.lit(0)) + F.col("_seg_min")).over(earlier))
-            lowest = F.when(F.col(_CARRY) == 1, F.col("_seg_low")).otherwise(F.col(out))
-        rows = _with_carries(rows, carries.filter(F.col("_seg_value").isNotNull()).drop("_seg_sum", "_seg_min"))
+            lowest = F.when(F.col(_CARRY) == 1, F.col("_seg_low")).otherwise(F.col(main))
+        known = reduce(lambda a, b: a | b, (F.col(v).isNotNull() for v in given))
+        rows = _with_carries(rows, carries.filter(known))
         first = [F.desc(_CARRY)]
     w = Window.partitionBy(*group).orderBy(*first, *order)
-    res = rows.withColumn(out, F.sum("_seg_value").over(upto(w)))
-    if low:  # both windows share one exchange and one sort
+    res = rows.withColumns({o: F.sum(v).over(upto(w)) for o, v in zip(values, given)})
+    if low:  # all windows share one exchange and one sort
         res = res.withColumn(low, F.min(lowest).over(before(w)))
-    return (res.filter(F.col(_CARRY) == 0).drop(_CARRY) if cut else res).drop(SEGMENT, "_seg_value", "_seg_low")
+    return (res.filter(F.col(_CARRY) == 0).drop(_CARRY) if cut else res).drop(SEGMENT, "_seg_low", *given)
+
+
+def with_running_total(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str,
+    low: str | None = None, parts: int | None = None,
+) -> DataFrame:
+    """Add the running sum of ``value`` per group; ``low`` names its lowest value before the row."""
+    return with_running_totals(df, keys, order, {out: value}, low, parts)
 
 
 def with_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, parts: int | None = None) -> DataFrame:
