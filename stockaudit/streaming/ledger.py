@@ -2,60 +2,63 @@
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from stockaudit.streaming.lifecycle import bucket_of, default_buckets, in_order
-from stockaudit.streaming.runs import run_each_batch
+from stockaudit.streaming.runs import keyed_state, run_each_batch
 
 PAIR = ["store_id", "product_id"]
 LOW_STOCK = 20
 COMPACT_AFTER = 50
 
 
-def stock_ledger(
-    movements: DataFrame, reorder_points: DataFrame | None = None, low_stock: int = LOW_STOCK, buckets: int | None = None
-) -> DataFrame:
+class PairStock(StatefulProcessor):
+    """The stock of one (store, product): a number in the state store."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.stock = handle.getValueState("stock", "stock BIGINT")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        store, product = key
+        known = self.stock.get()
+        stock = start = known[0] if known else 0
+        # The movements of one pair in one micro-batch; the size of a slice bounds them.
+        for ts, number, kind, delta, point in sorted(
+                ((r.ts, r.id, r.kind, r.delta, r.reorder_point) for r in rows), key=lambda r: (r[0] is not None, *r[:2])):
+            new, result = stock + delta, "ok"
+            if new < 0 and kind == "sale":
+                new, result = stock, "insufficient_stock"
+            elif new < 0 and kind == "adjustment":
+                new, result = 0, "clamped"
+            yield Row(store_id=store, product_id=product, id=number, quantity_after=new, result=result,
+                      low_stock=new < point <= stock)
+            stock = new
+        if not known or stock != start:
+            self.stock.update((stock,))
+
+    def close(self) -> None:
+        pass
+
+
+def stock_ledger(movements: DataFrame, reorder_points: DataFrame | None = None, low_stock: int = LOW_STOCK) -> DataFrame:
     """Running stock per (store, product) over movements (…, id, kind, delta, ts).
 
     A sale that exceeds the stock is rejected, an adjustment stops at 0, anything else applies.
-    ``low_stock`` marks the row on which stock falls below the reorder point.
+    ``low_stock`` marks the row on which stock falls below the reorder point. A micro-batch reads and writes the state of
+    the pairs that it moves, and of no others.
     """
-    buckets = buckets or default_buckets(movements)
     if reorder_points is not None:
         movements = movements.join(reorder_points.select(*PAIR, "reorder_point"), PAIR, "left")
     point = F.col("reorder_point") if reorder_points is not None else F.lit(None)
-    movements = movements.withColumn("reorder_point", F.coalesce(point, F.lit(low_stock)).cast("int"))
-
-    def apply(key, pages, state: GroupState):
-        known = {(s, p): n for s, p, n in zip(*state.get, strict=True)} if state.exists else {}
-        rows = in_order(pages, ["ts", "id"])
-        after, results, low = [], [], []
-        for store, product, kind, delta, point in zip(
-            rows["store_id"].tolist(), rows["product_id"].tolist(), rows["kind"].tolist(), rows["delta"].tolist(),
-            rows["reorder_point"].tolist(), strict=True,
-        ):
-            stock = known.get((store, product), 0)
-            new, result = stock + delta, "ok"
-            if new < 0 and kind == "sale":
-                new, result = stock, "insufficient_stock"
-            elif new < 0 and kind == "adjustment":
-                new, result = 0, "clamped"
-            low.append(new < point <= stock)
-            known[store, product] = new
-            after.append(new)
-            results.append(result)
-        state.update(([s for s, _ in known], [p for _, p in known], list(known.values())))
-        yield pd.DataFrame({"store_id": rows["store_id"].to_numpy(), "product_id": rows["product_id"].to_numpy(),
-                            "id": rows["id"].to_numpy(), "quantity_after": after, "result": results, "low_stock": low})
-
-    rows = movements.select(bucket_of(*PAIR, buckets=buckets), *PAIR, "id", "kind", "delta", "ts", "reorder_point")
-    return rows.groupBy("bucket").applyInPandasWithState(
-        apply, "store_id INT, product_id BIGINT, id BIGINT, quantity_after BIGINT, result STRING, low_stock BOOLEAN",
-        "store ARRAY<INT>, product ARRAY<BIGINT>, stock ARRAY<BIGINT>", "append", GroupStateTimeout.NoTimeout)
+    rows = movements.select(*PAIR, "id", "kind", "delta", "ts", F.coalesce(point, F.lit(low_stock)).cast("int").alias("reorder_point"))
+    keyed_state(rows.sparkSession)
+    return rows.groupBy(*PAIR).transformWithState(
+        PairStock(), "store_id INT, product_id BIGINT, id BIGINT, quantity_after BIGINT, result STRING, low_stock BOOLEAN",
+        "append", "none")
 
 
 def upsert_inventory(movements: DataFrame, folder: str, compact_after: int = COMPACT_AFTER) -> DataFrame:

@@ -1,8 +1,8 @@
 """The order state machine and its deadlines over a stream of status rows.
 
-State is kept per hash bucket of entities, not per entity: one Python call then serves the thousands of
-entities of a bucket, which is far cheaper than one call each. Entities leave the state when they can
-no longer matter, so a bucket holds the open part of the stream only.
+The state machine keeps state per hash bucket of entities: one Python call then serves the thousands of entities of a
+bucket. Deadlines have a state and a timer per entity, so that a micro-batch touches the entities that it brings and those
+whose time has come. Entities leave the state when they can no longer matter.
 """
 
 from __future__ import annotations
@@ -10,13 +10,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from stockaudit.functions.parameters import CONFIRM_LIMIT_MINUTES, DELIVER_LIMIT_MINUTES, STALE_HOURS
 from stockaudit.schemas import ALLOWED_TRANSITIONS
-from stockaudit.streaming.runs import WATERMARK, zoned
+from stockaudit.streaming.runs import WATERMARK, keyed_state, zoned
 
 BUCKETS_PER_PARTITION = 16
 
@@ -73,58 +74,81 @@ def order_lifecycle(
         "entity ARRAY<BIGINT>, status ARRAY<STRING>, seen ARRAY<BIGINT>", "append", GroupStateTimeout.NoTimeout)
 
 
+class Deadlines(StatefulProcessor):
+    """The status of one entity and a timer for its next deadline."""
+
+    def __init__(self, phases: tuple[tuple[str, int], ...]):
+        self.phases = phases  # (status, milliseconds after creation), in the order of the deadlines
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.watched = handle.getValueState("watched", "status STRING, created BIGINT, judged INT")
+
+    def _judge(self, entity: int, status: str, created: int, judged: int, now_ms: int) -> tuple[list[Row], int]:
+        """Alerts for the deadlines that passed before ``now_ms``, and the number of deadlines judged."""
+        alerts = []
+        while judged < len(self.phases) and created + self.phases[judged][1] < now_ms:
+            if status == self.phases[judged][0]:
+                alerts.append(Row(entity_id=entity, phase=status, alert_ms=created + self.phases[judged][1]))
+            judged += 1
+        return alerts, judged
+
+    def _keep(self, status: str, created: int, judged: int, held: bool = True, timed: bool = False) -> None:
+        """Holds the entity until its next deadline, or lets it go after the last; each call is a message to the JVM."""
+        if judged < len(self.phases):
+            self.watched.update((status, created, judged))
+            if not timed:
+                self.handle.registerTimer(created + self.phases[judged][1] + 1)
+        elif held:
+            self.watched.clear()
+
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        entity = key[0]
+        start = known = self.watched.get()
+        for ms, _, status in sorted((r.ms, r.event_id, r.status) for r in rows):
+            if known is not None:
+                alerts, judged = self._judge(entity, *known, ms)
+                yield from alerts
+                known = (status, known[1], judged)
+            elif status == "pending":
+                known = (status, ms, 0)
+        if known is None:
+            return
+        alerts, judged = self._judge(entity, *known, timerValues.getCurrentWatermarkInMs())
+        yield from alerts
+        new = (known[0], known[1], judged)
+        if start is not None and start[2] != judged:
+            self.handle.deleteTimer(start[1] + self.phases[start[2]][1] + 1)
+        if start is None or tuple(start) != new:
+            self._keep(*new, held=start is not None, timed=start is not None and start[2] == judged)
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        known = self.watched.get()
+        if known is None:
+            return
+        status, created, judged = known
+        alerts, judged = self._judge(key[0], status, created, judged, timerValues.getCurrentWatermarkInMs())
+        yield from alerts
+        self._keep(status, created, judged)
+
+    def close(self) -> None:
+        pass
+
+
 def sla_timeouts(
     statuses: DataFrame, confirm_minutes: int = CONFIRM_LIMIT_MINUTES, deliver_minutes: int = DELIVER_LIMIT_MINUTES,
-    buckets: int | None = None, watermark: str = WATERMARK,
+    watermark: str = WATERMARK,
 ) -> DataFrame:
     """Alerts for entities still pending, or still confirmed, at their deadline after creation.
 
-    A deadline is judged by the status at that moment, as soon as a later row or the watermark shows
-    that the moment has passed. After its last deadline an entity leaves the state.
+    A deadline is judged by the status at that moment, as soon as a later row or the watermark shows that the moment
+    has passed: each entity has a timer of its own in the state store. After its last deadline it leaves the state.
     """
     minute = 60_000
-    buckets = buckets or default_buckets(statuses)
-    # The phases in the order of their deadlines.
-    phases = (("pending", confirm_minutes * minute), ("confirmed", deliver_minutes * minute))
-
-    def watch(key, pages, state: GroupState):
-        # Per entity: current status, creation time in ms, number of deadlines already judged.
-        known = {e: [s, c, j] for e, s, c, j in zip(*state.get, strict=True)} if state.exists else {}
-        alerts = []
-
-        def judge_until(entity: int, now_ms: int) -> None:
-            watched = known[entity]
-            status, created, judged = watched
-            while judged < len(phases) and created + phases[judged][1] < now_ms:
-                if status == phases[judged][0]:
-                    alerts.append((entity, status, created + phases[judged][1]))
-                judged += 1
-            watched[2] = judged
-
-        if not state.hasTimedOut:
-            rows = in_order(pages, ["ms", "event_id"])
-            for entity, ms, status in zip(rows["entity_id"].tolist(), rows["ms"].tolist(), rows["status"].tolist(),
-                                          strict=True):
-                if entity in known:
-                    judge_until(entity, ms)
-                    known[entity][0] = status
-                elif status == "pending":
-                    known[entity] = [status, ms, 0]
-        for entity in known:
-            judge_until(entity, state.getCurrentWatermarkMs())
-        kept = [(e, s, c, j) for e, (s, c, j) in known.items() if j < len(phases)]
-        if kept:
-            state.update(tuple(list(column) for column in zip(*kept, strict=True)))
-            state.setTimeoutTimestamp(min(c + phases[j][1] for _, _, c, j in kept) + 1)
-        elif state.exists:
-            state.remove()
-        yield pd.DataFrame(alerts, columns=["entity_id", "phase", "alert_ms"])
-
     rows = zoned(statuses, "ts").withWatermark("ts", watermark).select(
-        bucket_of("entity_id", buckets=buckets), "entity_id", "event_id", "status", "ts",
-        F.unix_millis("ts").alias("ms"))
-    alerts = rows.groupBy("bucket").applyInPandasWithState(
-        watch, "entity_id BIGINT, phase STRING, alert_ms BIGINT",
-        "entity ARRAY<BIGINT>, status ARRAY<STRING>, created ARRAY<BIGINT>, judged ARRAY<INT>",
-        "append", GroupStateTimeout.EventTimeTimeout)
+        "entity_id", "event_id", "status", "ts", F.unix_millis("ts").alias("ms"))
+    keyed_state(rows.sparkSession)
+    alerts = rows.groupBy("entity_id").transformWithState(
+        Deadlines((("pending", confirm_minutes * minute), ("confirmed", deliver_minutes * minute))),
+        "entity_id BIGINT, phase STRING, alert_ms BIGINT", "append", "eventTime")
     return alerts.select("entity_id", "phase", F.timestamp_millis("alert_ms").alias("alert_ts"))

@@ -26,6 +26,13 @@ def read_stream(spark: SparkSession, path: str, schema: T.StructType | str, **op
     return spark.readStream.schema(schema).options(**options).parquet(path)
 
 
+def keyed_state(spark: SparkSession) -> None:
+    """State per key in RocksDB, of which a micro-batch's checkpoint holds the changes only; for queries started from here on."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass",
+                   "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
 def zoned(df: DataFrame, ts: str) -> DataFrame:
     """Event time for watermarks, which need a zoned timestamp."""
     return df.withColumn(ts, F.col(ts).cast("timestamp"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime
+import random
+from pathlib import Path
 
 import pytest
 from shop import at
@@ -101,7 +103,7 @@ def test_deadlines(arrive):
     expected = [(1, "pending", at(19)), (2, "confirmed", at(58)), (3, "pending", at(19))]
     for split in (batches, [sum(batches, [])]):
         _, stream = arrive(STATUS, *split)
-        got = run_to_table(lc.sla_timeouts(stream, buckets=2)).collect()
+        got = run_to_table(lc.sla_timeouts(stream)).collect()
         assert sorted((r.entity_id, r.phase, r.alert_ts) for r in got) == expected
 
 
@@ -113,7 +115,7 @@ def test_guarded_ledger(arrive):
                 (5, 0, "clamped", False), (6, 2, "ok", False), (7, 0, "insufficient_stock", False)]
     for batches in ([rows[::-1]], [rows[:3], rows[3:4], rows[4:]]):
         _, stream = arrive(MOVE, *batches)
-        got = run_to_table(lg.stock_ledger(stream, buckets=2)).collect()
+        got = run_to_table(lg.stock_ledger(stream)).collect()
         assert sorted((r.id, r.quantity_after, r.result, r.low_stock) for r in got) == expected
 
 
@@ -191,3 +193,65 @@ def test_stock_versions(arrive, spark):
     assert lg.stock_table(spark, run, 2).first().stock == 6
     lg.stock_table(spark, run, 3).write.mode("overwrite").parquet(f"{run}/version/upto=3")
     assert lg.stock_table(spark, run).first().stock == 15
+
+
+def state_bytes(folder):
+    """Bytes of the changes that each micro-batch left in the state store's checkpoint."""
+    out: dict = {}
+    for f in Path(folder.removeprefix("file://")).glob("checkpoint/state/*/*/**/*.changelog"):
+        version = int(f.name.split(".")[0].split("_")[0])
+        out[version] = out.get(version, 0) + f.stat().st_size
+    return [out[v] for v in sorted(out)]
+
+
+def test_a_batch_writes_the_pairs_it_moves(arrive, spark):
+    """However many pairs there are."""
+    written = {}
+    for pairs in (50, 2000):
+        _, stream = arrive(MOVE, [(1, p, p, "restock", 9, at(0)) for p in range(pairs)], [(1, 7, 9999, "sale", -2, at(1))])
+        run = new_folder(spark, "run")
+        got = {r.id: r.quantity_after for r in run_to_table(lg.stock_ledger(stream), run).collect()}
+        assert got[9999] == 7 and len(got) == pairs + 1
+        written[pairs] = state_bytes(run)
+    assert written[2000][0] > 5 * written[50][0] and written[2000][1] < 1.5 * written[50][1]
+
+
+def plain_alerts(rows, end):
+    out, known = [], {}
+    phases = (("pending", 19), ("confirmed", 58))
+
+    def judge(e, now):
+        status, created, n = known[e]
+        while n < 2 and created + datetime.timedelta(minutes=phases[n][1]) < now:
+            if status == phases[n][0]:
+                out.append((e, status, created + datetime.timedelta(minutes=phases[n][1])))
+            n += 1
+        known[e][2] = n
+
+    for e, _, status, ts in sorted(rows, key=lambda r: (r[3], r[1])):
+        if e in known:
+            judge(e, ts)
+            known[e][0] = status
+        elif status == "pending":
+            known[e] = [status, ts, 0]
+    for e in known:
+        judge(e, end)
+    return sorted(out)
+
+
+def test_deadlines_equal_a_fold_over_restarts(arrive, spark):
+    """Each file is a run of its own: timers live on in the checkpoint, also between two deadlines of an entity."""
+    rng = random.Random(3)
+    rows = []
+    for e in range(60):
+        t = e * 4
+        for k, status in enumerate(("pending", "confirmed", "delivered")[:rng.randint(1, 3)]):
+            rows.append((e, e * 10 + k, status, at(t)))
+            t += rng.choice([3, 18, 19, 20, 45, 70])
+    rows.sort(key=lambda r: (r[3], r[1]))
+    rows.append((999, 9999, "delivered", at(1000)))  # moves the clock only
+    run, folder = new_folder(spark, "run"), None
+    for i in range(0, len(rows), 40):
+        folder, stream = arrive(STATUS, rows[i:i + 40], folder=folder)
+        got = run_to_table(lc.sla_timeouts(stream), run)
+    assert sorted((r.entity_id, r.phase, r.alert_ts) for r in got.collect()) == plain_alerts(rows, at(990))
