@@ -47,17 +47,32 @@ def not_null_violations(t, required: dict[str, Sequence[str]] = NOT_NULL) -> Dat
 
 
 def foreign_key_violations(t, keys=FOREIGN_KEYS) -> DataFrame:
-    """Unknown references with the number of rows that hold them, counted before the join."""
-    found = []
-    for child, column, parent in keys:
-        used = (
-            getattr(t, child).filter(F.col(column).isNotNull())
-            .groupBy(F.col(column).cast("bigint").alias("value")).agg(F.count(F.lit(1)).alias("n"))
-        )
-        known = getattr(t, parent).select(F.col(PRIMARY_KEYS[parent]).cast("bigint").alias("value"))
-        found.append(used.join(known, "value", "left_anti").select(
-            F.lit(child).alias("child"), F.lit(column).alias("column_name"), "value", "n"))
-    return _union(found)
+    """Unknown references with the number of rows that hold them.
+
+    Every table is read once and gives rows of one shape: its own keys, marked as known, and each of its references.
+    One grouping by (parent, value), combined map-side, settles all references in one exchange; a value that very many rows
+    hold is one row per task by then.
+    """
+    parents = sorted({parent for *_, parent in keys})
+    referring = {p: [(child, column) for child, column, parent in keys if parent == p] for p in parents}
+    slots = max(map(len, referring.values()))
+
+    def entry(parent: str, column: str, slot: int):
+        return F.struct(F.lit(parents.index(parent)).alias("parent"), F.col(column).cast("bigint").alias("value"), F.lit(slot).alias("slot"))
+
+    marked = []
+    for table in sorted({child for child, *_ in keys} | set(parents)):
+        own = [entry(table, PRIMARY_KEYS[table], -1)] if table in parents else []
+        refs = [entry(parent, column, referring[parent].index((child, column))) for child, column, parent in keys if child == table]
+        marked.append(getattr(t, table).select(F.inline(F.array(*own, *refs))).filter(F.col("value").isNotNull()))
+    settled = _union(marked).groupBy("parent", "value").agg(
+        F.max(F.col("slot") == -1).alias("known"), *[F.count_if(F.col("slot") == i).alias(f"n{i}") for i in range(slots)])
+    names = [(referring[p] + [("", "")] * slots)[i] for p in parents for i in range(slots)]
+    place = (F.col("parent") * slots + F.col("slot")).cast("int")
+    return settled.filter(~F.col("known")).select(
+        "parent", "value", F.posexplode(F.array(*[f"n{i}" for i in range(slots)])).alias("slot", "n")).filter("n > 0").select(
+        F.array(*[F.lit(child) for child, _ in names])[place].alias("child"),
+        F.array(*[F.lit(column) for _, column in names])[place].alias("column_name"), "value", "n")
 
 
 def domain_violations(t, domains=DOMAINS) -> DataFrame:

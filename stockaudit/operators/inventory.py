@@ -195,10 +195,10 @@ def cold_chain_companions(t, parts: int | None = None) -> DataFrame:
 
     basket = with_match(t.order_item.select("order_id", "product_id"), cold, ["product_id"]).distinct()
     basket = cut_lineage(basket.join(t.orders.select("order_id", "store_id"), "order_id"))
-    taken = basket.join(numbered, PAIR).select("order_id", "number")
-    ranked = with_row_number(taken, ["order_id"], ["number"], "place", parts=parts)
-    used = ranked.groupBy("order_id").agg(
-        F.count(F.lit(1)).alias("n_taken"), F.count_if(F.col("number") == F.col("place")).alias("run"))
+    # The numbers that a basket takes, as many as it has products: its k-th one is k as long as the run lasts.
+    taken = basket.join(numbered, PAIR).groupBy("order_id").agg(F.array_sort(F.collect_set("number")).alias("numbers"))
+    used = taken.select("order_id", F.size("numbers").cast("bigint").alias("n_taken"), F.size(
+        F.filter("numbers", lambda number, place: number == place + 1)).cast("bigint").alias("run"))
     orders = basket.select("order_id", "store_id").distinct().join(used, "order_id", "left").join(
         per_store, "store_id", "left")
     free = orders.select(

@@ -66,3 +66,13 @@ def test_shared_passes(t):
     text = plan(_stock_counts(t))
     assert text.count("/inventory_transaction]") == 1
     assert plan(audit_summary(t)).count("BroadcastNestedLoopJoin") == 0
+
+
+def test_references_are_settled_in_one_exchange(t):
+    """Each table is scanned once, however many references it has."""
+    from stockaudit.operators.constraints import foreign_key_violations
+    from stockaudit.schemas import FOREIGN_KEYS
+
+    text = plan(foreign_key_violations(t))
+    tables = {child for child, *_ in FOREIGN_KEYS} | {parent for *_, parent in FOREIGN_KEYS}
+    assert text.count("FileScan") == len(tables) and text.count("Exchange") == 1 and "Join" not in text
