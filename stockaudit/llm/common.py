@@ -25,6 +25,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def numbered(df: DataFrame, column: str) -> DataFrame:
+    """``df`` with a number for each row, written once: the number of a row that is read again depends on the cores at that time."""
+    return stored(df.withColumn(column, F.monotonically_increasing_id()), "numbered")
+
+
+def file_place() -> Column:
+    """The file and the place in it that a row of a stored table comes from: the same for every reader, without a copy.
+
+    For rows straight from the scan of a table; a row that an operator has made or repeated has no place of its own.
+    """
+    return F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+
+
 def free_name(df: DataFrame, wanted: str) -> str:
     """``wanted``, lengthened until no column of ``df`` has that name in any case."""
     taken = {c.lower() for c in df.columns}

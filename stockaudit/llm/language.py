@@ -15,8 +15,6 @@ stay as they are.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,7 +28,6 @@ SAMPLE = 8_000
 UNKNOWN = "und"
 MIN_SCORE = 0.3
 
-_LETTER = re.compile(r"[^\W\d_]")
 _CHUNK = 1 << 20
 
 
@@ -89,7 +86,7 @@ class Model:
         return self.weights[g].sum(axis=0) / max(1, len(g)) * SCALE + self.bias
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not self.languages or not text or not _LETTER.search(text):
+        if not self.languages or not text or not any(map(str.isalpha, text)):
             return UNKNOWN, 0.0
         z = self.logits(text) / self.temperature
         p = np.exp(z - z.max())
@@ -185,7 +182,7 @@ def train(docs: DataFrame, sample: int = SAMPLE, text: str = "text", language: s
             pa.array([m.languages], pa.list_(pa.string())), pa.array([m.weights.tobytes()], pa.binary()),
             pa.array([m.bias.tobytes()], pa.binary()), pa.array([m.temperature])], names=["languages", "w", "b", "t"])
 
-    r = (chosen.select("text", "lang", "doc_id").coalesce(1).sortWithinPartitions("doc_id", "text").select("text", "lang")
+    r = (chosen.select("text", "lang", "doc_id").repartition(1).sortWithinPartitions("doc_id", "text").select("text", "lang")
          .mapInArrow(learn, "languages array<string>, w binary, b binary, t double").first())
     languages = list(r["languages"])
     return Model(languages, np.frombuffer(r["w"], np.float32).reshape(-1, len(languages)), np.frombuffer(r["b"], np.float32), r["t"])

@@ -25,8 +25,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockaudit.llm.common import free_name, stored, table, texts_of
-from stockaudit.operators.components import components
+from stockaudit.llm.common import free_name, numbered, stored, table, texts_of
+from stockaudit.llm.components import components
 
 SHINGLE = 3
 DISTANCE = 2
@@ -233,13 +233,13 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, distance: int = DIS
 def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
     """Pipeline stage: of each component the row of the least id (the first read of equal ones), with its own columns."""
     row = free_name(docs, "row")
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
-    prints = stored(fingerprints(numbered.select(F.col(row).alias("row"), "doc_id", "text"), shingle), "fingerprints")
+    rows = numbered(docs, row)
+    prints = stored(fingerprints(rows.select(F.col(row).alias("row"), "doc_id", "text"), shingle), "fingerprints")
     first = F.min(F.struct("doc_id", "row"))
     firsts = stored(prints.groupBy("fp").agg(first.alias("first")), "distinct")
     named = firsts.join(classes(firsts, distance), "fp", "left").select("first", F.coalesce("component", "fp").alias("component"))
     kept = named.groupBy("component").agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
-    return numbered.join(kept, row, "left_semi").select(*docs.columns)
+    return rows.join(kept, row, "left_semi").select(*docs.columns)
 
 
 def op4_simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,9 +7,8 @@ hash, so that short texts aren't all alike.
 
 Defined results: null and empty texts and texts without words have an empty fingerprint; two empty ones are alike (1.0), an
 empty and another one aren't (0.0). Fewer than five words are one shingle. In the edited texts' order null ids come last and equal
-ids are ordered by the hash of their text, then as read; a repeated row is a document of its own. A single document is
-its own neighbour. Extra columns are not returned. The documents should be a stored table: they are read twice and have
-to come in the same order.
+ids are ordered by the hash of their text, then by the place where they lie; a repeated row is a document of its own. A single
+document is its own neighbour. Extra columns are not returned.
 """
 
 from __future__ import annotations
@@ -17,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stockaudit.llm.common import lower_ascii, stored, table
+from stockaudit.llm.common import file_place, lower_ascii, numbered, stored, table
 
 SHINGLE = 5
 FRACTION = 1 / 16
@@ -77,9 +76,13 @@ def neighbours(docs: DataFrame) -> DataFrame:
     return rows.join(following, "part").select("uid", F.coalesce("after", "following").alias("next_uid"), "doc_id", "n_chars")
 
 
-def edited_likeness(docs: DataFrame) -> DataFrame:
-    """Fingerprints of every text and of its edited text, and their likeness to each other and to the next document's."""
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", F.coalesce("text", F.lit("")).alias("text"))
+def edited_likeness(docs: DataFrame, place: Column | None = None) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and their likeness to each other and to the next document's.
+
+    ``place`` tells each row from all others whenever it is read; without it a numbered copy of the documents is stored.
+    """
+    texts = ["doc_id", F.coalesce("text", F.lit("")).alias("text")]
+    rows = numbered(docs.select(*texts), "uid") if place is None else docs.select(place.alias("uid"), *texts)
     to = neighbours(rows)
     half = F.floor(F.col("n_chars") / 2).cast("int")
     texts = rows.select("uid", "text")
@@ -97,4 +100,4 @@ def edited_likeness(docs: DataFrame) -> DataFrame:
 
 
 def op10_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edited_likeness(table(spark, sf_dir, "documents"))
+    return edited_likeness(table(spark, sf_dir, "documents"), file_place())

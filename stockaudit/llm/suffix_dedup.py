@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stockaudit.llm.common import small, stored, table, texts_of
+from stockaudit.llm.common import numbered, small, stored, table, texts_of
 from stockaudit.llm.pieces import powers
 from stockaudit.llm.rlbwt import RunLengthIndex
 
@@ -382,7 +382,7 @@ def _finish(s: Settings):
 def remove_repeats(docs: DataFrame, length: int = LENGTH, sample: int = SAMPLE, group: int = GROUP) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
     s = Settings(length, sample, group)
-    rows = docs.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text")
+    rows = numbered(docs.select("doc_id", "text"), "uid")
     marks = _marked(rows.select("uid", "text"), s).groupBy("uid").agg(F.collect_list(F.struct("place", "state")).alias("marks"))
     pieces = stored(rows.join(marks, "uid", "left").mapInArrow(_pieces(s), _PIECES), "pieces")
     strings = pieces.where(F.col("kind") == STRING).select("key", "uid", "place", "left", "right", "low", "high", "asked")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 
 import numpy as np
@@ -76,3 +77,39 @@ def test_held_out_accuracy(spark):
     rows = language.op5_language_id(spark, sf).join(spark.read.parquet(sf + "/documents.parquet").select("doc_id", "lang"),
                                                     "doc_id").where("held_out").collect()
     assert len(rows) > 100 and np.mean([r["lang"] == r["lang_pred"] for r in rows]) > 0.97
+
+
+def test_signs_are_no_letters(spark):
+    model = language.fit([("the cat", "en"), ("der Hund", "de")] * 10, np.ones(1 << language.BITS))
+    assert [model.predict(x)[0] for x in ("½ ² ① Ⅷ 3_4", "", None, "١٢")] == ["und"] * 4
+    assert model.predict("½ a")[0] in ("en", "de") and model.predict("日")[0] in ("en", "de")
+
+
+def test_ftrl_equals_a_plain_loop():
+    """The same updates, coordinate by coordinate, over dictionaries."""
+    rng = np.random.Generator(np.random.PCG64(1))
+    examples = [(np.sort(rng.choice(50, 6, replace=False)), rng.random(6), int(rng.integers(3))) for _ in range(40)]
+    alpha, beta, l1, l2 = 0.3, 1.0, 0.02, 0.02
+    z, n = {}, {}
+
+    def weight(k):
+        if abs(z.get(k, 0.0)) <= l1:
+            return 0.0
+        return -(z[k] - math.copysign(l1, z[k])) / ((beta + math.sqrt(n[k])) / alpha + l2)
+
+    order = np.random.Generator(np.random.PCG64(5))
+    for _ in range(3):
+        for i in order.permutation(len(examples)):
+            at, value, label = examples[i]
+            w = {(f, c): weight((f, c)) for f in at.tolist() for c in range(3)}
+            score = [sum(v * w[f, c] for f, v in zip(at.tolist(), value)) for c in range(3)]
+            total = sum(math.exp(s) for s in score)
+            for f, v in zip(at.tolist(), value):
+                for c in range(3):
+                    g = v * (math.exp(score[c]) / total - (c == label))
+                    old = n.get((f, c), 0.0)
+                    z[f, c] = z.get((f, c), 0.0) + g - (math.sqrt(old + g * g) - math.sqrt(old)) / alpha * w[f, c]
+                    n[f, c] = old + g * g
+    got = language.ftrl(examples, 3)
+    assert np.allclose(got[:50], [[weight((f, c)) for c in range(3)] for f in range(50)])
+    assert (got == 0).any() and not got[50:].any()
