@@ -2,8 +2,8 @@
 
 Ordinary texts are encoded where they lie (see ``pieces``). A text that holds an unsplit run of ``LONG`` characters or
 more (letters without a space, a line of dashes, a run of spaces) is cut into segments that other tasks encode in
-parallel: the vocabulary's pre-tokenizer gives the units that merges never cross, and a unit longer than
-``LEAF`` is halved until its parts fit. Neighbouring parts are then joined pairwise, level by level. At each join a
+parallel: added tokens (``<s>`` and the like) are cut out first, the vocabulary's pre-tokenizer gives the units that merges
+never cross, and a unit longer than ``LEAF`` is halved until its parts fit. Neighbouring parts are then joined pairwise, level by level. At each join a
 window of tokens around the cut is encoded again; it grows until its first and last token equal those of the parts.
 Then every pair of neighbouring tokens is one that the merges leave alone, so that the whole is what the library
 gives for the unit as one string.
@@ -14,6 +14,7 @@ rows and ties change nothing; other columns stay as they are.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,8 @@ from stockaudit.llm.pieces import PieceEncoder
 
 LONG = 8192
 LEAF = 4096
+#: Only a run this long can hold a unit of more than LEAF bytes.
+RUN = re.compile(rf"\S{{{LEAF // 4}}}|\s{{{LEAF // 4}}}")
 VOCABULARY = "byte_bpe_50k.json"
 
 
@@ -76,30 +79,62 @@ def concatenate(parts: list[np.ndarray], spell, encode) -> np.ndarray:
     return parts[0]
 
 
-def _segments(text: str, library) -> Iterator[tuple[bool, int, str]]:
-    """(whether it is part of a long unit, number of the unit, its characters in the vocabulary's alphabet or as they are)."""
-    added = {t.content for t in library.get_added_tokens_decoder().values()}
-    if any(t in text for t in added):  # the library itself finds these in a text
-        yield False, 0, text
+AS_IT_IS, UNITS, LEAVES = range(3)
+
+
+def _between_added(text: str, library) -> Iterator[tuple[bool, str]]:
+    """The text cut at its added tokens where a long run lies between them: (whether the library takes it as it is, part).
+
+    The library cuts there too, before anything else. Stretches of added tokens and ordinary text stay together.
+    """
+    added = library.get_added_tokens_decoder().values()
+    held = sorted((t.content for t in added if t.content in text), key=len, reverse=True)
+    if not held:
+        yield False, text
+        return
+    if library.normalizer is not None or any(t.lstrip or t.rstrip or t.single_word for t in added):
+        yield True, text  # tokens that are matched, or take in their surroundings, by rules of their own
         return
-    plain, size, unit = [], 0, 0
-    for piece, (start, end) in library.pre_tokenizer.pre_tokenize_str(text):
-        if len(piece) <= LEAF and size < (1 << 20):
-            plain.append(piece)
-            size += len(piece)
+    whole, size = [], 0
+    for part in re.split(f"({'|'.join(map(re.escape, held))})", text):
+        run = RUN.search(part)
+        if whole and (run or size > 1 << 20):
+            yield True, "".join(whole)
+            whole, size = [], 0
+        if run:
+            yield False, part
+        elif part:
+            whole.append(part)
+            size += len(part)
+    if whole:
+        yield True, "".join(whole)
+
+
+def _segments(text: str, library) -> Iterator[tuple[int, int, str]]:
+    """(kind, number of the unit, text as it is or characters in the vocabulary's alphabet)."""
+    unit = 0
+    for whole, part in _between_added(text, library):
+        if whole:
+            yield AS_IT_IS, unit, part
+            unit += 1
             continue
+        plain, size = [], 0
+        for piece, _ in library.pre_tokenizer.pre_tokenize_str(part):
+            long = len(piece) > LEAF
+            if plain and (long or size >= 1 << 20):
+                yield UNITS, unit, "\n".join(plain)
+                unit += 1
+                plain, size = [], 0
+            if long:
+                for leaf in halves(piece):
+                    yield LEAVES, unit, leaf
+                unit += 1
+            else:
+                plain.append(piece)
+                size += len(piece)
         if plain:
-            yield False, unit, "\n".join(plain)
+            yield UNITS, unit, "\n".join(plain)
             unit += 1
-        plain, size = [], 0
-        if len(piece) <= LEAF:
-            plain, size = [piece], len(piece)
-            continue
-        for leaf in halves(piece):
-            yield True, unit, leaf
-        unit += 1
-    if plain:
-        yield False, unit, "\n".join(plain)
 
 
 def _split_long(path: str, keep: str, text: str):
@@ -108,9 +143,7 @@ def _split_long(path: str, keep: str, text: str):
         for batch in small(batches):
             rows = batch.column(batch.schema.names.index(keep)).to_pylist()
             for row, x in zip(rows, texts_of(batch, text)):
-                whole = any(t.content in x for t in library.get_added_tokens_decoder().values())
-                for n, (is_leaf, unit, part) in enumerate(_segments(x, library)):
-                    kind = 2 if is_leaf else 0 if whole else 1
+                for n, (kind, unit, part) in enumerate(_segments(x, library)):
                     yield pa.RecordBatch.from_pylist(
                         [dict(row=row, place=n, unit=unit, kind=kind, part=part)], schema=pa.schema(
                             [("row", pa.int64()), ("place", pa.int32()), ("unit", pa.int32()), ("kind", pa.int32()),
@@ -125,7 +158,7 @@ def _encode_parts(path: str):
         for batch in small(batches):
             kinds, made = batch.column(3).to_pylist(), []
             for kind, part in zip(kinds, texts_of(batch, "part")):
-                if kind == 0:
+                if kind == AS_IT_IS:
                     ids = library.encode(part, add_special_tokens=False).ids
                 else:  # units in the vocabulary's alphabet, which has no line feed
                     ids = [t.id for unit in part.split("\n") for t in tokens(unit)]
@@ -142,7 +175,7 @@ def _join_parts(path: str):
         out = []
         for _, same in parts.groupby("unit", sort=True):
             ids = [np.asarray(x, np.int32) for x in same["ids"]]
-            out.append(concatenate(ids, library.id_to_token, encode) if same["kind"].iloc[0] == 2 else ids[0])
+            out.append(concatenate(ids, library.id_to_token, encode) if same["kind"].iloc[0] == LEAVES else ids[0])
         return pd.DataFrame({"row": [key[0]], "ids": [np.concatenate(out)]})
     return joined
 

@@ -69,6 +69,27 @@ def test_operator(spark):
         for i, t in enumerate(texts))
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "x" * 1500, "-" * 5000, "é" * 1100, " " * 1300, "a b", "<|endoftext", " the", "\n"]),
+                max_size=12).map("".join))
+def test_runs_between_added_tokens(text):
+    """The segments' ids, joined, are the library's, and no long run reaches the library in one piece."""
+    out, units = [], {}
+    for kind, unit, part in bpe._segments(text, LIBRARY):
+        assert kind != bpe.AS_IT_IS or not bpe.RUN.search(part)
+        units.setdefault(unit, []).append((kind, part))
+    encode = lambda s: [t.id for t in LIBRARY.model.tokenize(s)]
+    for _, parts in sorted(units.items()):
+        kind = parts[0][0]
+        if kind == bpe.AS_IT_IS:
+            out += want(parts[0][1])
+        elif kind == bpe.UNITS:
+            out += [i for u in parts[0][1].split("\n") for i in encode(u)]
+        else:
+            out += bpe.concatenate([np.array(encode(p), np.int32) for _, p in parts], LIBRARY.id_to_token, encode).tolist()
+    assert out == want(text)
+
+
 def test_empty_table(spark):
     assert bpe.round_trip(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
