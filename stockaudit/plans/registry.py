@@ -18,6 +18,7 @@ from stockaudit.session import new_folder
 from stockaudit.sources import loading, sinks
 from stockaudit.sources.retail_layer import retail_tables, with_clause
 from stockaudit.streaming import events as event_streams
+from stockaudit.streaming import intake
 from stockaudit.streaming import ledger as ledger_streams
 from stockaudit.streaming import lifecycle
 from stockaudit.streaming.runs import replay, replay_to_table
@@ -139,10 +140,12 @@ def _movements(t) -> DataFrame:
 
 
 def _stream_dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Every odd event arrives twice.
+    """Every odd event arrives twice, and every third one again after 30 days."""
+    events = _events(spark, sf_dir)
     twice = F.explode(F.sequence(F.lit(0), F.col("event_id") % 2)).alias("_copy")
-    arrived = _events(spark, sf_dir).select("*", twice).drop("_copy")
-    return replay_to_table(arrived, "ts", event_streams.dedup_events)
+    later = events.where(F.col("event_id") % 3 == 0).withColumn("ts", F.col("ts") + F.expr("INTERVAL 30 DAYS"))
+    arrived = events.select("*", twice).drop("_copy").unionByName(later)
+    return replay(arrived, "ts", intake.take_once, slices=3)
 
 
 def _stream_resume(spark: SparkSession, sf_dir: str) -> DataFrame:

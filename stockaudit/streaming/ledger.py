@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from stockaudit.sources.marks import mark, newest_mark
 from stockaudit.streaming.runs import keyed_state, run_each_batch
 
 PAIR = ["store_id", "product_id"]
 LOW_STOCK = 20
 COMPACT_AFTER = 50
+STOCK = "store_id INT, product_id BIGINT, stock BIGINT"
 
 
 class PairStock(StatefulProcessor):
@@ -64,37 +65,44 @@ def stock_ledger(movements: DataFrame, reorder_points: DataFrame | None = None,
 def upsert_inventory(movements: DataFrame, folder: str, compact_after: int = COMPACT_AFTER) -> DataFrame:
     """Fold movements into a stock table, one summed delta per pair and micro-batch.
 
-    Each micro-batch overwrites its own partition, so a replayed batch counts once, and costs what it
-    brings, not the size of the table. Every ``compact_after`` batches the deltas so far become a version of the whole table,
-    named by its last batch, so that a read takes one version and few deltas; a replayed batch writes the same version again.
+    A micro-batch costs what it brings, not the size of the table. Every ``compact_after`` batches the deltas so far become a
+    version of the whole table, named by its last batch, so that a read takes one version and few deltas. A batch
+    counts once its mark is set, after everything it writes: readers never see half a batch or version, a batch that
+    stopped before its mark is written again, and one that comes again after it changes nothing.
     """
     def fold(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        last = newest_mark(spark, f"{folder}/marks")
+        if last is not None and last.number >= batch_id:
+            return
         (batch.groupBy(*PAIR).agg(F.sum("delta").alias("delta"))
          .write.mode("overwrite").parquet(f"{folder}/stock/batch_id={batch_id}"))
+        version = last.version if last else -1
         if (batch_id + 1) % compact_after == 0:
-            spark = batch.sparkSession
-            stock_table(spark, folder, batch_id).write.mode("overwrite").parquet(f"{folder}/version/upto={batch_id}")
+            _stock(spark, folder, version, batch_id).write.mode("overwrite").parquet(f"{folder}/version/upto={batch_id}")
+            version = batch_id
+        mark(spark, f"{folder}/marks", batch_id, version)
 
     run_each_batch(movements, fold, folder)
     return stock_table(movements.sparkSession, folder)
 
 
 def stock_table(spark: SparkSession, folder: str, upto: int | None = None) -> DataFrame:
-    """Stock per pair after batch ``upto``, or after all: the newest version before it and the deltas behind that."""
+    """Stock per pair after the newest finished batch, or after batch ``upto``; it may be read while batches are written."""
+    last = newest_mark(spark, f"{folder}/marks")
+    if last is None:
+        return spark.createDataFrame([], STOCK)
+    if upto is None or upto > last.number:
+        return _stock(spark, folder, last.version, last.number)
+    before = newest_mark(spark, f"{folder}/marks", upto - 1)
+    return _stock(spark, folder, before.version if before else -1, upto)
+
+
+def _stock(spark: SparkSession, folder: str, version: int, upto: int) -> DataFrame:
+    """Stock per pair: a version (none: -1) and the deltas of the batches behind it."""
     deltas = spark.read.schema("store_id INT, product_id BIGINT, delta BIGINT, batch_id BIGINT").parquet(f"{folder}/stock")
-    deltas = deltas if upto is None else deltas.filter(F.col("batch_id") <= upto)
-    versions = _versions(spark, folder)
-    if versions is not None:
-        before = versions if upto is None else versions.filter(F.col("upto") < upto)
-        last = before.agg(F.max("upto")).first()[0]
-        if last is not None:
-            known = versions.filter(F.col("upto") == last).select(*PAIR, F.col("stock").alias("delta"))
-            deltas = deltas.filter(F.col("batch_id") > last).select(*PAIR, "delta").unionByName(known)
+    deltas = deltas.filter((F.col("batch_id") > version) & (F.col("batch_id") <= upto)).select(*PAIR, "delta")
+    if version >= 0:
+        known = spark.read.schema(STOCK).parquet(f"{folder}/version/upto={version}")
+        deltas = deltas.unionByName(known.withColumnRenamed("stock", "delta"))
     return deltas.groupBy(*PAIR).agg(F.sum("delta").alias("stock"))
-
-
-def _versions(spark: SparkSession, folder: str) -> DataFrame | None:
-    try:
-        return spark.read.schema("store_id INT, product_id BIGINT, stock BIGINT, upto BIGINT").parquet(f"{folder}/version")
-    except AnalysisException:  # no version yet
-        return None

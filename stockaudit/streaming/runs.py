@@ -107,6 +107,12 @@ def replay_to_table(df: DataFrame, ts: str, build: Callable[[DataFrame], DataFra
     return replay(df, ts, lambda stream, folder: run_to_table(build(stream), folder, refuse_late=True), slices=slices)
 
 
+def stored_state(spark: SparkSession, folder: str, variable: str | None = None) -> DataFrame:
+    """What a stopped query keeps in the state store below ``folder``: a row per key, or per key of one state variable."""
+    reader = spark.read.format("statestore").option("path", f"{folder}/checkpoint")
+    return (reader.option("stateVarName", variable) if variable else reader).load()
+
+
 def run_each_batch(stream: DataFrame, handle: Callable[[DataFrame, int], None], folder: str) -> None:
     query = (
         stream.writeStream.foreachBatch(handle).option("checkpointLocation", f"{folder}/checkpoint")

@@ -92,6 +92,29 @@ def test_outputs_are_read_back(spark):
     assert spark.read.parquet(f"{folder}/violations").filter("check_id = 'F1'").first().key == "9"
 
 
+def test_a_run_is_published_whole(spark, monkeypatch):
+    """A second run that stops before its end changes no read; the next one takes its place."""
+    rows = lambda *ids: spark.createDataFrame([(i, "1", "x") for i in ids], "check_id STRING, key STRING, detail STRING")
+    folder = new_folder(spark, "audit")
+    sinks.write_audit_outputs(rows("A1", "A1"), folder)
+
+    def stop(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(sinks, "mark", stop)
+        with pytest.raises(RuntimeError):
+            sinks.write_audit_outputs(rows("B1"), folder)
+    report, violations = sinks.read_audit_outputs(spark, folder)
+    assert {tuple(r) for r in report.collect()} == {("A1", 2)} and violations.count() == 2
+    assert {tuple(r) for r in sinks.write_audit_outputs(rows("C1"), folder).collect()} == {("C1", 1)}
+    report, violations = sinks.read_audit_outputs(spark, folder)
+    assert [r.check_id for r in violations.collect()] == ["C1"] == [r.check_id for r in report.collect()]
+    assert sinks.read_audit_outputs(spark, folder, 0)[1].count() == 2
+    with pytest.raises(ValueError):
+        sinks.read_audit_outputs(spark, folder, 7)
+
+
 def test_text_functions(spark):
     row = spark.range(1).select(
         c.contact_email(F.lit("Al-Ahram Trading & Supply Co.")).alias("email"),

@@ -6,14 +6,18 @@ import datetime
 import random
 from pathlib import Path
 
+import numpy as np
 import pytest
+from pyspark.errors import StreamingQueryException
 from shop import at
 
 from stockaudit.session import new_folder
+from stockaudit.sources.marks import newest_mark
 from stockaudit.streaming import events as ev
+from stockaudit.streaming import intake
 from stockaudit.streaming import ledger as lg
 from stockaudit.streaming import lifecycle as lc
-from stockaudit.streaming.runs import LateRows, replay_to_table, run_to_table, time_slices
+from stockaudit.streaming.runs import LateRows, replay_to_table, run_to_table, stored_state, time_slices
 
 STATUS = "entity_id BIGINT, event_id BIGINT, status STRING, ts TIMESTAMP_NTZ"
 MOVE = "store_id INT, product_id BIGINT, id BIGINT, kind STRING, delta INT, ts TIMESTAMP_NTZ"
@@ -255,3 +259,97 @@ def test_deadlines_equal_a_fold_over_restarts(arrive, spark):
         folder, stream = arrive(STATUS, rows[i:i + 40], folder=folder)
         got = run_to_table(lc.sla_timeouts(stream), run)
     assert sorted((r.entity_id, r.phase, r.alert_ts) for r in got.collect()) == plain_alerts(rows, at(990))
+
+
+@pytest.mark.parametrize("bits_per_id", [1, 16])
+def test_ids_are_taken_once_over_any_distance(arrive, bits_per_id):
+    """Against a plain set, with filters that are nearly always wrong too; merges every three batches."""
+    rng = random.Random(5)
+    batches = [[event(rng.randint(0, 150), b * 50_000 + rng.randint(0, 99), user=rng.randint(1, 5)) for _ in range(40)] for b in range(8)]
+    batches[2] += [(None, at(1), 1, "view", 1.0, "{}")] * 3
+    batches[6] += [(None, at(1), 1, "view", 1.0, "{}")]
+    want, seen = [], set()
+    for batch in batches:
+        for row in sorted(batch, key=lambda r: (r[1], r[2])):
+            if row[0] is None or row[0] not in seen:
+                want.append(row)
+                seen.add(row[0])
+    _, stream = arrive(ev.EVENTS, *batches)
+    run = new_folder(stream.sparkSession, "intake")
+    got = intake.take_once(stream, run, buckets=4, compact_after=3, bits_per_id=bits_per_id)
+    key = lambda r: (r[0] is None, r[0], r[1])
+    assert sorted((tuple(r) for r in got.collect()), key=key) == sorted(want, key=key)
+    assert tuple(newest_mark(stream.sparkSession, f"{run}/marks")) == (7, 5)
+
+
+def test_a_batch_looks_up_what_the_filters_may_hold(arrive, spark):
+    """A repeat from the first of six batches is looked up there and nowhere else."""
+    batches = [[event(b * 1000 + i, b * 1000 + i) for i in range(300)] for b in range(6)]
+    _, stream = arrive(ev.EVENTS, *batches)
+    run = new_folder(spark, "intake")
+    assert intake.take_once(stream, run, buckets=4, compact_after=4).count() == 1800
+    last = newest_mark(spark, f"{run}/marks")
+    fresh = spark.createDataFrame([event(7, 99), event(5007, 99), event(77_777, 99)], ev.EVENTS)
+    got = {tuple(r) for r in intake.candidates(fresh, run, "event_id", 4, last).collect()}
+    assert got == {(7, 0, 3), (5007, 5, 5)}
+    hashes = np.random.Generator(np.random.PCG64(1)).integers(-2**62, 2**62, 40_000)
+    bits = intake.bloom(hashes[:20_000])
+    assert intake.may_hold(bits, hashes[:20_000]).all() and intake.may_hold(bits, hashes[20_000:]).mean() < 0.002
+
+
+def stopped(monkeypatch, module, at_batch):
+    """Lets the batch stop after all it writes, before its mark."""
+    real = module.mark
+
+    def stop(spark, folder, number, version=-1):
+        if number == at_batch:
+            raise RuntimeError("lost")
+        real(spark, folder, number, version)
+
+    monkeypatch.setattr(module, "mark", stop)
+
+
+def test_a_batch_that_stops_is_not_seen_and_comes_again(arrive, spark, monkeypatch):
+    moves = [[(1, 1, i, "restock", i, at(i))] for i in range(1, 6)]
+    folder, stream = arrive(MOVE, *moves)
+    run = new_folder(spark, "stops")
+    with monkeypatch.context() as m:
+        stopped(m, lg, 3)  # while it writes a version
+        with pytest.raises(StreamingQueryException):
+            lg.upsert_inventory(stream, run, compact_after=2)
+    assert lg.stock_table(spark, run).first().stock == 6 and (Path(run.removeprefix("file://")) / "version/upto=3").exists()
+    assert lg.upsert_inventory(stream, run, compact_after=2).first().stock == 15
+    assert lg.stock_table(spark, new_folder(spark, "none")).collect() == []
+
+    batches = [[event(1, 0), event(2, 1)], [event(2, 2), event(3, 3)], [event(3, 4), event(4, 5), event(1, 6)]]
+    _, stream = arrive(ev.EVENTS, *batches)
+    run = new_folder(spark, "stops")
+    with monkeypatch.context() as m:
+        stopped(m, intake, 1)
+        with pytest.raises(StreamingQueryException):
+            intake.take_once(stream, run, buckets=2)
+    assert {r.event_id for r in intake.taken(spark, run, stream.schema).collect()} == {1, 2}
+    assert sorted(r.event_id for r in intake.take_once(stream, run, buckets=2).collect()) == [1, 2, 3, 4]
+
+
+def test_a_restart_after_the_expiry_forgets(arrive, spark):
+    """49 hours later the entities not seen since have left the state; the store itself is read."""
+    run, hours = new_folder(spark, "run"), 60
+    first = [(e, e, "pending", at(e)) for e in range(1, 9)] + [(9, 9, "pending", at(40 * hours))]
+    folder, stream = arrive(STATUS, first)
+    run_to_table(lc.order_lifecycle(stream, buckets=1), run)
+    held = lambda: {e for r in stored_state(spark, run).selectExpr("value.groupState.entity AS e").collect() for e in r.e}
+    assert held() == set(range(1, 10))
+    later = [[(20 + i, 20 + i, "pending", at(49 * hours + i))] for i in range(2)]
+    folder, stream = arrive(STATUS, *later, folder=folder)
+    run_to_table(lc.order_lifecycle(stream, buckets=1), run)
+    assert held() == {9, 20, 21}
+
+    run = new_folder(spark, "run")
+    folder, stream = arrive(STATUS, [(1, 1, "pending", at(0)), (2, 2, "pending", at(100)), (3, 3, "delivered", at(5))])
+    run_to_table(lc.sla_timeouts(stream), run)
+    watched = lambda: {r.e for r in stored_state(spark, run, "watched").selectExpr("key.entity_id AS e").collect()}
+    assert watched() == {2}  # the clock stands at 90: both deadlines of 1 have passed, 3 never began
+    folder, stream = arrive(STATUS, [(9, 90, "delivered", at(300))], folder=folder)
+    run_to_table(lc.sla_timeouts(stream), run)
+    assert watched() == set()
