@@ -208,6 +208,7 @@ def _hits(items: Items, shard) -> tuple[np.ndarray, np.ndarray, set[tuple[int, i
 
 def _blocks(benchmark: DataFrame, item_id: str, text: str, block_bytes: int) -> Iterator[list[tuple[str, str]]]:
     items = benchmark.select(F.coalesce(F.col(item_id).cast("string"), F.lit("")).alias("i"), F.col(text).alias("t")).where("t is not null")
+    items = items.distinct()  # repeated rows would share a block, however many they are
     size = items.agg(F.sum(F.octet_length("t") + F.octet_length("i"))).first()[0] or 0
     if size <= block_bytes:
         yield [tuple(r) for r in items.collect()]

@@ -130,3 +130,11 @@ def test_query(spark):
     items = [tuple(r) for r in spark.read.parquet(sf + "/benchmark.parquet").select("item_id", "text").collect()]
     got = sorted((tuple(r) for r in d.op1_decontamination(spark, sf).collect()), key=str)
     assert got == plain(docs, items) and any(r[5] for r in got)
+
+
+def test_repeated_items_do_not_fill_a_block(spark):
+    docs, items = fixture(9)
+    assert run(spark, docs, items * 30) == run(spark, docs, items)
+    benchmark = spark.createDataFrame(items * 30, "item_id string, text string")
+    blocks = list(d._blocks(benchmark, "item_id", "text", 300))
+    assert sum(map(len, blocks)) == len({(i or "", t) for i, t in items if t is not None}) and len(blocks) > 1
