@@ -15,7 +15,8 @@ MARK = "number BIGINT, version BIGINT"
 
 def mark(spark: SparkSession, folder: str, number: int, version: int = -1) -> None:
     """State ``number`` is complete; ``version`` names what it builds on."""
-    spark.createDataFrame([(number, version)], MARK).coalesce(1).write.mode("append").parquet(folder)
+    row = spark.range(0, 1, 1, 1).select(F.lit(number).cast("bigint").alias("number"), F.lit(version).cast("bigint").alias("version"))
+    row.write.mode("append").parquet(folder)
 
 
 def newest_mark(spark: SparkSession, folder: str, upto: int | None = None) -> Row | None:
