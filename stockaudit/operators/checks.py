@@ -79,13 +79,13 @@ def with_previous_status(history: DataFrame, **options) -> DataFrame:
     return with_previous(history, ["order_id"], ["changed_at", "history_id"], {"prev_status": "status"}, **options)
 
 
-def illegal_move() -> Column:
-    legal = reduce(
-        lambda a, b: a | b,
-        [(F.col("prev_status") == p) & (F.col("status") == s) for p, s in ALLOWED_TRANSITIONS],
-    )
+def illegal_move(before: Column | None = None, after: Column | None = None) -> Column:
+    """Whether the move is not allowed; without arguments, the one from ``prev_status`` to ``status``."""
+    before = F.col("prev_status") if before is None else before
+    after = F.col("status") if after is None else after
+    legal = reduce(lambda a, b: a | b, [(before == p) & (after == s) for p, s in ALLOWED_TRANSITIONS])
     # A NULL status follows nothing legally.
-    return F.col("prev_status").isNotNull() & ~F.coalesce(legal, F.lit(False))
+    return before.isNotNull() & ~F.coalesce(legal, F.lit(False))
 
 
 def wrong_sign() -> Column:

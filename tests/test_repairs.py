@@ -1,10 +1,13 @@
 from __future__ import annotations
 
 import random
+from datetime import timedelta
 
+import pytest
 from shop import LazyTables, at
 
 from stockaudit.operators import checks, repairs
+from stockaudit.schemas import ALLOWED_TRANSITIONS
 from stockaudit.tables import replace
 
 
@@ -94,3 +97,57 @@ def test_null_status_after_a_status_is_illegal(build, rows):
     t = build(rows)
     assert [x.history_id for x in checks.d2_invalid_transitions(t).collect()] == [8]
     assert {x.history_id for x in repairs.repair_invalid_transitions(t.order_history).collect()} == {1, 2, 3, 4, 5, 6, 7, 9}
+
+
+def in_sequence(rows, wanted, max_passes):
+    """Plain fold: the passes over all orders; ids of added rows are None."""
+    h = {o: sorted(((x["changed_at"], x["history_id"], x["status"]) for x in rows if x["order_id"] == o), key=lambda x: x[:2])
+         for o in {x["order_id"] for x in rows}}
+    legal = set(ALLOWED_TRANSITIONS)
+    report, p = [], 0
+    while max_passes is None or p < max_passes:
+        p, begun, counts = p + 1, {o: [(x[0], x[2]) for x in v] for o, v in h.items()}, [[0, 0], [0, 0], [0, 0]]
+        for o, v in h.items():
+            status = wanted.get(o)
+            if v and status is not None and v[-1][2] is not None and v[-1][2] != status:
+                own, others = [x for x in v if x[2] == status], [x for x in v if x[2] != status]
+                counts[0][0] += 1
+                counts[0][1] += max(len(own), 1)
+                v = [*others, (others[-1][0] + timedelta(seconds=1), own[-1][1] if own else None, status)]
+            for k, bad in ((1, lambda a, b: a is not None and (a, b) not in legal),
+                           (2, lambda a, b: a is not None and a == b)):
+                kept = [x for i, x in enumerate(v) if not i or not bad(v[i - 1][2], x[2])]
+                counts[k] = [n + len(v) - len(kept) for n in counts[k]]
+                v = kept
+            h[o] = v
+        report += [tuple(n) for n in counts]
+        if not any(n for n, _ in counts):
+            break
+        if max_passes is None and begun == {o: [(x[0], x[2]) for x in v] for o, v in h.items()}:
+            break
+    return report, [(o, x[0], x[2] or "") for o, v in h.items() for x in v]
+
+
+@pytest.mark.parametrize("max_passes,longest", [(1, 1000), (None, 1000), (3, 4), (None, 4)])
+def test_pipeline_equals_the_sequence(spark, max_passes, longest):
+    """Histories as arrays, as tables, and both; some orders never converge."""
+    r = random.Random(5)
+    words = [None, "pending", "confirmed", "out_for_delivery", "delivered", "cancelled"]
+    history = [dict(history_id=i, order_id=r.choice([None, *range(1, 60)]) if i % 7 else 5, status=r.choice(words),
+                    changed_at=at(r.randint(0, 50))) for i in range(1, 300)]
+    orders = [dict(order_id=i, status=r.choice(words)) for i in range(1, 55)]
+    t = LazyTables(spark, {"order_history": history, "orders": orders})
+    report, fixed = repairs.repair_history_pipeline(t, max_passes, longest)
+    want, rows = in_sequence(history, {o["order_id"]: o["status"] for o in orders}, max_passes)
+    assert [(x.violations_before, x.rows_changed) for x in report.orderBy("step").collect()] == want
+    got = fixed.collect()
+    key = lambda x: (x[0] is not None, x[0] or 0, *x[1:])
+    assert sorted(((x.order_id, x.changed_at, x.status or "") for x in got), key=key) == sorted(rows, key=key)
+    ids = [x.history_id for x in got]
+    assert None not in ids and len(ids) == len(set(ids))
+
+
+def test_pipeline_without_rows(spark):
+    t = LazyTables(spark, {"order_history": [], "orders": [dict(order_id=1, status="pending")]})
+    report, fixed = repairs.repair_history_pipeline(t, None)
+    assert [tuple(x)[2:] for x in report.collect()] == [(0, 0)] * 3 and fixed.isEmpty()
