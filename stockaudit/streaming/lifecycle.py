@@ -1,8 +1,7 @@
 """The order state machine and its deadlines over a stream of status rows.
 
-The state machine keeps state per hash bucket of entities: one Python call then serves the thousands of entities of a
-bucket. Deadlines have a state and a timer per entity, so that a micro-batch touches the entities that it brings and those
-whose time has come. Entities leave the state when they can no longer matter.
+Both keep state per hash bucket of entities: one Python call then serves the thousands of entities of a bucket. A bucket of
+deadlines has one timer, for the earliest of them. Entities leave the state when they can no longer matter.
 """
 
 from __future__ import annotations
@@ -75,14 +74,15 @@ def order_lifecycle(
 
 
 class Deadlines(StatefulProcessor):
-    """The status of one entity and a timer for its next deadline."""
+    """The entities of a bucket that have a deadline ahead, as columns, and a timer for the earliest of these deadlines."""
 
     def __init__(self, phases: tuple[tuple[str, int], ...]):
         self.phases = phases  # (status, milliseconds after creation), in the order of the deadlines
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.watched = handle.getValueState("watched", "status STRING, created BIGINT, judged INT")
+        self.watched = handle.getValueState(
+            "watched", "entity_id ARRAY<BIGINT>, status ARRAY<STRING>, created ARRAY<BIGINT>, judged ARRAY<INT>")
 
     def _judge(self, entity: int, status: str, created: int, judged: int, now_ms: int) -> tuple[list[Row], int]:
         """Alerts for the deadlines that passed before ``now_ms``, and the number of deadlines judged."""
@@ -93,43 +93,53 @@ class Deadlines(StatefulProcessor):
             judged += 1
         return alerts, judged
 
-    def _keep(self, status: str, created: int, judged: int, held: bool = True, timed: bool = False) -> None:
-        """Holds the entity until its next deadline, or lets it go after the last; each call is a message to the JVM."""
-        if judged < len(self.phases):
-            self.watched.update((status, created, judged))
-            if not timed:
-                self.handle.registerTimer(created + self.phases[judged][1] + 1)
-        elif held:
+    def _first(self, known: dict) -> int | None:
+        """When the earliest deadline has passed."""
+        return min((created + self.phases[judged][1] + 1 for _, created, judged in known.values()), default=None)
+
+    def _fold(self, rows: Iterator[Row], now_ms: int) -> Iterator[Row]:
+        """Takes the rows, judges the bucket's entities as of ``now_ms`` and keeps those with a deadline ahead."""
+        held = self.watched.get()
+        known = {e: rest for e, *rest in zip(*held, strict=True)} if held else {}
+        before, timer = {e: tuple(rest) for e, rest in known.items()}, self._first(known)
+        seen = {}  # the rows a bucket got in this micro-batch; the size of a slice bounds them
+        for r in rows:
+            seen.setdefault(r.entity_id, []).append((r.ms, r.event_id, r.status))
+        for entity, steps in seen.items():
+            now = known.get(entity)
+            for ms, _, status in sorted(steps):
+                if now is not None:
+                    alerts, judged = self._judge(entity, *now, ms)
+                    yield from alerts
+                    now = (status, now[1], judged)
+                elif status == "pending":
+                    now = (status, ms, 0)
+            if now is not None:
+                known[entity] = now
+        ahead = {}
+        for entity, (status, created, judged) in known.items():
+            alerts, judged = self._judge(entity, status, created, judged, now_ms)
+            yield from alerts
+            if judged < len(self.phases):
+                ahead[entity] = (status, created, judged)
+        if ahead == before:
+            return
+        if ahead:
+            self.watched.update((list(ahead), *map(list, zip(*ahead.values(), strict=True))))
+        else:
             self.watched.clear()
+        first = self._first(ahead)
+        if timer != first:
+            if timer is not None:
+                self.handle.deleteTimer(timer)
+            if first is not None:
+                self.handle.registerTimer(first)
 
     def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        entity = key[0]
-        start = known = self.watched.get()
-        for ms, _, status in sorted((r.ms, r.event_id, r.status) for r in rows):
-            if known is not None:
-                alerts, judged = self._judge(entity, *known, ms)
-                yield from alerts
-                known = (status, known[1], judged)
-            elif status == "pending":
-                known = (status, ms, 0)
-        if known is None:
-            return
-        alerts, judged = self._judge(entity, *known, timerValues.getCurrentWatermarkInMs())
-        yield from alerts
-        new = (known[0], known[1], judged)
-        if start is not None and start[2] != judged:
-            self.handle.deleteTimer(start[1] + self.phases[start[2]][1] + 1)
-        if start is None or tuple(start) != new:
-            self._keep(*new, held=start is not None, timed=start is not None and start[2] == judged)
+        yield from self._fold(rows, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        known = self.watched.get()
-        if known is None:
-            return
-        status, created, judged = known
-        alerts, judged = self._judge(key[0], status, created, judged, timerValues.getCurrentWatermarkInMs())
-        yield from alerts
-        self._keep(status, created, judged)
+        yield from self._fold(iter(()), timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
@@ -137,18 +147,19 @@ class Deadlines(StatefulProcessor):
 
 def sla_timeouts(
     statuses: DataFrame, confirm_minutes: int = CONFIRM_LIMIT_MINUTES, deliver_minutes: int = DELIVER_LIMIT_MINUTES,
-    watermark: str = WATERMARK,
+    watermark: str = WATERMARK, buckets: int | None = None,
 ) -> DataFrame:
     """Alerts for entities still pending, or still confirmed, at their deadline after creation.
 
     A deadline is judged by the status at that moment, as soon as a later row or the watermark shows that the moment
-    has passed: each entity has a timer of its own in the state store. After its last deadline it leaves the state.
+    has passed: each hash bucket of entities has a timer for its earliest deadline. After its last deadline an entity leaves
+    the state.
     """
     minute = 60_000
     rows = zoned(statuses, "ts").withWatermark("ts", watermark).select(
-        "entity_id", "event_id", "status", "ts", F.unix_millis("ts").alias("ms"))
+        bucket_of("entity_id", buckets=buckets or default_buckets(statuses)), "entity_id", "event_id", "status", "ts", F.unix_millis("ts").alias("ms"))
     keyed_state(rows.sparkSession)
-    alerts = rows.groupBy("entity_id").transformWithState(
+    alerts = rows.groupBy("bucket").transformWithState(
         Deadlines((("pending", confirm_minutes * minute), ("confirmed", deliver_minutes * minute))),
         "entity_id BIGINT, phase STRING, alert_ms BIGINT", "append", "eventTime")
     return alerts.select("entity_id", "phase", F.timestamp_millis("alert_ms").alias("alert_ts"))

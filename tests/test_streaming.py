@@ -353,3 +353,18 @@ def test_a_restart_after_the_expiry_forgets(arrive, spark):
     folder, stream = arrive(STATUS, [(9, 90, "delivered", at(300))], folder=folder)
     run_to_table(lc.sla_timeouts(stream), run)
     assert watched() == set()
+
+
+def test_deadlines_are_kept_by_bucket(arrive, spark):
+    """Two state rows and two timers serve 200 entities; NULL is an entity like others."""
+    rows = [(e if e else None, e, "pending", at(e % 5)) for e in range(200)]
+    _, stream = arrive(STATUS, rows, [(999, 999, "delivered", at(100))])
+    run = new_folder(spark, "run")
+    got = run_to_table(lc.sla_timeouts(stream, buckets=2), run).collect()
+    assert sorted((r.entity_id or 0, r.phase, r.alert_ts) for r in got) == [(e, "pending", at(e % 5 + 19)) for e in range(200)]
+
+    run = new_folder(spark, "run")
+    _, stream = arrive(STATUS, rows)
+    run_to_table(lc.sla_timeouts(stream, buckets=2), run)
+    raw = spark.read.format("statestore").option("path", f"{run}/checkpoint").option("stateVarName", "watched").load()
+    assert raw.count() == 2 and stored_state(spark, run, "watched").count() == 200
