@@ -4,62 +4,94 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Row, SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from stockaudit.operators.ordered import _position
 from stockaudit.sources.marks import mark, newest_mark
+from stockaudit.streaming.lifecycle import bucket_of, default_buckets
 from stockaudit.streaming.runs import keyed_state, run_each_batch
 
 PAIR = ["store_id", "product_id"]
 LOW_STOCK = 20
 COMPACT_AFTER = 50
 STOCK = "store_id INT, product_id BIGINT, stock BIGINT"
+_NULLABLE = {"store": "store_id", "product": "product_id", "id": "id", "ts": "ts", "delta": "delta"}
 
 
-class PairStock(StatefulProcessor):
-    """The stock of one (store, product): a number in the state store."""
+class BucketStock(StatefulProcessor):
+    """The stock of the (store, product) pairs of a bucket: a log of the pairs that each micro-batch moved, the last entry counts.
+
+    A log with more than twice as many entries as there are pairs is written anew, so that reading it stays in proportion.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.stock = handle.getValueState("stock", "stock BIGINT")
-
-    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
-        store, product = key
-        known = self.stock.get()
-        stock = start = known[0] if known else 0
-        # The movements of one pair in one micro-batch; the size of a slice bounds them.
-        for ts, number, kind, delta, point in sorted(
-                ((r.ts, r.id, r.kind, r.delta, r.reorder_point) for r in rows), key=lambda r: (r[0] is not None, *r[:2])):
+        self.stock = handle.getListState("stock", "store_id ARRAY<INT>, product_id ARRAY<BIGINT>, stock ARRAY<BIGINT>")
+
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        known, entries = {}, 0
+        for stores, products, stocks in self.stock.get():
+            known.update(zip(zip(stores, products), stocks))
+            entries += len(stocks)
+        # The movements of a bucket in one micro-batch; the size of a slice bounds them.
+        moves = pd.concat(list(rows)).sort_values(["no_ts", "ts", "no_id", "id"], ascending=[False, True, False, True], kind="stable")
+        if moves["no_delta"].any():
+            raise ValueError("a movement without a delta")
+        moved, after, results, low = {}, [], [], []
+        for store, product, no_store, no_product, kind, delta, point in zip(*(moves[c].tolist() for c in (
+                "store_id", "product_id", "no_store", "no_product", "kind", "delta", "reorder_point"))):
+            pair = (None if no_store else store, None if no_product else product)
+            stock = moved[pair] if pair in moved else known.get(pair, 0)
             new, result = stock + delta, "ok"
             if new < 0 and kind == "sale":
                 new, result = stock, "insufficient_stock"
             elif new < 0 and kind == "adjustment":
                 new, result = 0, "clamped"
-            yield Row(store_id=store, product_id=product, id=number, quantity_after=new, result=result,
-                      low_stock=new < point <= stock)
-            stock = new
-        if not known or stock != start:
-            self.stock.update((stock,))
+            after.append(new)
+            results.append(result)
+            low.append(new < point <= stock)
+            moved[pair] = new
+        moved = {p: stock for p, stock in moved.items() if p not in known or known[p] != stock}
+        if entries > 2 * len(known) + 64:
+            self.stock.put([_columns(known | moved)])
+        elif moved:
+            self.stock.appendValue(_columns(moved))
+        yield moves[[*PAIR, "no_store", "no_product", "id", "no_id"]].assign(quantity_after=after, result=results, low_stock=low)
 
     def close(self) -> None:
         pass
 
 
-def stock_ledger(movements: DataFrame, reorder_points: DataFrame | None = None, low_stock: int = LOW_STOCK) -> DataFrame:
+def _columns(stock: dict) -> tuple[list, list, list]:
+    return [store for store, _ in stock], [product for _, product in stock], list(stock.values())
+
+
+def stock_ledger(
+    movements: DataFrame, reorder_points: DataFrame | None = None, low_stock: int = LOW_STOCK, buckets: int | None = None,
+) -> DataFrame:
     """Running stock per (store, product) over movements (…, id, kind, delta, ts).
 
     A sale that exceeds the stock is rejected, an adjustment stops at 0, anything else applies.
-    ``low_stock`` marks the row on which stock falls below the reorder point. A micro-batch reads and writes the state of
-    the pairs that it moves, and of no others.
+    ``low_stock`` marks the row on which stock falls below the reorder point. State lies in hash buckets of pairs, so that one
+    Python call serves all pairs of a bucket; a micro-batch reads the buckets that it meets and writes the pairs that it moves.
     """
     if reorder_points is not None:
         movements = movements.join(reorder_points.select(*PAIR, "reorder_point"), PAIR, "left")
     point = F.col("reorder_point") if reorder_points is not None else F.lit(None)
-    rows = movements.select(*PAIR, "id", "kind", "delta", "ts", F.coalesce(point, F.lit(low_stock)).cast("int").alias("reorder_point"))
-    keyed_state(rows.sparkSession)
-    return rows.groupBy(*PAIR).transformWithState(
-        PairStock(), "store_id INT, product_id BIGINT, id BIGINT, quantity_after BIGINT, result STRING, low_stock BOOLEAN",
-        "append", "none")
+    filled = lambda c: F.coalesce(c, F.lit(0))
+    ts = _position("ts", movements.schema["ts"].dataType)
+    keyed_state(movements.sparkSession)
+    rows = movements.select(  # numbers without NULLs, which pandas would turn into floats
+        bucket_of(*PAIR, buckets=buckets or default_buckets(movements)), *[filled(F.col(c)).alias(c) for c in (*PAIR, "id", "delta")],
+        filled(ts).alias("ts"), "kind", F.coalesce(point, F.lit(low_stock)).cast("int").alias("reorder_point"),
+        *[F.col(c).isNull().alias(f"no_{name}") for name, c in _NULLABLE.items()])
+    found = rows.groupBy("bucket").transformWithStateInPandas(
+        BucketStock(), "store_id INT, product_id BIGINT, no_store BOOLEAN, no_product BOOLEAN, id BIGINT, no_id BOOLEAN, "
+        "quantity_after BIGINT, result STRING, low_stock BOOLEAN", "append", "none")
+    own = [F.when(~F.col(f"no_{name}"), F.col(c)).alias(c) for name, c in _NULLABLE.items() if c in (*PAIR, "id")]
+    return found.select(*own, "quantity_after", "result", "low_stock")
 
 
 def upsert_inventory(movements: DataFrame, folder: str, compact_after: int = COMPACT_AFTER) -> DataFrame:

@@ -368,3 +368,17 @@ def test_deadlines_are_kept_by_bucket(arrive, spark):
     run_to_table(lc.sla_timeouts(stream, buckets=2), run)
     raw = spark.read.format("statestore").option("path", f"{run}/checkpoint").option("stateVarName", "watched").load()
     assert raw.count() == 2 and stored_state(spark, run, "watched").count() == 200
+
+
+def test_ledger_keeps_a_log_by_bucket(arrive, spark):
+    """The log of a bucket has the moved pairs of each batch, is written anew when long, and takes NULL as a store or product."""
+    batches = [[(1 if p else None, p or None, 100 * b + p, "restock", 1, at(b)) for p in range(40)] for b in range(7)]
+    batches.append([(1, 7, 9999, "sale", -9, None), (1, 8, 9998, "sale", -7, at(9))])
+    _, stream = arrive(MOVE, *batches)
+    run = new_folder(spark, "run")
+    got = {r.id: (r.store_id, r.product_id, r.quantity_after, r.result) for r in run_to_table(lg.stock_ledger(stream, buckets=1), run).collect()}
+    want = {100 * b + p: (1 if p else None, p or None, b + 1, "ok") for b in range(7) for p in range(40)}
+    assert got == want | {9999: (1, 7, 7, "insufficient_stock"), 9998: (1, 8, 0, "ok")}
+    entries = stored_state(spark, run, "stock").select("value.*").collect()
+    assert 41 <= len(entries) < 2 * 40 + 64 + 41 and {r.product_id for r in entries} == {None, *range(1, 40)}
+    assert (1, 8, 0) in {tuple(r) for r in entries}
