@@ -95,3 +95,14 @@ def test_equal_rows(spark):
 
 def test_empty(moves):
     assert ordered.with_previous(moves.limit(0), ["k"], ORDER, {"p": "v"}).collect() == []
+
+
+def test_an_uncut_table_crosses_the_exchange_as_it_is(moves, monkeypatch):
+    """No column is added before the exchange; groups are counted themselves only where a hash bucket has too many rows."""
+    for got in (ordered.with_row_number(moves, ["k"], ORDER, "rn"), ordered.with_previous(moves, ["k"], ORDER, {"p": "v"})):
+        assert "_seg" not in got._jdf.queryExecution().optimizedPlan().toString()
+    monkeypatch.setattr(ordered, "HASHED", 1)  # all groups in one bucket, which has too many rows
+    monkeypatch.setattr(ordered, "ROWS", 1450)  # no group has
+    w = Window.partitionBy("k").orderBy(*ORDER)
+    got = ordered.with_row_number(moves, ["k"], ORDER, "rn")
+    assert collect(got) == collect(moves.withColumn("rn", F.row_number().over(w).cast("bigint")))
