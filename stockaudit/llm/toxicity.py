@@ -10,7 +10,9 @@ and as an ordinary text; a logistic curve makes it a probability.
 Counts come from every training text but those kept for the curve (a tenth by hash of id and text, of which at most
 about ``CURVE_ROWS`` are used). They are joins and groupings over the table of distinct n-grams. What workers get is the log ratio
 of each n-gram and of each context's backoff weight, hashed into a fixed number of slots (``SLOTS``), so the broadcast has
-at most 24 MB whatever the corpus; where two n-grams share a slot the more frequent one's value holds for both.
+at most 48 MB whatever the corpus. A slot holds its most frequent n-gram, known by 31 more bits of its hash, and tells whether there
+are others. A word with an n-gram that may be one of these others is left open; open words get their ratio by joins with the
+table of all n-grams and add it to their texts. So every n-gram has its own value.
 
 Only the difference of the two log-likelihoods is kept, since what the models share cancels out.
 
@@ -22,6 +24,7 @@ as often as they occur. Extra columns stay.
 from __future__ import annotations
 
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -39,6 +42,7 @@ TOXIC_SHARE = 0.02  # of a toxic text's words are drawn from the toxic model, th
 PRIOR_WORDS = 4  # added to a text's length, so that a few words don't decide
 #: Slots, as powers of two, of the log ratios of n-grams and of contexts.
 SLOTS = {"gram": 22, "context": 21}
+_SLOT = np.dtype([("value", np.float32), ("mark", np.uint32)])
 _PIECE = 1 << 16
 _CHUNK = 1 << 20
 _WORD = re.compile(r"[^\W\d_]+")
@@ -74,6 +78,11 @@ def slots(h: np.ndarray, bits: int) -> np.ndarray:
     return (h >> np.uint64(64 - bits)).astype(np.int64)
 
 
+def marks(h: np.ndarray, bits: int) -> np.ndarray:
+    """31 bits of the hashes behind those of the slots."""
+    return ((h >> np.uint64(33 - bits)) & np.uint64((1 << 31) - 1)).astype(np.int64)
+
+
 def count_grams(labelled: DataFrame) -> DataFrame:
     """(gram, toxic, ordinary): how often each n-gram of the highest order occurs in texts of either class."""
     def count(batches):
@@ -140,8 +149,8 @@ def shared_model(counts: DataFrame) -> DataFrame:
     return lower
 
 
-def ratios(counts: DataFrame) -> DataFrame:
-    """(kind, slot, value): log ratios, toxic to ordinary, of the n-grams and of the contexts' weight of the shared model."""
+def exact_ratios(counts: DataFrame) -> dict[str, DataFrame]:
+    """(gram, n, value) by kind: log ratios, toxic to ordinary, of the n-grams and of the contexts' weight of the shared model."""
     seen = lambda c: F.sum((F.col(c) > 0).cast("long"))
     grams = counts.withColumn("context", F.substring("gram", 1, ORDER - 1))
     contexts = grams.groupBy("context").agg(
@@ -153,7 +162,15 @@ def ratios(counts: DataFrame) -> DataFrame:
     grams = grams.join(contexts, "context").join(shared_model(counts), "gram").select(
         "gram", (F.col("t") + F.col("o")).alias("n"), F.log(chance("t") / chance("o")).alias("value"))
     contexts = contexts.select("context", F.col("all_t") + F.col("all_o"), F.log(F.col("weight_t") / F.col("weight_o")))
-    return _slotted(grams, "gram", ORDER).union(_slotted(contexts, "context", ORDER - 1))
+    found = {"gram": grams, "context": contexts}
+    return {kind: stored(rows.toDF("gram", "n", "value").withColumn("value", F.col("value").cast("float")), kind)
+            for kind, rows in found.items()}
+
+
+def ratios(counts: DataFrame, exact: dict[str, DataFrame] | None = None) -> DataFrame:
+    """(kind, slot, value, mark): the most frequent member of each slot; the lowest bit of its mark is set if there are others."""
+    exact = exact or exact_ratios(counts)
+    return _slotted(exact["gram"], "gram", ORDER).union(_slotted(exact["context"], "context", ORDER - 1))
 
 
 def _slotted(rows: DataFrame, kind: str, length: int) -> DataFrame:
@@ -164,72 +181,99 @@ def _slotted(rows: DataFrame, kind: str, length: int) -> DataFrame:
         for batch in batches:
             grams = batch.column(0).to_pylist()
             c = np.frombuffer("".join(grams).encode("utf-32-le", "surrogatepass"), np.uint32)
-            at = slots(hashes(c, length)[::length], bits) if grams else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(at)],
-                                             names=["gram", "n", "value", "slot"])
+            h = hashes(c, length)[::length] if grams else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), batch.column(2), pa.array(slots(h, bits)), pa.array(marks(h, bits))],
+                names=["gram", "n", "value", "slot", "mark"])
 
-    placed = rows.toDF("gram", "n", "value").mapInArrow(place, "gram string, n long, value double, slot long")
-    best = placed.groupBy("slot").agg(F.max(F.struct("n", "gram", "value")).alias("best"))
-    return best.select(F.lit(kind).alias("kind"), "slot", F.col("best.value").cast("float").alias("value"))
+    placed = rows.mapInArrow(place, "gram string, n long, value float, slot long, mark long")
+    best = placed.groupBy("slot").agg(
+        F.max(F.struct("n", "gram", "value", "mark")).alias("best"), (F.count("*") > 1).cast("long").alias("more"))
+    return best.select(F.lit(kind).alias("kind"), "slot", "best.value", (F.col("best.mark") * 2 + F.col("more")).alias("mark"))
 
 
 def tables_of(rows: DataFrame) -> dict[str, np.ndarray]:
-    """The slots of each kind as arrays, NaN where no n-gram fell; they are put together in pieces before they are collected."""
+    """The slots of each kind as arrays of values and marks, NaN where no n-gram fell; they are put together in pieces before they are collected."""
     piece = F.floor(F.col("slot") / _PIECE).cast("int").alias("piece")
 
     def fill(batches):
         made = {}
         for batch in batches:
             kinds, pieces = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-            at, values = batch.column(2).to_numpy() % _PIECE, batch.column(3).to_numpy()
+            at, values, mark = batch.column(2).to_numpy() % _PIECE, batch.column(3).to_numpy(), batch.column(4).to_numpy()
             for key in set(zip(kinds, pieces.tolist())):
                 own = np.array([k == key[0] for k in kinds]) & (pieces == key[1])
-                made.setdefault(key, np.full(_PIECE, np.nan, np.float32))[at[own]] = values[own]
+                part = made.setdefault(key, _empty(_PIECE))
+                part["value"][at[own]], part["mark"][at[own]] = values[own], mark[own]
         if made:
             yield pa.RecordBatch.from_pylist([dict(kind=k, piece=p, data=v.tobytes()) for (k, p), v in made.items()], schema=pa.schema(
                 [("kind", pa.string()), ("piece", pa.int32()), ("data", pa.binary())]))
 
-    tables = {kind: np.full(1 << bits, np.nan, np.float32) for kind, bits in SLOTS.items()}
-    pieces = rows.select("kind", piece, "slot", "value").repartition("kind", "piece").mapInArrow(fill, "kind string, piece int, data binary")
-    for r in pieces.toLocalIterator():  # 96 pieces of a quarter of a megabyte
-        tables[r["kind"]][r["piece"] * _PIECE:(r["piece"] + 1) * _PIECE] = np.frombuffer(r["data"], np.float32)
+    tables = {kind: _empty(1 << bits) for kind, bits in SLOTS.items()}
+    pieces = rows.select("kind", piece, "slot", "value", "mark").repartition("kind", "piece").mapInArrow(fill, "kind string, piece int, data binary")
+    for r in pieces.toLocalIterator():  # 96 pieces of half a megabyte
+        own = tables[r["kind"]][r["piece"] * _PIECE:(r["piece"] + 1) * _PIECE]
+        own[:] = np.frombuffer(r["data"], _SLOT)[:len(own)]
     return tables
 
 
+def _empty(size: int) -> np.ndarray:
+    table = np.zeros(size, _SLOT)
+    table["value"] = np.nan
+    return table
+
+
 class Model:
-    """Tables of log ratios by kind, NaN where nothing is known, and the curve's slope and intercept."""
+    """Tables of log ratios by kind, the curve's slope and intercept, and the frames of all n-grams for what the tables leave open."""
 
-    def __init__(self, tables: dict[str, np.ndarray], curve: tuple[float, float] | None = None):
-        self.tables, self.curve = tables, curve
+    def __init__(self, tables: dict[str, np.ndarray], curve: tuple[float, float] | None = None,
+                 exact: dict[str, DataFrame] | None = None):
+        self.tables, self.curve, self.exact = tables, curve, exact
 
     def ratio(self, text: str | None) -> float:
-        """Log-likelihood ratio a word, toxic to ordinary, on a scale that is logarithmic far from 0.
+        """Log-likelihood ratio a word, toxic to ordinary, on a scale that is logarithmic far from 0, from the tables alone.
 
-        A toxic text is one that mixes both classes' words.
+        A toxic text is one that mixes both classes' words. An n-gram that the tables leave open counts as unseen.
         """
+        total, words, rest = self.parts(text, False)
+        return float(np.arcsinh(total / (words + PRIOR_WORDS) / TOXIC_SHARE * 4))
+
+    def parts(self, text: str | None, leave_open: bool = True) -> tuple[float, int, Counter]:
+        """The sum over the decided words, the number of all words, and how often each open word occurs."""
         c = characters(text)
-        total, words = 0.0, 0
+        total, words, rest = 0.0, 0, Counter()
         for start, stop in _spans(c):
-            ratio = self._words(c[start:stop])
+            ratio, still, begins, after = self._words(c[start:stop])
+            if leave_open:
+                for i in np.flatnonzero(still):
+                    rest[c[start + begins[i]:start + after[i]].astype("<u4").tobytes().decode("utf-32-le", "replace")] += 1
+                ratio = ratio[~still]
             total += np.log1p(TOXIC_SHARE * np.expm1(ratio)).sum()
-            words += len(ratio)
-        return float(np.arcsinh(total / (words + PRIOR_WORDS) / TOXIC_SHARE * 4))
-
-    def _words(self, c: np.ndarray) -> np.ndarray:
-        """The ratio of each word of a stretch that begins and ends with a gap."""
+            words += len(still)
+        return total, words, rest
+
+    def _look_up(self, kind: str, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values, NaN for what no training text has, and which of them are open."""
+        table, bits = self.tables[kind], len(self.tables[kind]).bit_length() - 1
+        found = table[slots(h, bits)]
+        other = found["mark"] >> 1 != marks(h, bits)
+        return np.where(other, np.float32(np.nan), found["value"]), other & (found["mark"] & 1 == 1)
+
+    def _words(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The ratio of each word of a stretch that begins and ends with a gap, whether it is open, and where it begins and ends."""
         starts = ends(c)
-        value = self.tables["gram"][slots(hashes(c, ORDER)[starts], SLOTS["gram"])]
+        value, still = self._look_up("gram", hashes(c, ORDER)[starts])
         unseen = np.flatnonzero(np.isnan(value))  # no training text has the n-gram: only the shared model's weight differs
         contexts = c[starts[unseen][:, None] + np.arange(ORDER - 1)]
-        value[unseen] = self.tables["context"][slots(hashes(contexts.ravel(), ORDER - 1)[::ORDER - 1], SLOTS["context"])]
+        value[unseen], also = self._look_up("context", hashes(contexts.ravel(), ORDER - 1)[::ORDER - 1])
+        still[unseen] |= also
         np.nan_to_num(value, copy=False)
         first = np.flatnonzero(c[starts + ORDER - 2] == 32)  # n-grams that end in a word's first letter
-        return np.add.reduceat(value.astype(np.float64), first) if len(first) else np.zeros(0)
-
-    def score(self, text: str | None) -> float:
-        if self.curve is None:
-            return 0.0
-        return float(1.0 / (1.0 + np.exp(-np.clip(self.curve[0] * self.ratio(text) + self.curve[1], -700, 700))))
+        if not len(first):
+            return np.zeros(0), np.zeros(0, bool), first, first
+        last = np.append(first[1:], len(starts)) - 1  # and right behind it
+        return (np.add.reduceat(value.astype(np.float64), first), np.logical_or.reduceat(still, first),
+                starts[first] + ORDER - 1, starts[last] + ORDER - 1)
 
 
 def _spans(c: np.ndarray):
@@ -257,9 +301,51 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3) -> tuple[float
     return float(w[0] / scale), float(w[1] - w[0] * mean / scale)
 
 
-def _with_model(docs: DataFrame, model: Model, field: str, work) -> DataFrame:
-    sent = docs.sparkSession.sparkContext.broadcast((model.tables, model.curve))  # at most 24 MB, see SLOTS
-    return through_arrow(docs, field, lambda batch: work(Model(*sent.value), batch))
+def _with_ratio(docs: DataFrame, model: Model, keep_text: bool = True) -> tuple[DataFrame, str]:
+    """``docs`` with each text's ratio, and that column's name: open words are joined with all n-grams."""
+    number, total, words, rest = (free_name(docs, n) for n in ("row", "total", "words", "rest"))
+    sent = docs.sparkSession.sparkContext.broadcast(model.tables)  # at most 48 MB, see SLOTS
+
+    def work(batch):
+        known = Model(sent.value)
+        found = [known.parts(x) for x in texts_of(batch)]
+        return {total: pa.array([float(t) for t, _, _ in found], pa.float64()), words: pa.array([n for _, n, _ in found], pa.int64()),
+                rest: pa.array([[{"word": w, "n": n} for w, n in r.items()] for _, _, r in found],
+                               pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())])))}
+
+    part = through_arrow(docs.withColumn(number, F.monotonically_increasing_id()),
+                         f"`{total}` double, `{words}` long, `{rest}` array<struct<word:string,n:long>>", work)
+    part = stored(part if keep_text else part.drop("text"), "parts")  # the numbers stay
+    left = part.where(F.size(rest) > 0).select(F.col(number).alias("row"), F.inline(rest))
+    if not left.isEmpty():
+        value = F.log1p(TOXIC_SHARE * F.expm1("ratio"))
+        sums = left.join(_word_ratios(left.select("word").distinct(), model.exact), "word").groupBy("row").agg(
+            F.sum(F.col("n") * value).alias("_more"))
+        part = part.join(sums, part[number] == sums["row"], "left").drop(sums["row"])
+        part = part.withColumn(total, F.col(total) + F.coalesce("_more", F.lit(0.0))).drop("_more")
+    ratio = free_name(part, "ratio")
+    return part.withColumn(ratio, F.asinh(F.col(total) / (F.col(words) + PRIOR_WORDS) / TOXIC_SHARE * 4)).drop(
+        number, total, words, rest), ratio
+
+
+def _word_ratios(words: DataFrame, exact: dict[str, DataFrame]) -> DataFrame:
+    """(word, ratio) from the frames of all n-grams, by their letters; a word's n-grams go by its digest, however long it is."""
+    def cut(batches):
+        for batch in batches:
+            for key, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                c = np.frombuffer((_GAP + word + _GAP).encode("utf-32-le", "surrogatepass"), np.uint32)
+                starts = ends(c)
+                for i in range(0, len(starts), _PIECE):
+                    grams = _strings(c[starts[i:i + _PIECE][:, None] + np.arange(ORDER)])
+                    yield pa.RecordBatch.from_pydict({"key": [key] * len(grams), "gram": grams, "context": [g[:-1] for g in grams]})
+
+    words = stored(words.select(F.sha2("word", 256).alias("key"), "word"), "words")
+    grams = words.mapInArrow(cut, "key string, gram string, context string")
+    gram = exact["gram"].select("gram", F.col("value").alias("own"))
+    context = exact["context"].select(F.col("gram").alias("context"), F.col("value").alias("weight"))
+    sums = grams.join(gram, "gram", "left").join(context, "context", "left").groupBy("key").agg(
+        F.sum(F.coalesce("own", "weight", F.lit(0.0)).cast("double")).alias("ratio"))
+    return words.join(sums, "key").select("word", "ratio")
 
 
 def train(docs: DataFrame, labels: DataFrame) -> Model:
@@ -272,23 +358,29 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
     if not all(sizes.get((False, k)) for k in (0, 1)):
         return Model({})
     counts = stored(count_grams(labelled.where("not curve")), "grams")
-    tables = tables_of(stored(ratios(counts), "ratios"))
-    model = Model(tables)
+    exact = exact_ratios(counts)
+    tables = tables_of(stored(ratios(counts, exact), "ratios"))
+    model = Model(tables, exact=exact)
     kept = sum(n for (curve, _), n in sizes.items() if curve)
     chance = min(1.0, CURVE_ROWS / max(1, kept))
     sample = labelled.where("curve").where(F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 30)) / float(1 << 30) < chance)
-    seen = _with_model(sample.select("text", "toxic"), model, "ratio double", lambda m, batch: {
-        "ratio": pa.array([m.ratio(x) for x in texts_of(batch)], pa.float64())}).select("ratio", "toxic").toPandas()
+    seen, ratio = _with_ratio(sample.select("text", "toxic"), model, keep_text=False)
+    seen = seen.select(ratio, "toxic").toPandas()
     if seen["toxic"].nunique() < 2:  # too few for a curve: even odds at equal likelihoods
-        return Model(tables, (4.0, -2.0))
-    return Model(tables, logistic(seen["ratio"].to_numpy(), seen["toxic"].to_numpy(np.float64)))
+        return Model(tables, (4.0, -2.0), exact)
+    return Model(tables, logistic(seen[ratio].to_numpy(), seen["toxic"].to_numpy(np.float64)), exact)
 
 
-def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
-    """``docs`` with ``score`` and ``predicted``, lengthened by ``_`` where such columns exist."""
+def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_text: bool = True) -> DataFrame:
+    """``docs``, with or without the texts, and ``score`` and ``predicted``, lengthened by ``_`` where such columns exist."""
     score, predicted = free_name(docs, "score"), free_name(docs, "predicted")
-    scored = _with_model(docs, model, f"`{score}` double",
-                         lambda m, batch: {score: pa.array([m.score(x) for x in texts_of(batch)], pa.float64())})
+    if model.curve is None:
+        scored = (docs if keep_text else docs.drop("text")).withColumn(score, F.lit(0.0))
+    else:
+        slope, intercept = model.curve
+        scored, ratio = _with_ratio(docs, model, keep_text)
+        odds = F.greatest(F.lit(-700.0), F.least(F.lit(700.0), slope * F.col(ratio) + intercept))
+        scored = scored.withColumn(score, 1 / (1 + F.exp(-odds))).drop(ratio)
     return scored.withColumn(predicted, (F.col(score) >= threshold).cast("int"))
 
 
@@ -296,4 +388,4 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic")
     model = train(docs.where(~held_out(F.col("doc_id"))), labels.where(~held_out(F.col("doc_id"))))
-    return score_toxicity(docs, model).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")
+    return score_toxicity(docs, model, keep_text=False).select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score", "predicted")

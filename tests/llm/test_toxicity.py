@@ -133,3 +133,19 @@ def test_held_out_accuracy(spark):
     toxic = np.array([r["toxic"] for r in rows]) == 1
     order = np.searchsorted(np.sort(score[~toxic]), score[toxic]).sum() / toxic.sum() / (~toxic).sum()
     assert order > 0.93 and (score[~toxic] >= t.THRESHOLD).mean() < 0.01 and (score[toxic] >= t.THRESHOLD).mean() > 0.5
+
+
+def test_n_grams_that_share_a_slot_keep_their_values(spark, monkeypatch):
+    """With 64 slots nearly every n-gram shares one; open words, a long one and repeats included, equal the plain models."""
+    monkeypatch.setattr(t, "SLOTS", {"gram": 6, "context": 5})
+    rows = corpus(40)
+    counts = t.count_grams(spark.createDataFrame([(x, y) for _, x, y in rows], "text string, toxic int"))
+    plain, exact = Plain([(x, y) for _, x, y in rows]), t.exact_ratios(counts)
+    model = t.Model(t.tables_of(t.ratios(counts, exact)), exact=exact)
+    texts = ["Alpha nasty beta nasty", "alphabet bet", "unseen words", "", None, "a", "alphabeta" * 50, *(x for _, x, _ in rows[:8])]
+    docs = spark.createDataFrame([(i % 5, x) for i, x in enumerate(texts)], "row long, text string")
+    assert sum(len(model.parts(x)[2]) for x in texts) > 20
+    found, ratio = t._with_ratio(docs, model)
+    got = sorted(((r["text"] or "", r[ratio]) for r in found.collect()))
+    assert [r for _, r in got] == pytest.approx([plain.ratio(x) for x, in sorted((x or "",) for x in texts)], abs=1e-4)
+    assert found.columns == ["row", "text", "ratio"]
