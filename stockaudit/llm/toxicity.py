@@ -329,7 +329,7 @@ def _with_ratio(docs: DataFrame, model: Model, keep_text: bool = True) -> tuple[
 
 
 def _word_ratios(words: DataFrame, exact: dict[str, DataFrame]) -> DataFrame:
-    """(word, ratio) from the frames of all n-grams, by their letters; a word's n-grams go by its digest, however long it is."""
+    """(word, ratio) from the frames of all n-grams, by their letters; a word's n-grams go by its number, however long it is."""
     def cut(batches):
         for batch in batches:
             for key, word in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -339,8 +339,8 @@ def _word_ratios(words: DataFrame, exact: dict[str, DataFrame]) -> DataFrame:
                     grams = _strings(c[starts[i:i + _PIECE][:, None] + np.arange(ORDER)])
                     yield pa.RecordBatch.from_pydict({"key": [key] * len(grams), "gram": grams, "context": [g[:-1] for g in grams]})
 
-    words = stored(words.select(F.sha2("word", 256).alias("key"), "word"), "words")
-    grams = words.mapInArrow(cut, "key string, gram string, context string")
+    words = stored(words.select(F.monotonically_increasing_id().alias("key"), "word"), "words")  # the numbers stay
+    grams = words.mapInArrow(cut, "key long, gram string, context string")
     gram = exact["gram"].select("gram", F.col("value").alias("own"))
     context = exact["context"].select(F.col("gram").alias("context"), F.col("value").alias("weight"))
     sums = grams.join(gram, "gram", "left").join(context, "context", "left").groupBy("key").agg(
@@ -359,7 +359,7 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         return Model({})
     counts = stored(count_grams(labelled.where("not curve")), "grams")
     exact = exact_ratios(counts)
-    tables = tables_of(stored(ratios(counts, exact), "ratios"))
+    tables = tables_of(ratios(counts, exact))
     model = Model(tables, exact=exact)
     kept = sum(n for (curve, _), n in sizes.items() if curve)
     chance = min(1.0, CURVE_ROWS / max(1, kept))
