@@ -341,8 +341,10 @@ def _word_ratios(words: DataFrame, exact: dict[str, DataFrame]) -> DataFrame:
 
     words = stored(words.select(F.monotonically_increasing_id().alias("key"), "word"), "words")  # the numbers stay
     grams = words.mapInArrow(cut, "key long, gram string, context string")
-    gram = exact["gram"].select("gram", F.col("value").alias("own"))
-    context = exact["context"].select(F.col("gram").alias("context"), F.col("value").alias("weight"))
+    # What the words need: a few open words are broadcast, so that the tables of all n-grams aren't shuffled for them.
+    gram = exact["gram"].select("gram", F.col("value").alias("own")).join(grams.select("gram"), "gram", "left_semi")
+    context = exact["context"].select(F.col("gram").alias("context"), F.col("value").alias("weight")).join(
+        grams.select("context"), "context", "left_semi")
     sums = grams.join(gram, "gram", "left").join(context, "context", "left").groupBy("key").agg(
         F.sum(F.coalesce("own", "weight", F.lit(0.0)).cast("double")).alias("ratio"))
     return words.join(sums, "key").select("word", "ratio")
