@@ -28,6 +28,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -229,6 +230,16 @@ class Model:
     def __init__(self, tables: dict[str, np.ndarray], curve: tuple[float, float] | None = None,
                  exact: dict[str, DataFrame] | None = None):
         self.tables, self.curve, self.exact = tables, curve, exact
+        self._sent: Broadcast | None = None
+
+    def sent(self, spark: SparkSession) -> Broadcast:
+        """The tables as workers get them, at most 48 MB (see ``SLOTS``).
+
+        One broadcast for all uses of a model: the driver and each executor keep its tables as a file as long as it lives.
+        """
+        if self._sent is None:
+            self._sent = spark.sparkContext.broadcast(self.tables)
+        return self._sent
 
     def ratio(self, text: str | None) -> float:
         """Log-likelihood ratio a word, toxic to ordinary, on a scale that is logarithmic far from 0, from the tables alone.
@@ -304,7 +315,7 @@ def logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3) -> tuple[float
 def _with_ratio(docs: DataFrame, model: Model, keep_text: bool = True) -> tuple[DataFrame, str]:
     """``docs`` with each text's ratio, and that column's name: open words are joined with all n-grams."""
     number, total, words, rest = (free_name(docs, n) for n in ("row", "total", "words", "rest"))
-    sent = docs.sparkSession.sparkContext.broadcast(model.tables)  # at most 48 MB, see SLOTS
+    sent = model.sent(docs.sparkSession)
 
     def work(batch):
         known = Model(sent.value)
@@ -359,16 +370,17 @@ def train(docs: DataFrame, labels: DataFrame) -> Model:
         return Model({})
     counts = stored(count_grams(labelled.where("not curve")), "grams")
     exact = exact_ratios(counts)
-    tables = tables_of(ratios(counts, exact))
-    model = Model(tables, exact=exact)
+    model = Model(tables_of(ratios(counts, exact)), exact=exact)
     kept = sum(n for (curve, _), n in sizes.items() if curve)
     chance = min(1.0, CURVE_ROWS / max(1, kept))
     sample = labelled.where("curve").where(F.pmod(F.xxhash64("text", "doc_id"), F.lit(1 << 30)) / float(1 << 30) < chance)
     seen, ratio = _with_ratio(sample.select("text", "toxic"), model, keep_text=False)
     seen = seen.select(ratio, "toxic").toPandas()
     if seen["toxic"].nunique() < 2:  # too few for a curve: even odds at equal likelihoods
-        return Model(tables, (4.0, -2.0), exact)
-    return Model(tables, logistic(seen[ratio].to_numpy(), seen["toxic"].to_numpy(np.float64)), exact)
+        model.curve = (4.0, -2.0)
+    else:
+        model.curve = logistic(seen[ratio].to_numpy(), seen["toxic"].to_numpy(np.float64))
+    return model
 
 
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep_text: bool = True) -> DataFrame:

@@ -149,3 +149,13 @@ def test_n_grams_that_share_a_slot_keep_their_values(spark, monkeypatch):
     got = sorted(((r["text"] or "", r[ratio]) for r in found.collect()))
     assert [r for _, r in got] == pytest.approx([plain.ratio(x) for x, in sorted((x or "",) for x in texts)], abs=1e-4)
     assert found.columns == ["row", "text", "ratio"]
+
+
+def test_one_broadcast_of_the_tables(spark, monkeypatch):
+    """Every broadcast is a file of 48 MB on the driver and on each executor; the curve and the scores share one."""
+    sent, send = [], spark.sparkContext.broadcast
+    monkeypatch.setattr(spark.sparkContext, "broadcast", lambda value: sent.append(value) or send(value))
+    docs, labels = frames(spark, corpus())
+    model = t.train(docs, labels)
+    assert len(t.score_toxicity(docs, model).collect()) == len(t.score_toxicity(docs, model, keep_text=False).collect()) == 240
+    assert len(sent) == 1 and sent[0] is model.tables
