@@ -10,7 +10,7 @@ and as an ordinary text; a logistic curve makes it a probability.
 Counts come from every training text but those kept for the curve (a tenth by hash of id and text, of which at most
 about ``CURVE_ROWS`` are used). They are joins and groupings over the table of distinct n-grams. What workers get is the log ratio
 of each n-gram and of each context's backoff weight, hashed into a fixed number of slots (``SLOTS``), so the broadcast has
-at most 48 MB whatever the corpus. A slot holds its most frequent n-gram, known by 31 more bits of its hash, and tells whether there
+at most 49 MB whatever the corpus. Only taken slots travel, with a bit for each slot that tells which they are. A slot holds its most frequent n-gram, known by 31 more bits of its hash, and tells whether there
 are others. A word with an n-gram that may be one of these others is left open; open words get their ratio by joins with the
 table of all n-grams and add it to their texts. So every n-gram has its own value.
 
@@ -193,8 +193,11 @@ def _slotted(rows: DataFrame, kind: str, length: int) -> DataFrame:
     return best.select(F.lit(kind).alias("kind"), "slot", "best.value", (F.col("best.mark") * 2 + F.col("more")).alias("mark"))
 
 
-def tables_of(rows: DataFrame) -> dict[str, np.ndarray]:
-    """The slots of each kind as arrays of values and marks, NaN where no n-gram fell; they are put together in pieces before they are collected."""
+def tables_of(rows: DataFrame) -> dict[str, dict]:
+    """The slots of each kind: a bit for each that is taken, the place of the first row of each 64, and the rows of the taken ones.
+
+    Pieces of the slots are put together before they are collected; neither they nor the tables have room for empty slots.
+    """
     piece = F.floor(F.col("slot") / _PIECE).cast("int").alias("piece")
 
     def fill(batches):
@@ -204,36 +207,40 @@ def tables_of(rows: DataFrame) -> dict[str, np.ndarray]:
             at, values, mark = batch.column(2).to_numpy() % _PIECE, batch.column(3).to_numpy(), batch.column(4).to_numpy()
             for key in set(zip(kinds, pieces.tolist())):
                 own = np.array([k == key[0] for k in kinds]) & (pieces == key[1])
-                part = made.setdefault(key, _empty(_PIECE))
+                taken, part = made.setdefault(key, (np.zeros(_PIECE, bool), np.zeros(_PIECE, _SLOT)))
+                taken[at[own]] = True
                 part["value"][at[own]], part["mark"][at[own]] = values[own], mark[own]
-        if made:
-            yield pa.RecordBatch.from_pylist([dict(kind=k, piece=p, data=v.tobytes()) for (k, p), v in made.items()], schema=pa.schema(
-                [("kind", pa.string()), ("piece", pa.int32()), ("data", pa.binary())]))
-
-    tables = {kind: _empty(1 << bits) for kind, bits in SLOTS.items()}
-    pieces = rows.select("kind", piece, "slot", "value", "mark").repartition("kind", "piece").mapInArrow(fill, "kind string, piece int, data binary")
-    for r in pieces.toLocalIterator():  # 96 pieces of half a megabyte
-        own = tables[r["kind"]][r["piece"] * _PIECE:(r["piece"] + 1) * _PIECE]
-        own[:] = np.frombuffer(r["data"], _SLOT)[:len(own)]
-    return tables
-
-
-def _empty(size: int) -> np.ndarray:
-    table = np.zeros(size, _SLOT)
-    table["value"] = np.nan
-    return table
+        for (kind, number), (taken, part) in made.items():
+            yield pa.RecordBatch.from_pylist(
+                [dict(kind=kind, piece=number, taken=np.packbits(taken, bitorder="little").tobytes(), data=part[taken].tobytes())],
+                schema=pa.schema([("kind", pa.string()), ("piece", pa.int32()), ("taken", pa.binary()), ("data", pa.binary())]))
+
+    words = {kind: np.zeros(max(1, (1 << bits) // 64), np.uint64) for kind, bits in SLOTS.items()}
+    before = {kind: np.zeros(len(w), np.int32) for kind, w in words.items()}
+    data = {kind: bytearray() for kind in SLOTS}
+    pieces = rows.select("kind", piece, "slot", "value", "mark").repartition("kind", "piece").mapInArrow(
+        fill, "kind string, piece int, taken binary, data binary")
+    for r in pieces.toLocalIterator():  # 96 pieces of half a megabyte at most, in any order
+        kind, first = r["kind"], r["piece"] * _PIECE // 64
+        own = words[kind][first:first + _PIECE // 64]
+        own[:] = np.frombuffer(r["taken"], "<u8")[:len(own)]
+        counts = np.bitwise_count(own).astype(np.int32)
+        before[kind][first:first + len(own)] = len(data[kind]) // _SLOT.itemsize + np.cumsum(counts) - counts
+        data[kind] += r["data"]
+    return {kind: {"bits": bits, "words": words[kind], "before": before[kind], "rows": np.frombuffer(data[kind], _SLOT)}
+            for kind, bits in SLOTS.items()}
 
 
 class Model:
     """Tables of log ratios by kind, the curve's slope and intercept, and the frames of all n-grams for what the tables leave open."""
 
-    def __init__(self, tables: dict[str, np.ndarray], curve: tuple[float, float] | None = None,
+    def __init__(self, tables: dict[str, dict], curve: tuple[float, float] | None = None,
                  exact: dict[str, DataFrame] | None = None):
         self.tables, self.curve, self.exact = tables, curve, exact
         self._sent: Broadcast | None = None
 
     def sent(self, spark: SparkSession) -> Broadcast:
-        """The tables as workers get them, at most 48 MB (see ``SLOTS``).
+        """The tables as workers get them: 8 bytes for each taken slot and 1.2 MB, at most 49 MB (see ``SLOTS``).
 
         One broadcast for all uses of a model: the driver and each executor keep its tables as a file as long as it lives.
         """
@@ -265,10 +272,16 @@ class Model:
 
     def _look_up(self, kind: str, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Values, NaN for what no training text has, and which of them are open."""
-        table, bits = self.tables[kind], len(self.tables[kind]).bit_length() - 1
-        found = table[slots(h, bits)]
-        other = found["mark"] >> 1 != marks(h, bits)
-        return np.where(other, np.float32(np.nan), found["value"]), other & (found["mark"] & 1 == 1)
+        table = self.tables[kind]
+        at = slots(h, table["bits"])
+        word, bit = table["words"][at >> 6], np.uint64(1) << (at & 63).astype(np.uint64)
+        value, still = np.full(len(h), np.nan, np.float32), np.zeros(len(h), bool)
+        taken = np.flatnonzero(word & bit)
+        found = table["rows"][table["before"][at[taken] >> 6] + np.bitwise_count((word & (bit - np.uint64(1)))[taken])]
+        same = found["mark"] >> 1 == marks(h[taken], table["bits"])
+        value[taken[same]] = found["value"][same]
+        still[taken] = ~same & (found["mark"] & 1 == 1)
+        return value, still
 
     def _words(self, c: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """The ratio of each word of a stretch that begins and ends with a gap, whether it is open, and where it begins and ends."""

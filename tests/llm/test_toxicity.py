@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import pickle
 import random
 import re
 from collections import Counter, defaultdict
@@ -159,3 +160,22 @@ def test_one_broadcast_of_the_tables(spark, monkeypatch):
     model = t.train(docs, labels)
     assert len(t.score_toxicity(docs, model).collect()) == len(t.score_toxicity(docs, model, keep_text=False).collect()) == 240
     assert len(sent) == 1 and sent[0] is model.tables
+
+
+def test_empty_slots_take_no_room(spark, monkeypatch):
+    """What the driver gets and sends grows with the n-grams: 1.2 MB and 8 bytes for each taken slot, not 48 MB at once."""
+    slotted = t.ratios(t.count_grams(spark.createDataFrame([(x, y) for _, x, y in corpus(40)], "text string, toxic int")))
+    taken = {r["kind"]: r["count"] for r in slotted.groupBy("kind").count().collect()}
+    tables = t.tables_of(slotted)
+    assert {k: len(v["rows"]) for k, v in tables.items()} == taken
+    assert len(pickle.dumps(tables)) < 1_200_000 + 8 * sum(taken.values())
+    monkeypatch.setattr(t, "_PIECE", 1 << 12)  # in more pieces, which come in another order
+    again = t.tables_of(slotted)
+    want = {(r["kind"], r["slot"]): (r["value"], r["mark"]) for r in slotted.collect()}
+    for made in (tables, again):
+        got = {}
+        for kind, own in made.items():
+            at = np.flatnonzero(np.unpackbits(own["words"].view(np.uint8), bitorder="little"))
+            rows = own["rows"][own["before"][at >> 6] + [int(own["words"][i >> 6] & np.uint64((1 << int(i & 63)) - 1)).bit_count() for i in at]]
+            got |= {(kind, i): tuple(r) for i, r in zip(at.tolist(), rows.tolist())}
+        assert got == want
