@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stockaudit.operators.existence import not_in, with_match, without_match
+from stockaudit.operators.existence import merged, not_in, with_match, without_match
 from stockaudit.operators.ordered import with_previous
 from stockaudit.schemas import ALLOWED_TRANSITIONS
 
@@ -40,7 +40,7 @@ def received_by_pair(t) -> DataFrame:
     received = t.purchase_order.filter(F.col("status") == "received").select("po_id", "store_id")
     return (
         t.purchase_order_item.select("po_id", "product_id", "quantity_received")
-        .join(received, "po_id")
+        .join(merged(received), "po_id")
         .groupBy(*PAIR)
         .agg(F.sum("quantity_received").alias("received"))
     )
@@ -127,7 +127,7 @@ def a2_ledger_sum_mismatch(t) -> DataFrame:
     sums = t.inventory_transaction.groupBy(*PAIR).agg(F.sum("quantity_delta").alias("tx_sum"))
     return (
         t.store_inventory.select(*PAIR, "quantity_on_hand")
-        .join(sums, PAIR, "left")
+        .join(merged(sums), PAIR, "left")
         .withColumn("tx_sum", zero("tx_sum"))
         .filter(F.col("quantity_on_hand") != F.col("tx_sum"))
     )
@@ -136,8 +136,8 @@ def a2_ledger_sum_mismatch(t) -> DataFrame:
 def a3_stock_reconciliation(t) -> DataFrame:
     return (
         t.store_inventory.select(*PAIR, "quantity_on_hand")
-        .join(ledger_by_pair(t), PAIR, "left")
-        .join(received_by_pair(t), PAIR, "left")
+        .join(merged(ledger_by_pair(t)), PAIR, "left")
+        .join(merged(received_by_pair(t)), PAIR, "left")
         .select(*PAIR, "quantity_on_hand", reconciled().alias("reconciled"))
         .filter(F.col("quantity_on_hand") != F.col("reconciled"))
     )
@@ -145,7 +145,7 @@ def a3_stock_reconciliation(t) -> DataFrame:
 
 def a4_inventory_without_restock(t) -> DataFrame:
     restocks = t.inventory_transaction.filter(F.col("transaction_type") == "restock")
-    return without_match(t.store_inventory.select(*PAIR), restocks, PAIR)
+    return without_match(merged(t.store_inventory.select(*PAIR)), restocks, PAIR)
 
 
 # --- B: purchase orders -----------------------------------------------------------------------
@@ -158,7 +158,7 @@ def b1_received_exceeds_ordered(t) -> DataFrame:
 def b2_po_total_mismatch(t) -> DataFrame:
     return (
         t.purchase_order.select("po_id", "total_price")
-        .join(lines_by_po(t), "po_id")
+        .join(merged(lines_by_po(t)), "po_id")
         .filter(F.col("total_price") != F.col("computed"))
         .select("po_id", "total_price", F.col("computed").cast("decimal(18,2)").alias("computed"))
     )
@@ -167,8 +167,8 @@ def b2_po_total_mismatch(t) -> DataFrame:
 def b3_received_po_restock_count(t) -> DataFrame:
     return (
         t.purchase_order.filter(F.col("status") == "received").select("po_id")
-        .join(lines_by_po(t), "po_id")
-        .join(restocks_by_po(t), "po_id", "left")
+        .join(merged(lines_by_po(t)), "po_id")
+        .join(merged(restocks_by_po(t)), "po_id", "left")
         .select("po_id", "items", zero("txs").alias("txs"))
         .filter(F.col("items") != F.col("txs"))
     )
@@ -179,7 +179,7 @@ def b4_pending_po_received(t) -> DataFrame:
     return (
         t.purchase_order_item.filter(F.col("quantity_received") > 0)
         .select("po_item_id", "po_id", "quantity_received")
-        .join(pending, "po_id")
+        .join(merged(pending), "po_id")
         .select("po_item_id", "po_id", "quantity_received")
     )
 
@@ -199,18 +199,18 @@ def c2_line_total_mismatch(t) -> DataFrame:
 def c3_subtotal_mismatch(t) -> DataFrame:
     return (
         t.orders.select("order_id", "sub_total")
-        .join(items_by_order(t), "order_id")
+        .join(merged(items_by_order(t)), "order_id")
         .filter(F.abs(F.col("sub_total") - F.col("items_total")) > CENT)
         .select("order_id", "sub_total", F.col("items_total").cast("decimal(18,2)").alias("items_total"))
     )
 
 
 def c4_order_without_items(t) -> DataFrame:
-    return without_match(t.orders.select("order_id"), t.order_item, ["order_id"])
+    return without_match(merged(t.orders.select("order_id")), t.order_item, ["order_id"])
 
 
 def c5_order_without_history(t) -> DataFrame:
-    return without_match(t.orders.select("order_id"), t.order_history, ["order_id"])
+    return without_match(merged(t.orders.select("order_id")), t.order_history, ["order_id"])
 
 
 # --- D: status history ------------------------------------------------------------------------
@@ -218,7 +218,7 @@ def c5_order_without_history(t) -> DataFrame:
 def d1_latest_status_mismatch(t) -> DataFrame:
     return (
         t.orders.select("order_id", F.col("status").alias("order_status"))
-        .join(latest_status(t.order_history), "order_id")
+        .join(merged(latest_status(t.order_history)), "order_id")
         .filter(F.col("order_status") != F.col("hist_status"))
     )
 
@@ -273,18 +273,18 @@ def f1_order_store_fk(t) -> DataFrame:
 
 
 def f2_order_customer_fk(t) -> DataFrame:
-    return not_in(t.orders.select("order_id", "customer_id"), "customer_id", t.customer, "customer_id")
+    return not_in(merged(t.orders.select("order_id", "customer_id")), "customer_id", t.customer, "customer_id")
 
 
 def f3_item_product_fk(t) -> DataFrame:
-    return not_in(t.order_item.select("order_item_id", "product_id"), "product_id", t.product, "product_id")
+    return not_in(merged(t.order_item.select("order_item_id", "product_id")), "product_id", t.product, "product_id")
 
 
 def with_parents(t, rows: DataFrame) -> DataFrame:
     """``rows`` with markers of a known store and a known product; see ``unknown_parent``."""
     stores = t.dark_store.select("store_id", F.lit(True).alias("_store")).distinct()
     products = t.product.select("product_id", F.lit(True).alias("_product")).distinct()
-    return rows.join(stores, "store_id", "left").join(products, "product_id", "left")
+    return rows.join(stores, "store_id", "left").join(merged(products), "product_id", "left")
 
 
 def unknown_parent() -> Column:
@@ -324,13 +324,13 @@ def g2_incomplete_assortment(t) -> DataFrame:
 
 def g3_store_without_received_po(t) -> DataFrame:
     received = t.purchase_order.filter(F.col("status") == "received")
-    return without_match(t.dark_store.select("store_id"), received, ["store_id"])
+    return without_match(merged(t.dark_store.select("store_id")), received, ["store_id"])
 
 
 def g4_delivery_fee_mismatch(t) -> DataFrame:
     return (
         t.orders.select("order_id", "customer_id", F.col("delivery_fee").alias("order_fee"))
-        .join(t.customer.select("customer_id", "zone_id"), "customer_id")
+        .join(merged(t.customer.select("customer_id", "zone_id")), "customer_id")
         .join(t.zone.select("zone_id", F.col("delivery_fee").alias("zone_fee")), "zone_id")
         .filter(F.col("order_fee") != F.col("zone_fee"))
         .select("order_id", "order_fee", "zone_fee")
@@ -340,7 +340,7 @@ def g4_delivery_fee_mismatch(t) -> DataFrame:
 def g5_history_before_order(t) -> DataFrame:
     return (
         t.order_history.select("history_id", "order_id", "changed_at")
-        .join(t.orders.select("order_id", "created_at"), "order_id")
+        .join(merged(t.orders.select("order_id", "created_at")), "order_id")
         .filter(F.col("changed_at") < F.col("created_at"))
         .select("order_id", "history_id", "created_at", "changed_at")
     )
@@ -352,15 +352,15 @@ def h1_cancel_without_return(t) -> DataFrame:
     cancelled = t.orders.filter(F.col("status") == "cancelled").select("order_id")
     confirmed = t.order_history.filter(F.col("status") == "confirmed")
     returns = t.inventory_transaction.filter(F.col("transaction_type") == "return")
-    return without_match(with_match(cancelled, confirmed, ["order_id"]), returns, ["order_id"])
+    return without_match(merged(with_match(merged(cancelled), confirmed, ["order_id"])), returns, ["order_id"])
 
 
 def h2_missing_sale(t) -> DataFrame:
     sold = t.orders.filter(F.col("status").isin("confirmed", "delivered")).select("order_id")
     sales = t.inventory_transaction.filter(F.col("transaction_type") == "sale").select(
         "order_id", "product_id", F.abs("quantity_delta").alias("quantity"))
-    items = t.order_item.select("order_id", "order_item_id", "product_id", "quantity").join(sold, "order_id")
-    return without_match(items, sales, ["order_id", "product_id", "quantity"]).select(
+    items = t.order_item.select("order_id", "order_item_id", "product_id", "quantity").join(merged(sold), "order_id")
+    return without_match(merged(items), sales, ["order_id", "product_id", "quantity"]).select(
         "order_id", "order_item_id", "product_id", "quantity")
 
 

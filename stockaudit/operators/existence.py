@@ -12,6 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def merged(df: DataFrame) -> DataFrame:
+    """``df`` as one side of a sort-merge join, for joins of two tables that grow.
+
+    Left alone, Spark broadcasts what its files say is small, and ids that take half a byte in a compressed file take over
+    thirty in the driver, which holds every table that the checks of one report broadcast at the same time.
+    """
+    return df.hint("merge")
+
+
 def _keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.select(*keys).dropna().distinct()
 

@@ -7,7 +7,7 @@ import re
 import pytest
 
 from stockaudit.operators.checks import CHECKS
-from stockaudit.plans.audit import audit_summary
+from stockaudit.plans.audit import audit_samples, audit_summary
 from stockaudit.plans.registry import RULES
 from stockaudit.sources.retail_layer import retail_tables
 
@@ -68,6 +68,28 @@ def test_shared_passes(t):
     assert plan(audit_summary(t)).count("BroadcastNestedLoopJoin") == 0
 
 
+def broadcast_files(text):
+    """The files below each broadcast of a plan."""
+    depth = lambda line: len(re.match(r"[ :|+\-]*", line)[0])
+    lines, found = text.splitlines(), set()
+    for i, line in enumerate(lines):
+        if "BroadcastExchange" in line:
+            below = lines[i + 1:next((j for j in range(i + 1, len(lines)) if depth(lines[j]) <= depth(line)), len(lines))]
+            found |= {m.rsplit("/", 1)[-1] for x in below for m in re.findall(r"Location: \w+\(.*?\)\[(.*?)[,\]]", x)}
+    return found
+
+
+@pytest.mark.parametrize("report", [audit_samples, audit_summary], ids=lambda f: f.__name__)
+def test_growing_tables_are_not_broadcast(t, report, spark):
+    """However small the files, the driver holds no table but stores and zones."""
+    spark.conf.set("spark.sql.maxPlanStringLength", "10000000")
+    try:
+        text = plan(report(t))
+    finally:
+        spark.conf.unset("spark.sql.maxPlanStringLength")
+    assert broadcast_files(text) == {"region.parquet", "nation.parquet"}
+
+
 def test_references_are_settled_in_one_exchange(t):
     """Each table is scanned once, however many references it has."""
     from stockaudit.operators.constraints import foreign_key_violations
