@@ -7,7 +7,7 @@ import re
 import pytest
 
 from stockaudit.operators.checks import CHECKS
-from stockaudit.plans.audit import audit_samples, audit_summary
+from stockaudit.plans.audit import all_violations, audit_samples, audit_summary
 from stockaudit.plans.registry import RULES
 from stockaudit.sources.retail_layer import retail_tables
 
@@ -79,7 +79,7 @@ def broadcast_files(text):
     return found
 
 
-@pytest.mark.parametrize("report", [audit_samples, audit_summary], ids=lambda f: f.__name__)
+@pytest.mark.parametrize("report", [audit_samples, audit_summary, all_violations], ids=lambda f: f.__name__)
 def test_growing_tables_are_not_broadcast(t, report, spark):
     """However small the files, the driver holds no table but stores and zones."""
     spark.conf.set("spark.sql.maxPlanStringLength", "10000000")
